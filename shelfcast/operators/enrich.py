@@ -71,10 +71,43 @@ def derive_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
-    """Calendar (broadcast, bounded by #days) then prices (shuffle join on 3 keys), derived columns, 23-column order."""
+PRICE_KEYS = ["store_id", "item_id", "wm_yr_wk"]
+DUPLICATE_PRICE_MSG = "sell_prices has duplicate (store_id, item_id, wm_yr_wk) keys; the join would change the row count"
+
+
+def prices_by_series(prices: DataFrame) -> DataFrame:
+    """One row per series with a week -> price map (at most one entry per calendar week).
+
+    The E3 guard is folded into the same aggregation: a series with a repeated
+    week raises inside the job (``raise_error``), so no extra pass is needed and
+    nothing is published.
+    """
+    g = prices.groupBy("store_id", "item_id").agg(
+        F.collect_list(F.struct("wm_yr_wk", "sell_price")).alias("entries"))
+    weeks = F.transform("entries", lambda e: e["wm_yr_wk"])
+    dup = F.size(weeks) != F.size(F.array_distinct(weeks))
+    price_map = F.when(dup, F.raise_error(F.lit(DUPLICATE_PRICE_MSG))).otherwise(F.map_from_entries("entries"))
+    return g.select("store_id", "item_id", price_map.alias("price_by_week"))
+
+
+def attach_prices(wide: DataFrame, prices: DataFrame) -> DataFrame:
+    """E2 at series grain: wide rows (one per series) left-joined 1:1 with their weekly price map."""
+    return wide.join(prices_by_series(prices), ["store_id", "item_id"], "left")
+
+
+def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame | None = None) -> DataFrame:
+    """Calendar (broadcast, bounded by #days), prices, derived columns, 23-column order.
+
+    With ``prices`` the price lookup is a shuffle join of the long rows on the
+    three keys (melt-then-join).  Without it, ``long_df`` must carry the
+    ``price_by_week`` map attached at series grain before the melt
+    (:func:`attach_prices`), and the price is a map lookup in the same stage —
+    the long fact is never shuffled.
+    """
     df = lookup_left(long_df, calendar, ["d"], "calendar", broadcast=True)
     df = resolve_snap(df)
-    df = lookup_left(df, prices.select("store_id", "item_id", "wm_yr_wk", "sell_price"),
-                     ["store_id", "item_id", "wm_yr_wk"], "sell_prices")
+    if prices is not None:
+        df = lookup_left(df, prices.select(*PRICE_KEYS, "sell_price"), PRICE_KEYS, "sell_prices")
+    else:
+        df = df.withColumn("sell_price", F.try_element_at(F.col("price_by_week"), F.col("wm_yr_wk")))
     return derive_columns(df).select(*FACT_COLS)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..operators import checks
 from ..operators.enrich import ValidationError, enrich
 from ..operators.reshape import day_columns, melt
+from ..schemas import ID_COLS
 from ..sources import fixture
 from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_wide
 from ..sources.storage import build_dir, path_exists
@@ -74,16 +75,25 @@ class Build:
 
 
 def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, prices_path: str,
-              states=None, stores=None) -> tuple[DataFrame, int, int]:
-    """The transform proper: read the three raw files, melt, enrich. Returns (fact, n_series, n_days)."""
-    from ..operators.enrich import require_rows, scope
+              states=None, stores=None, price_join: str = "series") -> tuple[DataFrame, int, int]:
+    """The transform proper: read the three raw files, melt, enrich. Returns (fact, n_series, n_days).
+
+    ``price_join="series"`` (default) attaches each series' weekly price map to
+    its wide row before the melt, so only series-level rows are shuffled;
+    ``"long"`` is the melt-then-join plan (shuffles every fact row).
+    """
+    from ..operators.enrich import attach_prices, require_rows, scope
 
     wide = scope(read_sales_wide(spark, sales_wide_path), states, stores)
     if states or stores:
         require_rows(wide)
     n_series = wide.count()
     n_days = len(day_columns(wide.columns))
-    fact = enrich(melt(wide), read_calendar(spark, calendar_path), read_prices(spark, prices_path))
+    calendar, prices = read_calendar(spark, calendar_path), read_prices(spark, prices_path)
+    if price_join == "series":
+        fact = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + ["price_by_week"]), calendar)
+    else:
+        fact = enrich(melt(wide), calendar, prices)
     return fact, n_series, n_days
 
 

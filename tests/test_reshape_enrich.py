@@ -94,3 +94,24 @@ def test_resolve_snap_drops_state_columns(spark):
     df = spark.createDataFrame([("TX", 0, 1, 0)], "state_id string, snap_CA int, snap_TX int, snap_WI int")
     out = resolve_snap(df)
     assert out.columns == ["state_id", "snap_flag"] and out.first()["snap_flag"] == 1
+
+
+def test_series_price_attach_matches_long_join(spark):
+    from shelfcast.operators.enrich import attach_prices
+    from shelfcast.schemas import ID_COLS
+
+    wide, cal, prices = _wide(spark), _calendar(spark), _prices(spark)
+    a = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + ["price_by_week"]), cal)
+    b = enrich(melt(wide), cal, prices)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_series_price_attach_fails_on_duplicate_key(spark):
+    from shelfcast.operators.enrich import attach_prices
+    from shelfcast.schemas import ID_COLS
+
+    fact = enrich(melt(attach_prices(_wide(spark), _prices(spark, dup=True)), id_cols=ID_COLS + ["price_by_week"]),
+                  _calendar(spark))
+    with pytest.raises(Exception, match="duplicate"):
+        fact.collect()
