@@ -134,20 +134,24 @@ def daily_units(spark: SparkSession, sf_dir: str, first_day: dt.date) -> DataFra
     ).agg(F.sum("q").cast("int").alias("units"))
 
 
-def sales_wide_rows(daily: DataFrame, n_days: int) -> DataFrame:
-    """One row per series with a dense units array over days 1..n_days.
+def sales_wide_lines(daily: DataFrame, n_days: int) -> DataFrame:
+    """One CSV line per series: six ids then the units of days 1..n_days (0 where no line shipped).
 
-    The grouped list holds at most one entry per calendar day, so its size is
-    bounded by the calendar, not by the data volume of the series.
+    Spark groups the sparse daily sums by series (each group holds at most one
+    row per calendar day); inside the task numpy scatters them into a dense
+    vector and joins it to text.  (A Spark map lookup per day would scan the
+    map linearly: days x entries comparisons per series.)
     """
-    per_series = daily.groupBy("bn", "sn").agg(
-        F.map_from_entries(F.collect_list(F.struct("day_num", "units"))).alias("by_day")
-    )
-    dense = F.transform(
-        F.sequence(F.lit(1), F.lit(n_days)),
-        lambda i: F.coalesce(F.try_element_at(F.col("by_day"), i), F.lit(0)),
-    )
-    return per_series.select(*series_ids(F.col("bn"), F.col("sn")), dense.alias("units"))
+    import numpy as np
+    import pandas as pd
+
+    def to_line(key, pdf):
+        dense = np.zeros(n_days, dtype=np.int64)
+        dense[pdf["day_num"].to_numpy() - 1] = pdf["units"].to_numpy()
+        return pd.DataFrame({"bn": [key[0]], "sn": [key[1]], "units_csv": [",".join(map(str, dense.tolist()))]})
+
+    lines = daily.groupBy("bn", "sn").applyInPandas(to_line, schema="bn int, sn int, units_csv string")
+    return lines.select(*series_ids(F.col("bn"), F.col("sn")), "units_csv")
 
 
 def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int) -> DataFrame:
@@ -183,12 +187,15 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str) -> dict:
 
     The wide file is written as one text column whose *name* is the CSV header and
     whose value is the comma-joined line, so no 2,500-column projection is planned.
+    The daily sums feed both the wide file and the price weeks, so they are
+    written once to the work folder and read back (no second lineitem scan).
     """
     first_day, n_days = calendar_bounds(spark, sf_dir)
-    daily = daily_units(spark, sf_dir, first_day)
+    daily_units(spark, sf_dir, first_day).write.mode("overwrite").parquet(f"{raw_dir}/_daily_units")
+    daily = spark.read.parquet(f"{raw_dir}/_daily_units")
     header = ",".join(wide_header(n_days))
-    wide = sales_wide_rows(daily, n_days)
-    line = F.concat_ws(",", *[F.col(c) for c in ID_COLS], F.array_join("units", ","))
+    wide = sales_wide_lines(daily, n_days)
+    line = F.concat_ws(",", *[F.col(c) for c in ID_COLS], F.col("units_csv"))
     (wide.select(line.alias(header)).write.mode("overwrite")
         .option("header", True).option("sep", "\t").csv(f"{raw_dir}/sales_wide"))
     (calendar(spark, first_day, n_days).coalesce(1).write.mode("overwrite")
