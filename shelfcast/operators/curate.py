@@ -11,13 +11,21 @@ from ..functions.labels import NO_EVENT_CURATED
 DAILY_KEYS = ["date", "year", "month", "wday", "weekday", "store_id", "cat_id", "dept_id", "snap_flag", "has_event"]
 
 
-def daily_sales_agg(fact: DataFrame) -> DataFrame:
-    """day x store x department rollup for dashboards; partition key ``state_id`` last."""
+def daily_sales_agg(fact: DataFrame, pk_unique: bool = True) -> DataFrame:
+    """day x store x department rollup for dashboards; partition key ``state_id`` last.
+
+    ``items_active`` is COUNT(DISTINCT item_id).  The groups fix date and store,
+    so on a fact that is unique on (item_id, store_id, d) — which the pipeline
+    checks before publishing — it equals COUNT(item_id).  That form aggregates
+    map-side; the distinct form first shuffles every fact row on the 12 keys +
+    item_id.  ``pk_unique=False`` keeps the distinct form for unchecked input.
+    """
+    items = F.count("item_id") if pk_unique else F.countDistinct("item_id")
     return fact.groupBy(*DAILY_KEYS, event_label("event_name_1", NO_EVENT_CURATED).alias("event_name"), "state_id").agg(
         F.sum("units_sold").cast("long").alias("total_units"),
         money_rounded(money_sum_cents("revenue"), 2).alias("total_revenue"),
         avg_money_rounded("sell_price", 2).alias("avg_price"),
-        F.countDistinct("item_id").alias("items_active"),
+        items.alias("items_active"),
         F.sum(F.when(F.col("units_sold") > 0, 1).otherwise(0)).cast("long").alias("items_with_sales"),
     ).select(*DAILY_KEYS, "event_name", "total_units", "total_revenue", "avg_price", "items_active",
              "items_with_sales", "state_id")

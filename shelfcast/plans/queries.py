@@ -109,9 +109,18 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- curated tables
 
+def _versioned(b, name: str, *modules) -> str:
+    """Output folder of a derived table, keyed by the source of the modules that define it."""
+    import hashlib
+    import inspect
+
+    h = hashlib.sha1("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:10]
+    return b.curated(f"{name}-{h}")
+
+
 def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_cols=()) -> DataFrame:
     b = pipeline.stage(spark, sf_dir)
-    catalog.ctas(spark, build(fact(spark, sf_dir)), name, b.curated(name), partition_cols)
+    catalog.ctas(spark, build(fact(spark, sf_dir)), name, _versioned(b, name, curate), partition_cols)
     return catalog.table(spark, name)
 
 
@@ -157,7 +166,7 @@ def _baseline(model: str) -> Query:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline predictions written once (partitioned by model) and read as an external table."""
     b = pipeline.stage(spark, sf_dir)
-    path = b.curated("forecast_vs_actual")
+    path = _versioned(b, "forecast_vs_actual", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
         cutoff = forecast.holdout_cutoff(f)
@@ -170,7 +179,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) -> DataFrame:
     """M6: boosted-tree predictions, written once per build (training is the expensive part)."""
     b = pipeline.stage(spark, sf_dir)
-    path = b.curated(f"gbt_predictions_{max_iter}")
+    path = _versioned(b, f"gbt_predictions_{max_iter}", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
         write_predictions(forecast.gradient_boosting(f, forecast.holdout_cutoff(f), max_iter=max_iter), path)

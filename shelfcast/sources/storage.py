@@ -9,8 +9,23 @@ from pyspark.sql import SparkSession
 
 from ..session import work_root
 
-# Bump when the raw-zone rules or the fact build change, so staged tables are rebuilt.
+# Bump to force a rebuild; the source of the build modules is part of the key as well.
 BUILD_VERSION = "5"
+BUILD_MODULES = [
+    "shelfcast.schemas", "shelfcast.sources.fixture", "shelfcast.sources.readers", "shelfcast.sources.writers",
+    "shelfcast.operators.reshape", "shelfcast.operators.enrich", "shelfcast.operators.checks",
+    "shelfcast.plans.pipeline", "shelfcast.functions.numeric",
+]
+
+
+def _code_fingerprint() -> str:
+    import importlib
+    import inspect
+
+    h = hashlib.sha1()
+    for name in BUILD_MODULES:
+        h.update(inspect.getsource(importlib.import_module(name)).encode())
+    return h.hexdigest()
 
 TESTDATA_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -29,6 +44,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
 def _input_fingerprint(sf_dir: str, names: list[str]) -> str:
     h = hashlib.sha1()
     h.update(BUILD_VERSION.encode())
+    h.update(_code_fingerprint().encode())
     h.update(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
     for n in names:
         p = table_path(sf_dir, n)

@@ -121,3 +121,12 @@ def test_gradient_boosting_small(spark):
     rows = p.collect()
     assert len(rows) == 56 and min(r["forecast_units"] for r in rows) >= 0.0
     assert {r["model_name"] for r in rows} == {"gradient_boosting"}
+
+
+def test_daily_agg_pk_shortcut_equals_distinct(spark):
+    from shelfcast.operators import curate
+
+    f = series(spark, [1, 0, 2]).unionByName(series(spark, [0, 0, 5], item="FOODS_1_002"))
+    fast = sorted(map(tuple, curate.daily_sales_agg(f).collect()))
+    exact = sorted(map(tuple, curate.daily_sales_agg(f, pk_unique=False).collect()))
+    assert fast == exact and {r[-3] for r in fast} == {2}

@@ -115,3 +115,36 @@ def test_series_price_attach_fails_on_duplicate_key(spark):
                   _calendar(spark))
     with pytest.raises(Exception, match="duplicate"):
         fact.collect()
+
+
+def test_read_sales_wide_variant_from_header(spark, tmp_path):
+    """A1/A4: the number of days comes from the header (evaluation vs shorter validation file)."""
+    from shelfcast.sources.readers import read_sales_wide
+
+    for n_days in (4, 3):
+        p = tmp_path / f"wide{n_days}"
+        p.mkdir()
+        header = "id,item_id,dept_id,cat_id,store_id,state_id," + ",".join(f"d_{i}" for i in range(1, n_days + 1))
+        body = ["A_CA_1,A,FOODS_1,FOODS,CA_1,CA," + ",".join(str(i) for i in range(n_days))]
+        (p / "part-0.csv").write_text("\n".join([header] + body) + "\n")
+        wide = read_sales_wide(spark, str(p))
+        assert day_columns(wide.columns) == [f"d_{i}" for i in range(1, n_days + 1)]
+        assert dict(wide.dtypes)["d_1"] == "int"
+        assert melt(wide).count() == n_days
+
+
+def test_raw_zone_shapes(spark):
+    """The derived raw files: 250 series x 2,499 day columns, dense calendar, prices after first sale."""
+    from shelfcast.plans import pipeline
+    from shelfcast.sources.readers import read_calendar, read_prices, read_sales_wide
+
+    from .conftest import SF_SMALL
+
+    b = pipeline.stage(spark, SF_SMALL)
+    wide = read_sales_wide(spark, b.sales_wide)
+    assert wide.count() == 250 and len(day_columns(wide.columns)) == b.n_days == 2499
+    cal = read_calendar(spark, b.calendar)
+    assert cal.count() == 2499 and cal.select("d").distinct().count() == 2499
+    assert cal.where("d = 'd_1'").first()["weekday"] == "Monday"
+    prices = read_prices(spark, b.prices)
+    assert prices.groupBy("store_id", "item_id", "wm_yr_wk").count().where("count > 1").count() == 0
