@@ -167,6 +167,14 @@ def scope_profile(fact: DataFrame) -> DataFrame:
     )
 
 
+PREVIEW_COLUMNS = ["item_id", "store_id", "date", "units_sold", "sell_price", "snap_flag", "has_event"]
+
+
+def fact_preview(fact: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows in fact order (store, item, day) — a TakeOrdered, not a sort of the fact."""
+    return fact.orderBy("store_id", "item_id", "day_num").limit(n).select(*PREVIEW_COLUMNS)
+
+
 def zero_share(fact: DataFrame) -> DataFrame:
     """percent of item-days with zero units (1 decimal)."""
     return fact.agg(pct_rounded(_int_sum(F.col("units_sold") == 0), F.count(F.lit(1)), 1).alias("pct_zero_days"))

@@ -18,7 +18,7 @@ from ..schemas import FACT_SCHEMA, PREDICTIONS_SCHEMA
 from ..sources import catalog
 from ..sources.readers import read_fact, read_predictions, read_sales_wide
 from ..sources.storage import path_exists
-from ..sources.writers import write_fact, write_predictions
+from ..sources.writers import write_fact, write_predictions, write_small_csv
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,8 +190,24 @@ def _on_predictions(fn) -> Query:
     return lambda spark, sf_dir: fn(predictions(spark, sf_dir))
 
 
+def all_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three baselines and the boosted trees."""
+    return predictions(spark, sf_dir).unionByName(gradient_boosting(spark, sf_dir))
+
+
 def model_scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.model_scorecard(predictions(spark, sf_dir).unionByName(gradient_boosting(spark, sf_dir)))
+    """F26 over all four models; the scorecard is also kept as a one-file CSV next to the predictions."""
+    card = scoring.model_scorecard(all_predictions(spark, sf_dir))
+    b = pipeline.stage(spark, sf_dir)
+    path = _versioned(b, "model_scorecard_csv", forecast, scoring)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_small_csv(card, path)
+    return card
+
+
+def forecast_daily_by_model_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F37 with all four models."""
+    return scoring.forecast_daily_by_model(all_predictions(spark, sf_dir), forecast.MODEL_NAMES)
 
 
 def registry() -> dict[str, Query]:
@@ -237,6 +253,7 @@ def registry() -> dict[str, Query]:
         "weekday_mean_units": _on_fact(effects.weekday_mean_units),
         "units_histogram_capped": _on_fact(effects.units_histogram_capped),
         "zero_share": _on_fact(checks.zero_share),
+        "fact_preview": _on_fact(checks.fact_preview),
         "snap_overall_lift": _on_fact(effects.snap_overall_lift),
         "forecast_daily_by_model": _on_predictions(lambda p: scoring.forecast_daily_by_model(p, forecast.BASELINES)),
         "best_model": _on_predictions(lambda p: scoring.best_model(scoring.model_scorecard(p))),
@@ -255,6 +272,8 @@ def registry() -> dict[str, Query]:
         "predictions": predictions,
         "gradient_boosting": gradient_boosting,
         "model_scorecard_all": model_scorecard_all,
+        "best_model_all": lambda spark, sf_dir: scoring.best_model(model_scorecard_all(spark, sf_dir)),
+        "forecast_daily_by_model_all": forecast_daily_by_model_all,
     }
 
 

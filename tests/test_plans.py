@@ -13,7 +13,10 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in ("gradient_boosting", "model_scorecard_all")))
+MODEL_KEYS = ("gradient_boosting", "model_scorecard_all", "best_model_all", "forecast_daily_by_model_all")
+
+
+@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in MODEL_KEYS))
 def test_no_python_in_plans(spark, key):
     plan = _plan(E.queries()[key](spark, SF_SMALL))
     assert not any(n in plan for n in PY_NODES), key
