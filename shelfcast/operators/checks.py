@@ -6,8 +6,8 @@ Scale notes
   pre-grouped in its own branch (map-side partial aggregation collapses it to the
   distinct values per task), the branches are unioned and counted in one final
   aggregate: the same columns are read once each and no row is multiplied.
-* Checks that need the primary key group on (item_id, store_id, d) once and
-  derive every other metric from that grouped frame in the same pass.
+* The transform checks group once by series and derive every metric, the
+  primary-key check included (rows vs distinct days per series), from it.
 """
 
 from __future__ import annotations
@@ -196,9 +196,17 @@ CHECK_NAMES = [
 INFO = "informational"
 
 
-def _pk_grouped(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(*FACT_PK).agg(
+def _series_grouped(fact: DataFrame) -> DataFrame:
+    """Per series: rows, distinct days and the null/zero/negative counts, in one aggregate.
+
+    (item_id, store_id, d) is unique iff every series has as many distinct
+    days as rows, so duplicate rows = rows - distinct days.  The day set is
+    built map-side and bounded by the calendar, so the shuffle carries one
+    set per series instead of one row per item-day.
+    """
+    return fact.groupBy(*SERIES_KEY).agg(
         F.count(F.lit(1)).alias("n"),
+        F.size(F.collect_set("d")).alias("distinct_d"),
         _int_sum(F.col("units_sold").isNull()).alias("null_units"),
         _int_sum(F.col("units_sold") < 0).alias("neg_units"),
         _int_sum(F.col("date").isNull()).alias("null_date"),
@@ -233,20 +241,20 @@ def _check_rows(expected: Column) -> Column:
 
 def _rollup(grouped: DataFrame, by: list[str]) -> DataFrame:
     return grouped.groupBy(*by).agg(
-        F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("dupes"),
+        F.sum("n").alias("rows"), F.sum(F.col("n") - F.col("distinct_d")).alias("dupes"),
         *[F.sum(c).alias(c) for c in ["null_units", "neg_units", "null_date", "null_price", "zero_units"]])
 
 
 def fact_checks(fact: DataFrame, n_series: int, n_days: int) -> DataFrame:
-    """seven checks (check_name, expected, actual, passed) in one pass over the PK grouping."""
-    agg = _rollup(_pk_grouped(fact), [])
+    """seven checks (check_name, expected, actual, passed) in one pass over the series grouping."""
+    agg = _rollup(_series_grouped(fact), [])
     return agg.select(F.posexplode(_check_rows(F.lit(n_series * n_days).cast("long")))).select(
         (F.col("pos") + 1).alias("check_no"), "col.*")
 
 
 def checks_by_store(fact: DataFrame, series_per_store: DataFrame, n_days: int) -> DataFrame:
     """F29 per store in the same single pass (no store loop); expected from the input series."""
-    agg = _rollup(_pk_grouped(fact), ["store_id"]).join(series_per_store, "store_id", "left")
+    agg = _rollup(_series_grouped(fact), ["store_id"]).join(series_per_store, "store_id", "left")
     expected = (F.coalesce(F.col("n_series"), F.lit(0)) * F.lit(n_days)).cast("long")
     return agg.select("store_id", F.posexplode(_check_rows(expected))).select(
         "store_id", (F.col("pos") + 1).alias("check_no"), "col.*")

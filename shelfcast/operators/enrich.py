@@ -75,39 +75,57 @@ PRICE_KEYS = ["store_id", "item_id", "wm_yr_wk"]
 DUPLICATE_PRICE_MSG = "sell_prices has duplicate (store_id, item_id, wm_yr_wk) keys; the join would change the row count"
 
 
-def prices_by_series(prices: DataFrame) -> DataFrame:
-    """One row per series with a week -> price map (at most one entry per calendar week).
+PRICE_COLS = ["price_w0", "price_by_pos", "price_by_week"]
+
 
-    The E3 guard is folded into the same aggregation: a series with a repeated
-    week raises inside the job (``raise_error``), so no extra pass is needed and
-    nothing is published.
+def prices_by_series(prices: DataFrame) -> DataFrame:
+    """One row per series with its weekly prices (at most one entry per calendar week).
+
+    Weeks of a series are normally contiguous (from the week it is first carried
+    on), so the prices are kept as a week-ordered array starting at ``price_w0``
+    and looked up by position (O(1)); only a series with gaps keeps a
+    ``week -> price`` map (Spark map lookups scan linearly).  The E3 guard is
+    folded into the same aggregation: a repeated week raises inside the job
+    (``raise_error``), so no extra pass is needed and nothing is published.
     """
     g = prices.groupBy("store_id", "item_id").agg(
-        F.collect_list(F.struct("wm_yr_wk", "sell_price")).alias("entries"))
+        F.min("wm_yr_wk").alias("price_w0"), F.max("wm_yr_wk").alias("w1"),
+        F.array_sort(F.collect_list(F.struct("wm_yr_wk", "sell_price"))).alias("entries"))
     weeks = F.transform("entries", lambda e: e["wm_yr_wk"])
     dup = F.size(weeks) != F.size(F.array_distinct(weeks))
-    price_map = F.when(dup, F.raise_error(F.lit(DUPLICATE_PRICE_MSG))).otherwise(F.map_from_entries("entries"))
-    return g.select("store_id", "item_id", price_map.alias("price_by_week"))
+    dense = F.size(weeks) == F.col("w1") - F.col("price_w0") + 1
+    by_pos = F.when(dup, F.raise_error(F.lit(DUPLICATE_PRICE_MSG))).when(
+        dense, F.transform("entries", lambda e: e["sell_price"]))
+    by_week = F.when(~dense & ~dup, F.map_from_entries("entries"))
+    return g.select("store_id", "item_id", "price_w0", by_pos.alias("price_by_pos"), by_week.alias("price_by_week"))
 
 
 def attach_prices(wide: DataFrame, prices: DataFrame) -> DataFrame:
-    """E2 at series grain: wide rows (one per series) left-joined 1:1 with their weekly price map."""
+    """E2 at series grain: wide rows (one per series) left-joined 1:1 with their weekly prices."""
     return wide.join(prices_by_series(prices), ["store_id", "item_id"], "left")
 
 
+def series_price(week: F.Column) -> F.Column:
+    """Price of ``week`` from the columns attached by :func:`attach_prices` (NULL before the first week)."""
+    pos = week - F.col("price_w0") + 1
+    return F.coalesce(
+        F.when(pos >= 1, F.try_element_at(F.col("price_by_pos"), pos)),
+        F.try_element_at(F.col("price_by_week"), week),
+    )
+
+
 def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Calendar (broadcast, bounded by #days), prices, derived columns, 23-column order.
 
     With ``prices`` the price lookup is a shuffle join of the long rows on the
     three keys (melt-then-join).  Without it, ``long_df`` must carry the
-    ``price_by_week`` map attached at series grain before the melt
-    (:func:`attach_prices`), and the price is a map lookup in the same stage —
-    the long fact is never shuffled.
+    series prices attached before the melt (:func:`attach_prices`), and the
+    price is a positional lookup in the same stage — the long fact is never shuffled.
     """
     df = lookup_left(long_df, calendar, ["d"], "calendar", broadcast=True)
     df = resolve_snap(df)
     if prices is not None:
         df = lookup_left(df, prices.select(*PRICE_KEYS, "sell_price"), PRICE_KEYS, "sell_prices")
     else:
-        df = df.withColumn("sell_price", F.try_element_at(F.col("price_by_week"), F.col("wm_yr_wk")))
+        df = df.withColumn("sell_price", series_price(F.col("wm_yr_wk")))
     return derive_columns(df).select(*FACT_COLS)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..operators import checks
 from ..operators.enrich import ValidationError, enrich
 from ..operators.reshape import day_columns, melt
+from ..operators.enrich import PRICE_COLS
 from ..schemas import ID_COLS
 from ..sources import fixture
 from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_wide
@@ -91,7 +92,7 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
     n_days = len(day_columns(wide.columns))
     calendar, prices = read_calendar(spark, calendar_path), read_prices(spark, prices_path)
     if price_join == "series":
-        fact = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + ["price_by_week"]), calendar)
+        fact = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + PRICE_COLS), calendar)
     else:
         fact = enrich(melt(wide), calendar, prices)
     return fact, n_series, n_days
@@ -116,14 +117,22 @@ def _read_meta(spark: SparkSession, base: str) -> Build | None:
     return Build(base, row["first_day"], row["n_days"], row["n_series"])
 
 
-def build_into(spark: SparkSession, sf_dir: str, base: str) -> Build:
+def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand", timings: dict | None = None) -> Build:
     """Run the whole job into ``base``: raw zone, transform, staged write, checks, publish marker."""
-    info = fixture.write_raw_zone(spark, sf_dir, f"{base}/raw")
+    import time
+
+    t = time.time()
+    info = fixture.write_raw_zone(spark, sf_dir, f"{base}/raw", grain)
+    t_raw = time.time()
     tmp = Build(base, info["first_day"], info["n_days"], 0)
     fact, n_series, n_days = transform(spark, tmp.sales_wide, tmp.calendar, tmp.prices)
     write_fact(fact, tmp.fact)
+    t_write = time.time()
     staged = read_fact(spark, tmp.fact)
     validate(staged, n_series, n_days)
+    if timings is not None:
+        timings.update(raw_zone=round(t_raw - t, 3), transform_write=round(t_write - t_raw, 3),
+                       checks=round(time.time() - t_write, 3), rows=n_series * n_days, series=n_series)
     write_small_csv(checks.fact_checks(staged, n_series, n_days), tmp.checks)
     meta = spark.createDataFrame([(info["first_day"], n_days, n_series)], _META_SCHEMA)
     meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/_meta")

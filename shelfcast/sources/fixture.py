@@ -45,11 +45,22 @@ OTHER_CATEGORY = "HOUSEHOLD"
 # -----------------------------------------------------------------------------
 
 
-def line_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(bn, sn, dt, q) per line; pruned to 4 + 2 columns at the scans."""
+GRAINS = ("brand", "part")
+
+
+def line_units(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    """(ik, bn, sn, dt, q) per line; pruned to 4 + 2 columns at the scans.
+
+    ``ik`` is the item key: the brand number (the FIXTURES grain, 25 items) or,
+    with ``grain="part"``, the part key (one item per part: an M5-sized grid at sf0.01).
+    """
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
     li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    ik = brand_number(F.col("p_brand")) if grain == "brand" else F.col("p_partkey").cast("long")
     return li.join(part, li.l_partkey == part.p_partkey).select(
+        ik.cast("long").alias("ik"),
         brand_number(F.col("p_brand")).alias("bn"),
         F.pmod(F.col("l_suppkey"), F.lit(10)).cast("int").alias("sn"),
         F.col("l_shipdate").cast("date").alias("dt"),
@@ -68,15 +79,15 @@ def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.date, int]:
     return row["lo"], (row["hi"] - row["lo"]).days + 1
 
 
-def series_ids(bn: Column, sn: Column) -> list[Column]:
-    """id, item_id, dept_id, cat_id, store_id, state_id from (bn, sn)."""
+def series_ids(bn: Column, sn: Column, ik: Column | None = None, width: int = 3) -> list[Column]:
+    """id, item_id, dept_id, cat_id, store_id, state_id from (bn, sn) and the item key (default: bn)."""
     cat = F.when(bn <= CATEGORY_LIMITS[0][0], CATEGORY_LIMITS[0][1])
     for limit, name in CATEGORY_LIMITS[1:]:
         cat = cat.when(bn <= limit, name)
     cat = cat.otherwise(OTHER_CATEGORY)
     dept_k = F.when(cat == CATEGORY_LIMITS[0][1], F.pmod(bn, F.lit(3)) + 1).otherwise(F.pmod(bn, F.lit(2)) + 1)
     dept = F.concat_ws("_", cat, dept_k.cast("string"))
-    item = F.concat_ws("_", dept, F.lpad(bn.cast("string"), 3, "0"))
+    item = F.concat_ws("_", dept, F.lpad((bn if ik is None else ik).cast("string"), width, "0"))
     (s1, o1), (s2, o2), (s3, o3) = STATES
     state = F.when(sn < o2, s1).when(sn < o3, s2).otherwise(s3)
     store_no = F.when(sn < o2, sn - o1).when(sn < o3, sn - o2).otherwise(sn - o3) + 1
@@ -126,15 +137,20 @@ def calendar(spark: SparkSession, first_day: dt.date, n_days: int) -> DataFrame:
     ).select(*CALENDAR_COLS)
 
 
-def daily_units(spark: SparkSession, sf_dir: str, first_day: dt.date) -> DataFrame:
-    """Sparse (bn, sn, day_num, units): map-side partial sums, one shuffle on the day key."""
-    lines = line_units(spark, sf_dir)
+def daily_units(spark: SparkSession, sf_dir: str, first_day: dt.date, grain: str = "brand") -> DataFrame:
+    """Sparse (ik, bn, sn, day_num, units): map-side partial sums, one shuffle on the day key."""
+    lines = line_units(spark, sf_dir, grain)
     return lines.groupBy(
-        "bn", "sn", (F.datediff("dt", F.lit(first_day)) + 1).cast("int").alias("day_num")
+        "ik", "bn", "sn", (F.datediff("dt", F.lit(first_day)) + 1).cast("int").alias("day_num")
     ).agg(F.sum("q").cast("int").alias("units"))
 
 
-def sales_wide_lines(daily: DataFrame, n_days: int) -> DataFrame:
+def _ids(grain: str) -> list[Column]:
+    ik = None if grain == "brand" else F.col("ik")
+    return series_ids(F.col("bn"), F.col("sn"), ik, 3 if grain == "brand" else 6)
+
+
+def sales_wide_lines(daily: DataFrame, n_days: int, grain: str = "brand") -> DataFrame:
     """One CSV line per series: six ids then the units of days 1..n_days (0 where no line shipped).
 
     Spark groups the sparse daily sums by series (each group holds at most one
@@ -148,13 +164,15 @@ def sales_wide_lines(daily: DataFrame, n_days: int) -> DataFrame:
     def to_line(key, pdf):
         dense = np.zeros(n_days, dtype=np.int64)
         dense[pdf["day_num"].to_numpy() - 1] = pdf["units"].to_numpy()
-        return pd.DataFrame({"bn": [key[0]], "sn": [key[1]], "units_csv": [",".join(map(str, dense.tolist()))]})
+        return pd.DataFrame({"ik": [key[0]], "bn": [key[1]], "sn": [key[2]],
+                             "units_csv": [",".join(map(str, dense.tolist()))]})
 
-    lines = daily.groupBy("bn", "sn").applyInPandas(to_line, schema="bn int, sn int, units_csv string")
-    return lines.select(*series_ids(F.col("bn"), F.col("sn")), "units_csv")
+    lines = daily.groupBy("ik", "bn", "sn").applyInPandas(
+        to_line, schema="ik long, bn int, sn int, units_csv string")
+    return lines.select(*_ids(grain), "units_csv")
 
 
-def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int) -> DataFrame:
+def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int, grain: str = "brand") -> DataFrame:
     """Weekly price per series from the week of its first sale to the last week.
 
     base = avg retail price of the brand (cents, half-up); the week's price steps
@@ -166,12 +184,12 @@ def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int) -> D
         F.count(F.lit(1)).alias("c"),
     ).select("bn", idiv(F.col("s") * 2 + F.col("c"), F.col("c") * 2).alias("base_cents"))
     n_weeks = (n_days - 1) // 7 + 1
-    first_week = daily.groupBy("bn", "sn").agg((idiv(F.min("day_num") - 1, 7) + 1).cast("int").alias("fw"))
-    weeks = first_week.select("bn", "sn", F.explode(F.sequence(F.col("fw"), F.lit(n_weeks))).alias("wm_yr_wk"))
+    first_week = daily.groupBy("ik", "bn", "sn").agg((idiv(F.min("day_num") - 1, 7) + 1).cast("int").alias("fw"))
+    weeks = first_week.select("ik", "bn", "sn", F.explode(F.sequence(F.col("fw"), F.lit(n_weeks))).alias("wm_yr_wk"))
     wk4 = idiv(F.col("wm_yr_wk"), 4)
     step = F.pmod(wk4 * wk4 + F.col("bn") + F.col("sn"), F.lit(5))
     price_cents = idiv(F.col("base_cents") * (F.lit(100) - step * 5) * 2 + 100, 200)
-    ids = series_ids(F.col("bn"), F.col("sn"))
+    ids = _ids(grain)
     return weeks.join(base, "bn").select(
         ids[4], ids[1], F.col("wm_yr_wk").cast("int").alias("wm_yr_wk"),
         (price_cents.cast("double") / F.lit(100.0)).alias("sell_price"),
@@ -182,7 +200,7 @@ def wide_header(n_days: int) -> list[str]:
     return ID_COLS + [f"d_{i}" for i in range(1, n_days + 1)]
 
 
-def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str) -> dict:
+def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str, grain: str = "brand") -> dict:
     """Write sales_wide (CSV with header), calendar (CSV) and sell_prices (CSV) under raw_dir.
 
     The wide file is written as one text column whose *name* is the CSV header and
@@ -191,15 +209,15 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str) -> dict:
     written once to the work folder and read back (no second lineitem scan).
     """
     first_day, n_days = calendar_bounds(spark, sf_dir)
-    daily_units(spark, sf_dir, first_day).write.mode("overwrite").parquet(f"{raw_dir}/_daily_units")
+    daily_units(spark, sf_dir, first_day, grain).write.mode("overwrite").parquet(f"{raw_dir}/_daily_units")
     daily = spark.read.parquet(f"{raw_dir}/_daily_units")
     header = ",".join(wide_header(n_days))
-    wide = sales_wide_lines(daily, n_days)
+    wide = sales_wide_lines(daily, n_days, grain)
     line = F.concat_ws(",", *[F.col(c) for c in ID_COLS], F.col("units_csv"))
     (wide.select(line.alias(header)).write.mode("overwrite")
         .option("header", True).option("sep", "\t").csv(f"{raw_dir}/sales_wide"))
     (calendar(spark, first_day, n_days).coalesce(1).write.mode("overwrite")
         .option("header", True).csv(f"{raw_dir}/calendar"))
-    (prices(spark, sf_dir, daily, n_days).write.mode("overwrite")
+    (prices(spark, sf_dir, daily, n_days, grain).write.mode("overwrite")
         .option("header", True).csv(f"{raw_dir}/sell_prices"))
     return {"first_day": first_day, "n_days": n_days}

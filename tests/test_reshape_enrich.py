@@ -98,10 +98,11 @@ def test_resolve_snap_drops_state_columns(spark):
 
 def test_series_price_attach_matches_long_join(spark):
     from shelfcast.operators.enrich import attach_prices
+    from shelfcast.operators.enrich import PRICE_COLS
     from shelfcast.schemas import ID_COLS
 
     wide, cal, prices = _wide(spark), _calendar(spark), _prices(spark)
-    a = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + ["price_by_week"]), cal)
+    a = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + PRICE_COLS), cal)
     b = enrich(melt(wide), cal, prices)
     assert a.columns == b.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
@@ -109,9 +110,10 @@ def test_series_price_attach_matches_long_join(spark):
 
 def test_series_price_attach_fails_on_duplicate_key(spark):
     from shelfcast.operators.enrich import attach_prices
+    from shelfcast.operators.enrich import PRICE_COLS
     from shelfcast.schemas import ID_COLS
 
-    fact = enrich(melt(attach_prices(_wide(spark), _prices(spark, dup=True)), id_cols=ID_COLS + ["price_by_week"]),
+    fact = enrich(melt(attach_prices(_wide(spark), _prices(spark, dup=True)), id_cols=ID_COLS + PRICE_COLS),
                   _calendar(spark))
     with pytest.raises(Exception, match="duplicate"):
         fact.collect()
@@ -148,3 +150,18 @@ def test_raw_zone_shapes(spark):
     assert cal.where("d = 'd_1'").first()["weekday"] == "Monday"
     prices = read_prices(spark, b.prices)
     assert prices.groupBy("store_id", "item_id", "wm_yr_wk").count().where("count > 1").count() == 0
+
+
+def test_series_price_with_gap_uses_map(spark):
+    """A series whose weeks are not contiguous keeps a week map; contiguous ones are positional."""
+    from shelfcast.operators.enrich import PRICE_COLS, attach_prices
+    from shelfcast.schemas import ID_COLS
+
+    prices = spark.createDataFrame([("CA_1", "A", 1, 2.5), ("CA_1", "A", 3, 3.0)],
+                                   "store_id string, item_id string, wm_yr_wk int, sell_price double")
+    cal = _calendar(spark, days=4).withColumn("wm_yr_wk", F.col("d").substr(3, 1).cast("int"))  # week = day
+    fact = enrich(melt(attach_prices(_wide(spark), prices), id_cols=ID_COLS + PRICE_COLS), cal)
+    got = {r["d"]: r["sell_price"] for r in fact.where("id = 'A_CA_1'").collect()}
+    assert got == {"d_1": 2.5, "d_2": None, "d_3": 3.0, "d_4": None}
+    long = enrich(melt(_wide(spark)), cal, prices)
+    assert sorted(map(tuple, fact.collect())) == sorted(map(tuple, long.collect()))
