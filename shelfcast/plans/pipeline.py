@@ -92,7 +92,11 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
     n_days = len(day_columns(wide.columns))
     calendar, prices = read_calendar(spark, calendar_path), read_prices(spark, prices_path)
     if price_join == "series":
-        fact = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + PRICE_COLS), calendar)
+        # Sorting the wide rows (one per series) orders the melted rows by
+        # (state, store, item, day) inside each task for the price of a
+        # series-level sort, so written files carry tight item/store statistics.
+        series = attach_prices(wide, prices).sortWithinPartitions("state_id", "store_id", "item_id")
+        fact = enrich(melt(series, id_cols=ID_COLS + PRICE_COLS), calendar)
     else:
         fact = enrich(melt(wide), calendar, prices)
     return fact, n_series, n_days

@@ -16,10 +16,11 @@ def write_fact(df: DataFrame, path: str, dynamic: bool = False, partition_cols:
 
     No repartition by state (3 values, one of them 40 % of the rows): each task
     keeps its rows and writes at most one file per state directory, with one
-    open writer per state instead of a sort by the partition column.  Rows from
-    the series-grain transform already arrive series by series in day order, so
-    files keep series contiguous (tight min/max statistics for item/store
-    filters); ``presorted=False`` (rows from a shuffle) sorts them locally first.
+    open writer per state instead of a sort of the fact rows.  Rows from the
+    series-grain transform already arrive ordered by (state, store, item, day)
+    (the wide rows are sorted before the melt), so files carry tight min/max
+    statistics for item/store filters; ``presorted=False`` (rows from a
+    shuffle) sorts them locally first.
     ``dynamic`` replaces only the partitions present in ``df`` (scoped reruns, A7).
     """
     spark = df.sparkSession
