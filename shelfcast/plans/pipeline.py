@@ -111,6 +111,13 @@ def validate(fact: DataFrame, n_series: int, n_days: int) -> list:
     return rows
 
 
+def validate_only(spark: SparkSession, sales_wide_path: str, calendar_path: str, prices_path: str,
+                  states=None, stores=None) -> list:
+    """A7 ``--skip-write``: run the (optionally scoped) transform and its checks without writing."""
+    fact, n_series, n_days = transform(spark, sales_wide_path, calendar_path, prices_path, states, stores)
+    return validate(fact, n_series, n_days)
+
+
 def _read_meta(spark: SparkSession, base: str) -> Build | None:
     meta = f"{base}/processed/_meta"
     if not path_exists(spark, f"{meta}/_SUCCESS"):
