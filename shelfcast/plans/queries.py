@@ -119,9 +119,12 @@ def _versioned(b, name: str, *modules) -> str:
 
 
 def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_cols=()) -> DataFrame:
+    """CTAS into the catalog (A10/A11); the result is read back by path with the table's schema."""
     b = pipeline.stage(spark, sf_dir)
-    catalog.ctas(spark, build(fact(spark, sf_dir)), name, _versioned(b, name, curate), partition_cols)
-    return catalog.table(spark, name)
+    df = build(fact(spark, sf_dir))
+    path = _versioned(b, name, curate)
+    catalog.ctas(spark, df, name, path, partition_cols)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def daily_sales_agg(spark: SparkSession, sf_dir: str) -> DataFrame:

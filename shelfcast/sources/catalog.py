@@ -6,6 +6,7 @@ removes the catalog entry and leaves the files, as in the reference.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from .storage import path_exists
 
 DATABASE = "retail_db"
+_DDL_LOCK = threading.RLock()  # DROP + CREATE pairs must not interleave between threads
 DATABASE_COMMENT = "Retail demand analytics: fact, curated rollups, forecasts"
 
 
@@ -39,12 +41,13 @@ def _ddl(schema: T.StructType) -> str:
 def register_external(spark: SparkSession, name: str, path: str, schema: T.StructType,
                       partition_cols: Sequence[str] = ()) -> None:
     """External Parquet table over existing files with a declared schema; partitions recovered."""
-    ensure_database(spark)
-    drop_table(spark, name)
     part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
-    spark.sql(f"CREATE TABLE {qualified(name)} ({_ddl(schema)}) USING parquet{part} LOCATION '{path}'")
-    if partition_cols:
-        spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
+    with _DDL_LOCK:
+        ensure_database(spark)
+        drop_table(spark, name)
+        spark.sql(f"CREATE TABLE {qualified(name)} ({_ddl(schema)}) USING parquet{part} LOCATION '{path}'")
+        if partition_cols:
+            spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
 
 
 def ctas(spark: SparkSession, df: DataFrame, name: str, path: str, partition_cols: Sequence[str] = ()) -> None:
@@ -56,12 +59,13 @@ def ctas(spark: SparkSession, df: DataFrame, name: str, path: str, partition_col
     if path_exists(spark, f"{path}/_SUCCESS"):
         register_external(spark, name, path, df.schema, partition_cols)
         return
-    ensure_database(spark)
-    drop_table(spark, name)
     writer = df.write.format("parquet").mode("overwrite").option("compression", "snappy").option("path", path)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.saveAsTable(qualified(name))
+    with _DDL_LOCK:
+        ensure_database(spark)
+        drop_table(spark, name)
+        writer.saveAsTable(qualified(name))
 
 
 def show_partitions(spark: SparkSession, name: str) -> DataFrame:
