@@ -7,7 +7,8 @@ hard check fails is the ``_meta`` marker written.  Readers use a build only if
 its marker exists, so a failed or half-written run is never read.
 
 Everything lives under the session's shared checkpoint folder, keyed by the
-input files, so later queries (and other sessions) reuse the published build.
+input files and the build code, so later queries (and other sessions) reuse the
+published build; each build has its own folder and is published by a pointer.
 """
 
 from __future__ import annotations
@@ -150,19 +151,39 @@ def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand"
     return Build(base, info["first_day"], n_days, n_series)
 
 
+_POINTER_SCHEMA = T.StructType([T.StructField("base", T.StringType())])
+
+
+def _read_pointer(spark: SparkSession, key: str) -> Build | None:
+    pointer = f"{key}/_current"
+    if not path_exists(spark, f"{pointer}/_SUCCESS"):
+        return None
+    row = spark.read.schema(_POINTER_SCHEMA).json(pointer).first()
+    return _read_meta(spark, row["base"]) if row is not None else None
+
+
 def stage(spark: SparkSession, sf_dir: str, base: str | None = None) -> Build:
     """Build (once) and publish the raw zone and the validated ``sales_long`` fact for ``sf_dir``.
 
-    ``base`` overrides the input-keyed folder (benchmarks build into a fresh one).
+    Each build writes into its own folder under the input-keyed folder; only
+    after its checks pass is ``<key>/_current`` pointed at it.  A killed build
+    is never read, and two processes building at once each publish a complete
+    build.  ``base`` forces a fresh build into that folder (benchmarks).
     """
+    import uuid
+
     key = build_dir(spark, sf_dir)
     with _LOCK:
         if base is None and key in _MEMO:
             return _MEMO[key]
-        target = base or key
-        build = _read_meta(spark, target)
+        build = None if base is not None else _read_pointer(spark, key)
+        if build is None:
+            build = _read_meta(spark, base) if base is not None else None
         if build is None:
-            build = build_into(spark, sf_dir, target)
+            build = build_into(spark, sf_dir, base or f"{key}/{uuid.uuid4().hex[:12]}")
+            if base is None:
+                spark.createDataFrame([(build.base,)], _POINTER_SCHEMA).coalesce(1).write.mode(
+                    "overwrite").json(f"{key}/_current")
         _MEMO[key] = build
         return build
 

@@ -73,5 +73,10 @@ def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {qualified(name)}")
 
 
+def show_create_table(spark: SparkSession, name: str) -> str:
+    """The table's DDL (schema, format, partitioning, location)."""
+    return spark.sql(f"SHOW CREATE TABLE {qualified(name)}").first()[0]
+
+
 def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(qualified(name))

@@ -46,6 +46,8 @@ def test_catalog_tables(spark, build):
     catalog.register_external(spark, "sales_long_t", build.fact, FACT_SCHEMA, ["state_id"])
     parts = sorted(r[0] for r in catalog.show_partitions(spark, "sales_long_t").collect())
     assert parts == ["state_id=CA", "state_id=TX", "state_id=WI"]
+    ddl = catalog.show_create_table(spark, "sales_long_t")
+    assert "PARTITIONED BY (state_id)" in ddl and "USING parquet" in ddl
     assert catalog.table(spark, "sales_long_t").where("state_id = 'TX'").count() == 75 * build.n_days
     path = f"{work_root(spark)}/tests/ctas-{uuid.uuid4().hex[:8]}"
     small = catalog.table(spark, "sales_long_t").groupBy("state_id").agg(F.count(F.lit(1)).alias("n"))
