@@ -31,6 +31,7 @@ EVENT_CATEGORY = "FOODS"      # category of the benefit-day-by-weekday and named
 OUTLIER_THRESHOLD = 60        # units per item-day (200 on the original data; fixture max is ~150)
 ROUNDTRIP_STATES = ["CA"]     # scope written and read back by the round-trip query
 ROUNDTRIP_CATEGORIES = ["FOODS"]
+NOTEBOOK_SCOPE = {"states": ["CA"], "categories": ["FOODS"]}  # the reference notebook's modelling scope
 NOTEBOOK_COLUMNS = ["item_id", "store_id", "state_id", "cat_id", "dept_id", "date", "day_num", "wday", "weekday",
                     "month", "year", "units_sold", "sell_price", "snap_flag", "has_event"]
 # --------------------------------------------------------------------------------------
@@ -189,6 +190,12 @@ def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) ->
     return read_predictions(spark, path)
 
 
+def notebook_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F26 for the three baselines on the notebook's scope (FOODS in CA), read with partition + column pruning."""
+    f = pipeline.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
+    return scoring.model_scorecard(forecast.baseline_predictions(f))
+
+
 def _on_predictions(fn) -> Query:
     return lambda spark, sf_dir: fn(predictions(spark, sf_dir))
 
@@ -273,6 +280,7 @@ def registry() -> dict[str, Query]:
         "seasonal_naive_28d": _baseline("seasonal_naive_28d"),
         "weekday_mean": _baseline("weekday_mean"),
         "predictions": predictions,
+        "notebook_scorecard": notebook_scorecard,
         "gradient_boosting": gradient_boosting,
         "model_scorecard_all": model_scorecard_all,
         "best_model_all": lambda spark, sf_dir: scoring.best_model(model_scorecard_all(spark, sf_dir)),
