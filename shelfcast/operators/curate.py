@@ -15,7 +15,7 @@ def daily_sales_agg(fact: DataFrame, pk_unique: bool = True) -> DataFrame:
     """day x store x department rollup for dashboards; partition key ``state_id`` last.
 
     ``items_active`` is COUNT(DISTINCT item_id).  The groups fix date and store,
-    so on a fact that is unique on (item_id, store_id, d) — which the pipeline
+    so on a fact that is unique on (item_id, store_id, d) — which the fact job
     checks before publishing — it equals COUNT(item_id).  That form aggregates
     map-side; the distinct form first shuffles every fact row on the 12 keys +
     item_id.  ``pk_unique=False`` keeps the distinct form for unchecked input.

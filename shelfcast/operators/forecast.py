@@ -150,7 +150,6 @@ def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, ste
     trees, so a lost executor replays at most 25 iterations (node-id caching is
     off: at depth 5 it doubled the per-tree cost).
     """
-    from pyspark.ml import Pipeline
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
@@ -170,8 +169,9 @@ def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, ste
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=step_size,
                        seed=seed, maxDepth=max_depth, maxBins=max_bins, minInstancesPerNode=20,
                        checkpointInterval=25, cacheNodeIds=False)
-    model = Pipeline(stages=[imputer, assembler, gbt]).fit(tr)
-    scored = model.transform(te)
+    imputer_model = imputer.fit(tr)  # mean price from the training rows only
+    booster = gbt.fit(assembler.transform(imputer_model.transform(tr)))
+    scored = booster.transform(assembler.transform(imputer_model.transform(te)))
     return scored.select(
         "date", "store_id", "cat_id", "item_id",
         F.col("units_sold").cast("double").alias("actual_units"),

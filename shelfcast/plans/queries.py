@@ -1,7 +1,7 @@
 """Query registry: name -> callable(spark, sf_dir) -> DataFrame.
 
 Every query reads the published ``sales_long`` fact (or tables Spark derived
-from it: curated rollups, predictions), which the pipeline builds once per
+from it: curated rollups, predictions), which the fact job builds once per
 input directory from ``lineitem`` + ``part``.
 """
 
@@ -19,7 +19,7 @@ from ..sources import catalog
 from ..sources.readers import read_fact, read_predictions, read_sales_wide
 from ..sources.storage import path_exists
 from ..sources.writers import write_fact, write_predictions, write_small_csv
-from . import pipeline
+from . import fact_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,7 @@ NOTEBOOK_COLUMNS = ["item_id", "store_id", "state_id", "cat_id", "dept_id", "dat
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.sales_long(spark, sf_dir)
+    return fact_job.sales_long(spark, sf_dir)
 
 
 def _on_fact(fn) -> Query:
@@ -49,15 +49,15 @@ def _on_fact(fn) -> Query:
 
 def melt_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw wide sales file read with a header-derived schema and melted."""
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     return melt(read_sales_wide(spark, b.sales_wide)).select(
         "id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "d", "day_num", "units_sold")
 
 
 def fact_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transform plan from the three raw files (not the staged copy)."""
-    b = pipeline.stage(spark, sf_dir)
-    df, _, _ = pipeline.transform(spark, b.sales_wide, b.calendar, b.prices)
+    b = fact_job.stage(spark, sf_dir)
+    df, _, _ = fact_job.transform(spark, b.sales_wide, b.calendar, b.prices)
     return df
 
 
@@ -67,10 +67,10 @@ def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     The scoped output is partitioned by state *and* store, so a store- or
     state-scoped rerun replaces only its own directories.
     """
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     path = f"{b.base}/processed/sales_long_scoped"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        df, _, _ = pipeline.transform(spark, b.sales_wide, b.calendar, b.prices, states=ROUNDTRIP_STATES)
+        df, _, _ = fact_job.transform(spark, b.sales_wide, b.calendar, b.prices, states=ROUNDTRIP_STATES)
         write_fact(df, path, dynamic=True, partition_cols=("state_id", "store_id"))
     schema_cols = [c for c in FACT_SCHEMA.fieldNames() if c not in ("state_id", "store_id")] + ["state_id", "store_id"]
     back = spark.read.schema(_reorder(FACT_SCHEMA, schema_cols)).parquet(path)
@@ -86,7 +86,7 @@ def _reorder(schema, names):
 
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register the fact as an external partitioned table and list its partitions."""
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     catalog.register_external(spark, "sales_long", b.fact, FACT_SCHEMA, ["state_id"])
     return catalog.show_partitions(spark, "sales_long")
 
@@ -94,17 +94,17 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- checks
 
 def fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     return checks.fact_checks(fact(spark, sf_dir), b.n_series, b.n_days)
 
 
 def checks_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = pipeline.stage(spark, sf_dir)
-    return checks.checks_by_store(fact(spark, sf_dir), pipeline.series_per_store(spark, sf_dir), b.n_days)
+    b = fact_job.stage(spark, sf_dir)
+    return checks.checks_by_store(fact(spark, sf_dir), fact_job.series_per_store(spark, sf_dir), b.n_days)
 
 
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     return checks.quality_summary(fact(spark, sf_dir), b.n_series * b.n_days, b.n_series)
 
 
@@ -121,7 +121,7 @@ def _versioned(b, name: str, *modules) -> str:
 
 def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_cols=()) -> DataFrame:
     """CTAS into the catalog (A10/A11); the result is read back by path with the table's schema."""
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     df = build(fact(spark, sf_dir))
     path = _versioned(b, name, curate)
     catalog.ctas(spark, df, name, path, partition_cols)
@@ -169,7 +169,7 @@ def _baseline(model: str) -> Query:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline predictions written once (partitioned by model) and read as an external table."""
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     path = _versioned(b, "forecast_vs_actual", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
@@ -182,7 +182,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) -> DataFrame:
     """M6: boosted-tree predictions, written once per build (training is the expensive part)."""
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     path = _versioned(b, f"gbt_predictions_{max_iter}", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
@@ -192,7 +192,7 @@ def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) ->
 
 def notebook_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F26 for the three baselines on the notebook's scope (FOODS in CA), read with partition + column pruning."""
-    f = pipeline.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
+    f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
     return scoring.model_scorecard(forecast.baseline_predictions(f))
 
 
@@ -208,7 +208,7 @@ def all_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F26 over all four models; the scorecard is also kept as a one-file CSV next to the predictions."""
     card = scoring.model_scorecard(all_predictions(spark, sf_dir))
-    b = pipeline.stage(spark, sf_dir)
+    b = fact_job.stage(spark, sf_dir)
     path = _versioned(b, "model_scorecard_csv", forecast, scoring)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         write_small_csv(card, path)

@@ -14,7 +14,7 @@ BUILD_VERSION = "5"
 BUILD_MODULES = [
     "shelfcast.schemas", "shelfcast.sources.fixture", "shelfcast.sources.readers", "shelfcast.sources.writers",
     "shelfcast.operators.reshape", "shelfcast.operators.enrich", "shelfcast.operators.checks",
-    "shelfcast.plans.pipeline", "shelfcast.functions.numeric",
+    "shelfcast.plans.fact_job", "shelfcast.functions.numeric",
 ]
 
 

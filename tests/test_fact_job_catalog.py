@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators.enrich import ValidationError
-from shelfcast.plans import pipeline
+from shelfcast.plans import fact_job
 from shelfcast.schemas import FACT_SCHEMA
 from shelfcast.session import work_root
 from shelfcast.sources import catalog
@@ -17,22 +17,22 @@ from .conftest import SF_SMALL
 
 @pytest.fixture(scope="module")
 def build(spark):
-    return pipeline.stage(spark, SF_SMALL)
+    return fact_job.stage(spark, SF_SMALL)
 
 
 def test_validate_only_scoped(spark, build):
-    rows = pipeline.validate_only(spark, build.sales_wide, build.calendar, build.prices, stores=["TX_2"])
+    rows = fact_job.validate_only(spark, build.sales_wide, build.calendar, build.prices, stores=["TX_2"])
     by = {r["check_name"]: r for r in rows}
     assert by["row_count_matches_series_x_days"]["actual"] == f"{25 * build.n_days:,}"
     with pytest.raises(ValidationError, match="zero rows"):
-        pipeline.validate_only(spark, build.sales_wide, build.calendar, build.prices, stores=["XX_9"])
+        fact_job.validate_only(spark, build.sales_wide, build.calendar, build.prices, stores=["XX_9"])
 
 
 def test_store_scoped_rerun_replaces_only_its_partitions(spark, build):
     path = f"{work_root(spark)}/tests/scoped-{uuid.uuid4().hex[:8]}"
-    ca, _, _ = pipeline.transform(spark, build.sales_wide, build.calendar, build.prices, states=["CA"])
+    ca, _, _ = fact_job.transform(spark, build.sales_wide, build.calendar, build.prices, states=["CA"])
     write_fact(ca, path, dynamic=True, partition_cols=("state_id", "store_id"))
-    one, _, _ = pipeline.transform(spark, build.sales_wide, build.calendar, build.prices, stores=["CA_1"])
+    one, _, _ = fact_job.transform(spark, build.sales_wide, build.calendar, build.prices, stores=["CA_1"])
     write_fact(one.withColumn("units_sold", F.lit(-1)), path, dynamic=True, partition_cols=("state_id", "store_id"))
     back = spark.read.parquet(path)
     per_store = {r["store_id"]: (r["n"], r["m"]) for r in

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.enrich import ValidationError, assert_unique_keys, enrich, resolve_snap
 from shelfcast.operators.reshape import day_columns, melt
-from shelfcast.plans.pipeline import validate
+from shelfcast.plans.fact_job import validate
 from shelfcast.schemas import CALENDAR_COLS
 
 from .frames import WIDE_SCHEMA
@@ -137,12 +137,12 @@ def test_read_sales_wide_variant_from_header(spark, tmp_path):
 
 def test_raw_zone_shapes(spark):
     """The derived raw files: 250 series x 2,499 day columns, dense calendar, prices after first sale."""
-    from shelfcast.plans import pipeline
+    from shelfcast.plans import fact_job
     from shelfcast.sources.readers import read_calendar, read_prices, read_sales_wide
 
     from .conftest import SF_SMALL
 
-    b = pipeline.stage(spark, SF_SMALL)
+    b = fact_job.stage(spark, SF_SMALL)
     wide = read_sales_wide(spark, b.sales_wide)
     assert wide.count() == 250 and len(day_columns(wide.columns)) == b.n_days == 2499
     cal = read_calendar(spark, b.calendar)
