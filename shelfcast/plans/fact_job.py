@@ -96,6 +96,11 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
         # Sorting the wide rows (one per series) orders the melted rows by
         # (state, store, item, day) inside each task for the price of a
         # series-level sort, so written files carry tight item/store statistics.
+        # Wide rows are small in bytes but each expands to n_days fact rows, so
+        # file splits are a poor unit of work: hash them by series over the
+        # shuffle width (the partitioning the price join needs anyway).
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wide = wide.repartition(width, "store_id", "item_id")
         series = attach_prices(wide, prices).sortWithinPartitions("state_id", "store_id", "item_id")
         fact = enrich(melt(series, id_cols=ID_COLS + PRICE_COLS), calendar)
     else:
