@@ -99,7 +99,7 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
         # Wide rows are small in bytes but each expands to n_days fact rows, so
         # file splits are a poor unit of work: hash them by series over the
         # shuffle width (the partitioning the price join needs anyway).
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        width = _shuffle_width(spark)
         wide = wide.repartition(width, "store_id", "item_id")
         series = attach_prices(wide, prices).sortWithinPartitions("state_id", "store_id", "item_id")
         fact = enrich(melt(series, id_cols=ID_COLS + PRICE_COLS), calendar)
@@ -108,6 +108,13 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
     return fact, n_series, n_days
 
 
+def _shuffle_width(spark: SparkSession) -> int:
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):  # e.g. "auto" on some platforms
+        return spark.sparkContext.defaultParallelism
+
+
 def validate(fact: DataFrame, n_series: int, n_days: int) -> list:
     """F29 on a (staged) fact; raises ValidationError on any hard failure."""
     rows = checks.fact_checks(fact, n_series, n_days).collect()

@@ -52,7 +52,8 @@ def line_units(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFr
     """(ik, bn, sn, dt, q) per line; pruned to 4 + 2 columns at the scans.
 
     ``ik`` is the item key: the brand number (the FIXTURES grain, 25 items) or,
-    with ``grain="part"``, the part key (one item per part: an M5-sized grid at sf0.01).
+    with ``grain="part"``, the part key (one item per part: at sf0.01 a grid the size of the
+    reference's full fact).
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")

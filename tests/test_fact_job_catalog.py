@@ -57,3 +57,19 @@ def test_catalog_tables(spark, build):
         ("CA", 100 * build.n_days), ("TX", 75 * build.n_days), ("WI", 75 * build.n_days)]
     catalog.drop_table(spark, "rows_per_state_t")
     assert spark.read.parquet(path).count() == 3  # DROP TABLE keeps the external files
+
+
+def test_failed_checks_do_not_publish(spark, monkeypatch):
+    """A build whose checks fail leaves no marker, so no reader can pick it up."""
+    from shelfcast.sources.storage import path_exists
+
+    def fail(*_a, **_k):
+        raise ValidationError("injected hard failure")
+
+    monkeypatch.setattr(fact_job, "validate", fail)
+    base = f"{work_root(spark)}/tests/unpublished-{uuid.uuid4().hex[:8]}"
+    with pytest.raises(ValidationError, match="injected"):
+        fact_job.build_into(spark, SF_SMALL, base)
+    assert path_exists(spark, f"{base}/processed/sales_long/_SUCCESS")  # staged ...
+    assert not path_exists(spark, f"{base}/processed/_meta/_SUCCESS")  # ... but never published
+    assert fact_job._read_meta(spark, base) is None
