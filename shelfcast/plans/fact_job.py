@@ -3,7 +3,7 @@
 Same fail-before-publish contract as the reference's transform, without
 recomputing the plan per check: the fact is written once (partitioned by state),
 the checks run on the staged Parquet (a cheap columnar scan), and only when no
-hard check fails is the ``_meta`` marker written.  Readers use a build only if
+hard check fails is the ``meta`` marker written.  Readers use a build only if
 its marker exists, so a failed or half-written run is never read.
 
 Everything lives under the session's shared checkpoint folder, keyed by the
@@ -70,7 +70,7 @@ class Build:
 
     @property
     def checks(self) -> str:
-        return f"{self.base}/processed/_validation_summary"
+        return f"{self.base}/processed/validation_summary"
 
     def curated(self, name: str) -> str:
         return f"{self.base}/curated/{name}"
@@ -132,7 +132,7 @@ def validate_only(spark: SparkSession, sales_wide_path: str, calendar_path: str,
 
 
 def _read_meta(spark: SparkSession, base: str) -> Build | None:
-    meta = f"{base}/processed/_meta"
+    meta = f"{base}/processed/meta"
     if not path_exists(spark, f"{meta}/_SUCCESS"):
         return None
     row = spark.read.schema(_META_SCHEMA).json(meta).first()
@@ -159,7 +159,7 @@ def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand"
                        checks=round(time.time() - t_write, 3), rows=n_series * n_days, series=n_series)
     write_small_csv(checks.fact_checks(staged, n_series, n_days), tmp.checks)
     meta = spark.createDataFrame([(info["first_day"], n_days, n_series)], _META_SCHEMA)
-    meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/_meta")
+    meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/meta")
     return Build(base, info["first_day"], n_days, n_series)
 
 
@@ -167,7 +167,7 @@ _POINTER_SCHEMA = T.StructType([T.StructField("base", T.StringType())])
 
 
 def _read_pointer(spark: SparkSession, key: str) -> Build | None:
-    pointer = f"{key}/_current"
+    pointer = f"{key}/current"
     if not path_exists(spark, f"{pointer}/_SUCCESS"):
         return None
     row = spark.read.schema(_POINTER_SCHEMA).json(pointer).first()
@@ -178,7 +178,7 @@ def stage(spark: SparkSession, sf_dir: str, base: str | None = None) -> Build:
     """Build (once) and publish the raw zone and the validated ``sales_long`` fact for ``sf_dir``.
 
     Each build writes into its own folder under the input-keyed folder; only
-    after its checks pass is ``<key>/_current`` pointed at it.  A killed build
+    after its checks pass is ``<key>/current`` pointed at it.  A killed build
     is never read, and two processes building at once each publish a complete
     build.  ``base`` forces a fresh build into that folder (benchmarks).
     """
@@ -195,7 +195,7 @@ def stage(spark: SparkSession, sf_dir: str, base: str | None = None) -> Build:
             build = build_into(spark, sf_dir, base or f"{key}/{uuid.uuid4().hex[:12]}")
             if base is None:
                 spark.createDataFrame([(build.base,)], _POINTER_SCHEMA).coalesce(1).write.mode(
-                    "overwrite").json(f"{key}/_current")
+                    "overwrite").json(f"{key}/current")
         _MEMO[key] = build
         return build
 

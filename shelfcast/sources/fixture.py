@@ -210,13 +210,13 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str, grain: str =
     written once to the work folder and read back (no second lineitem scan).
     """
     first_day, n_days = calendar_bounds(spark, sf_dir)
-    daily_units(spark, sf_dir, first_day, grain).write.mode("overwrite").parquet(f"{raw_dir}/_daily_units")
+    daily_units(spark, sf_dir, first_day, grain).write.mode("overwrite").parquet(f"{raw_dir}/daily_units")
     # The sparse sums are small in bytes but each series expands to n_days values
     # (and a price per week): spread the series over all cores explicitly, or AQE
     # would coalesce the tiny shuffle into one task.  The per-series grouping below
     # reuses this partitioning (no second shuffle).
     parallelism = spark.sparkContext.defaultParallelism
-    daily = spark.read.parquet(f"{raw_dir}/_daily_units").repartition(parallelism, "ik", "bn", "sn")
+    daily = spark.read.parquet(f"{raw_dir}/daily_units").repartition(parallelism, "ik", "bn", "sn")
     header = ",".join(wide_header(n_days))
     wide = sales_wide_lines(daily, n_days, grain)
     line = F.concat_ws(",", *[F.col(c) for c in ID_COLS], F.col("units_csv"))

@@ -71,5 +71,5 @@ def test_failed_checks_do_not_publish(spark, monkeypatch):
     with pytest.raises(ValidationError, match="injected"):
         fact_job.build_into(spark, SF_SMALL, base)
     assert path_exists(spark, f"{base}/processed/sales_long/_SUCCESS")  # staged ...
-    assert not path_exists(spark, f"{base}/processed/_meta/_SUCCESS")  # ... but never published
+    assert not path_exists(spark, f"{base}/processed/meta/_SUCCESS")  # ... but never published
     assert fact_job._read_meta(spark, base) is None
