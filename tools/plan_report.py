@@ -14,6 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
+from shelfcast.schemas import FACT_COLS  # noqa: E402
 from shelfcast.session import local_session  # noqa: E402
 
 SKIP = {"gradient_boosting", "model_scorecard_all", "best_model_all", "forecast_daily_by_model_all"}
@@ -26,9 +27,13 @@ def _count(plan: str, pat: str) -> int:
 def _scan_info(plan: str) -> str:
     out = []
     for line in plan.split("\n"):
-        if "FileScan parquet" not in line or "sales_long" not in line:
+        if "FileScan parquet" not in line:
             continue
         rs = re.search(r"ReadSchema: struct<([^>]*)>", line)
+        fields = {f.split(":")[0] for f in rs.group(1).split(",")} if rs else set()
+        partitioned_by_state = "state_id" in line.split("ReadSchema")[0] if rs else False
+        if not rs or not fields <= set(FACT_COLS) or not (partitioned_by_state or "units_sold" in fields):
+            continue
         pf = re.search(r"PartitionFilters: \[([^\]]*)\]", line)
         pu = re.search(r"PushedFilters: \[([^\]]*)\]", line)
         cols = rs.group(1).count(":") if rs else "?"
