@@ -29,7 +29,7 @@ def _scan_info(plan: str) -> str:
     for line in plan.split("\n"):
         if "FileScan parquet" not in line:
             continue
-        rs = re.search(r"ReadSchema: struct<([^>]*)>", line)
+        rs = re.search(r"ReadSchema: struct<([^>]*)", line)
         fields = {f.split(":")[0] for f in rs.group(1).split(",")} if rs else set()
         partitioned_by_state = "state_id" in line.split("ReadSchema")[0] if rs else False
         if not rs or not fields <= set(FACT_COLS) or not (partitioned_by_state or "units_sold" in fields):
@@ -49,6 +49,7 @@ def _scan_info(plan: str) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated scan details
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_report.py` on `{sf}` (AQE initial plans; AQE may still turn a "
           "sort-merge join into a broadcast join, or coalesce partitions, from runtime sizes).  "
