@@ -31,7 +31,7 @@ def round_ratio(num: Column | str, den: Column | str, digits: int) -> Column:
     scale = 10 ** digits
     n = F.abs(num.cast(_DEC)) * F.lit(2 * scale).cast(_DEC) + F.abs(den.cast(_DEC))
     d = F.abs(den.cast(_DEC)) * F.lit(2).cast(_DEC)
-    q = ((n - F.pmod(n, d)) / d).cast("long")
+    q = ((n - F.pmod(n, d)) / d).cast(_DEC)  # exact: the division has no remainder
     signed = F.when((num < 0) != (den < 0), -q).otherwise(q)
     return F.when(den.isNull() | (den == 0), F.lit(None).cast("double")).otherwise(
         signed.cast("double") / F.lit(float(scale))

@@ -25,16 +25,17 @@ from ..operators import checks
 from ..operators.enrich import ValidationError, enrich
 from ..operators.reshape import day_columns, melt
 from ..operators.enrich import PRICE_COLS
-from ..schemas import ID_COLS
+from ..schemas import FACT_SCHEMA, ID_COLS
 from ..sources import fixture
-from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_wide
+from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_wide, scope_fact
 from ..sources.storage import build_dir, path_exists
-from ..sources.writers import write_fact, write_small_csv
+from ..sources.writers import BUCKET_COLS, write_fact, write_small_csv
 
 _META_SCHEMA = T.StructType([
     T.StructField("first_day", T.DateType()),
     T.StructField("n_days", T.IntegerType()),
     T.StructField("n_series", T.LongType()),
+    T.StructField("n_buckets", T.IntegerType()),
 ])
 
 _LOCK = threading.Lock()
@@ -47,6 +48,7 @@ class Build:
     first_day: dt.date
     n_days: int
     n_series: int
+    n_buckets: int = 0
 
     @property
     def raw(self) -> str:
@@ -75,9 +77,16 @@ class Build:
     def curated(self, name: str) -> str:
         return f"{self.base}/curated/{name}"
 
+    @property
+    def fact_table(self) -> str:
+        import hashlib
+
+        return "sales_long_" + hashlib.sha1(self.base.encode()).hexdigest()[:12]
+
 
 def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, prices_path: str,
-              states=None, stores=None, price_join: str = "series") -> tuple[DataFrame, int, int]:
+              states=None, stores=None, price_join: str = "series", width: int | None = None
+              ) -> tuple[DataFrame, int, int]:
     """The transform proper: read the three raw files, melt, enrich. Returns (fact, n_series, n_days).
 
     ``price_join="series"`` (default) attaches each series' weekly price map to
@@ -99,8 +108,7 @@ def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, pri
         # Wide rows are small in bytes but each expands to n_days fact rows, so
         # file splits are a poor unit of work: hash them by series over the
         # shuffle width (the partitioning the price join needs anyway).
-        width = _shuffle_width(spark)
-        wide = wide.repartition(width, "store_id", "item_id")
+        wide = wide.repartition(width or _shuffle_width(spark), *BUCKET_COLS)
         series = attach_prices(wide, prices).sortWithinPartitions("state_id", "store_id", "item_id")
         fact = enrich(melt(series, id_cols=ID_COLS + PRICE_COLS), calendar)
     else:
@@ -138,7 +146,7 @@ def _read_meta(spark: SparkSession, base: str) -> Build | None:
     row = spark.read.schema(_META_SCHEMA).json(meta).first()
     if row is None:
         return None
-    return Build(base, row["first_day"], row["n_days"], row["n_series"])
+    return Build(base, row["first_day"], row["n_days"], row["n_series"], row["n_buckets"] or 0)
 
 
 def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand", timings: dict | None = None) -> Build:
@@ -149,8 +157,9 @@ def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand"
     info = fixture.write_raw_zone(spark, sf_dir, f"{base}/raw", grain)
     t_raw = time.time()
     tmp = Build(base, info["first_day"], info["n_days"], 0)
-    fact, n_series, n_days = transform(spark, tmp.sales_wide, tmp.calendar, tmp.prices)
-    write_fact(fact, tmp.fact)
+    width = _shuffle_width(spark)
+    fact, n_series, n_days = transform(spark, tmp.sales_wide, tmp.calendar, tmp.prices, width=width)
+    write_fact(fact, tmp.fact, buckets=width, table=tmp.fact_table)
     t_write = time.time()
     staged = read_fact(spark, tmp.fact)
     validate(staged, n_series, n_days)
@@ -158,9 +167,9 @@ def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand"
         timings.update(raw_zone=round(t_raw - t, 3), transform_write=round(t_write - t_raw, 3),
                        checks=round(time.time() - t_write, 3), rows=n_series * n_days, series=n_series)
     write_small_csv(checks.fact_checks(staged, n_series, n_days), tmp.checks)
-    meta = spark.createDataFrame([(info["first_day"], n_days, n_series)], _META_SCHEMA)
+    meta = spark.createDataFrame([(info["first_day"], n_days, n_series, width)], _META_SCHEMA)
     meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/meta")
-    return Build(base, info["first_day"], n_days, n_series)
+    return Build(base, info["first_day"], n_days, n_series, width)
 
 
 _POINTER_SCHEMA = T.StructType([T.StructField("base", T.StringType())])
@@ -200,9 +209,27 @@ def stage(spark: SparkSession, sf_dir: str, base: str | None = None) -> Build:
         return build
 
 
+def fact_table(spark: SparkSession, b: Build) -> str:
+    """The published fact as a bucketed external table in this session's catalog (registered once)."""
+    from ..sources import catalog
+
+    if not catalog.table_exists(spark, b.fact_table):
+        catalog.register_external(spark, b.fact_table, b.fact, FACT_SCHEMA, ["state_id"],
+                                  bucket_by=(b.n_buckets, BUCKET_COLS))
+    return catalog.qualified(b.fact_table)
+
+
 def sales_long(spark: SparkSession, sf_dir: str, columns=None, states=None, categories=None) -> DataFrame:
-    """The published fact as a DataFrame (partition + column pruning applied at the scan)."""
-    return read_fact(spark, stage(spark, sf_dir).fact, columns=columns, states=states, categories=categories)
+    """The published fact as a DataFrame (partition + column pruning applied at the scan).
+
+    Read through its bucketed table, so plans grouped, windowed or joined by
+    series can use the bucketing instead of a shuffle (Spark only scans by
+    bucket when that removes an exchange; otherwise it splits files as usual).
+    """
+    b = stage(spark, sf_dir)
+    if not b.n_buckets:
+        return read_fact(spark, b.fact, columns=columns, states=states, categories=categories)
+    return scope_fact(spark.table(fact_table(spark, b)), columns, states, categories)
 
 
 def series_per_store(spark: SparkSession, sf_dir: str) -> DataFrame:

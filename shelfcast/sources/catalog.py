@@ -39,9 +39,14 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def register_external(spark: SparkSession, name: str, path: str, schema: T.StructType,
-                      partition_cols: Sequence[str] = ()) -> None:
-    """External Parquet table over existing files with a declared schema; partitions recovered."""
+                      partition_cols: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """External Parquet table over existing files with a declared schema; partitions recovered.
+
+    ``bucket_by=(n, cols)`` declares how the files were bucketed when written.
+    """
     part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    if bucket_by:
+        part += f" CLUSTERED BY ({', '.join(bucket_by[1])}) INTO {int(bucket_by[0])} BUCKETS"
     with _DDL_LOCK:
         ensure_database(spark)
         drop_table(spark, name)
@@ -73,6 +78,10 @@ def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {qualified(name)}")
 
 
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(qualified(name))
+
+
 def show_create_table(spark: SparkSession, name: str) -> str:
     """The table's DDL (schema, format, partitioning, location)."""
     return spark.sql(f"SHOW CREATE TABLE {qualified(name)}").first()[0]

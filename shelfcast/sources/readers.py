@@ -43,7 +43,12 @@ def read_fact(
     ``state_id`` is the partition column, so a state scope prunes directories;
     ``cat_id`` is pushed to the Parquet reader as a data filter.
     """
-    df = spark.read.schema(FACT_SCHEMA).parquet(path)
+    return scope_fact(spark.read.schema(FACT_SCHEMA).parquet(path), columns, states, categories)
+
+
+def scope_fact(df: DataFrame, columns: Iterable[str] | None = None, states: Iterable[str] | None = None,
+               categories: Iterable[str] | None = None) -> DataFrame:
+    """Projection + state/category scope on a fact frame (file path or catalog table)."""
     if states is not None:
         df = df.where(F.col("state_id").isin(list(states)))
     if categories is not None:

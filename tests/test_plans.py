@@ -45,3 +45,11 @@ def test_calendar_is_broadcast(spark):
 def test_multi_distinct_has_no_expand(spark):
     for key in ("rows_by_state", "grand_total_check", "scope_profile"):
         assert "Expand" not in _plan(E.queries()[key](spark, SF_SMALL)), key
+
+
+def test_bucketed_fact_removes_series_shuffles(spark):
+    """The fact is bucketed by (store_id, item_id): series windows and aggregates need no exchange."""
+    for key in ("lag_features", "pk_duplicates", "naive_last_value"):
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+        assert "Exchange hashpartitioning" not in plan, key
+        assert "bucketed" in plan.lower() or "SelectedBucketsCount" in plan, key

@@ -3,7 +3,7 @@
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
-from hypothesis import given, settings
+from hypothesis import assume, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -59,6 +59,13 @@ def test_scorecard_matches_numpy(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.integers(-10**15, 10**15), st.integers(1, 10**9), st.integers(0, 4))
 def test_round_ratio_property(spark, num, den, digits):
+    assume(abs(num) * 10**digits // den < 2**53)  # where a double holds every digit of the result
     got = spark.range(1).select(round_ratio(F.lit(num), F.lit(den), digits)).first()[0]
     want = (Decimal(num) / Decimal(den)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP)
     assert got == float(want)
+
+
+def test_round_ratio_large_values_do_not_overflow(spark):
+    num = 922_337_203_685_478_000
+    got = spark.range(1).select(round_ratio(F.lit(num), F.lit(7), 4)).first()[0]
+    assert abs(got - num / 7) / (num / 7) < 1e-15
