@@ -1,8 +1,9 @@
 """Backtest of 28-day forecasts: M1 split, M2-M4 baselines, M5 lag features, M6 boosting, M7 predictions.
 
 Baselines are lookups built from map-side partial aggregates over the training
-rows (one small row per series, or per series x weekday), joined to the test
-rows on the series key — the whole fact is never sorted for them.  Lag features
+rows (one small row per series: a value, or a map of at most 7 / 28 entries),
+joined to the test rows on the series key alone — the bucketed fact co-locates
+both sides, and the whole fact is never sorted for them.  Lag features
 need every training row, so they are one window pass partitioned by series
 (at most one row per day per series) with date-based RANGE frames, which stay
 correct on sparse series where row-based shifts would not.
@@ -83,22 +84,33 @@ def seasonal_naive(fact: DataFrame, test: DataFrame, cutoff: dt.date, horizon: i
                    lag_days: int = 28) -> DataFrame:
     """M3: the value ``lag_days`` calendar days earlier (date-based, sparse-safe), 0 when absent.
 
-    Only the ``horizon`` days the test window looks back to are read (pushed-down date filter).
+    Only the ``horizon`` days the test window looks back to are read (pushed-down
+    date filter); they are collected per series into a ``date -> units`` map
+    (at most ``horizon`` entries) and joined on the series key alone, which the
+    bucketed fact co-locates (no shuffle).
     """
     lo = cutoff - dt.timedelta(days=lag_days)
     hi = cutoff + dt.timedelta(days=horizon - 1 - lag_days)
-    hist = fact.where((F.col("date") >= F.lit(lo)) & (F.col("date") <= F.lit(hi))).select(
-        *SERIES_KEY, F.date_add("date", lag_days).alias("date"), F.col("units_sold").alias("hist_units"))
-    joined = test.join(hist, SERIES_KEY + ["date"], "left")
-    return _prediction(joined, F.coalesce(F.col("hist_units").cast("double"), F.lit(0.0)), MODEL_NAMES[1])
+    hist = fact.where((F.col("date") >= F.lit(lo)) & (F.col("date") <= F.lit(hi))).groupBy(*SERIES_KEY).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.date_add("date", lag_days), F.col("units_sold")))).alias("hist"))
+    joined = test.join(hist, SERIES_KEY, "left")
+    value = F.try_element_at(F.col("hist"), F.col("date"))
+    return _prediction(joined, F.coalesce(value.cast("double"), F.lit(0.0)), MODEL_NAMES[1])
 
 
 def weekday_mean(train: DataFrame, test: DataFrame) -> DataFrame:
-    """M4: training mean per series and weekday, 0 when the series has no such day."""
-    wm = train.groupBy(*SERIES_KEY, "wday").agg(
+    """M4: training mean per series and weekday, 0 when the series has no such day.
+
+    The (at most 7) means of a series are collected into a ``wday -> mean`` map
+    and joined on the series key alone (co-located by the bucketed fact).
+    """
+    means = train.groupBy(*SERIES_KEY, "wday").agg(
         (F.sum("units_sold").cast("double") / F.count("units_sold").cast("double")).alias("wday_mean"))
-    joined = test.join(wm, SERIES_KEY + ["wday"], "left")
-    return _prediction(joined, F.coalesce(F.col("wday_mean"), F.lit(0.0)), MODEL_NAMES[2])
+    by_series = means.groupBy(*SERIES_KEY).agg(
+        F.map_from_entries(F.collect_list(F.struct("wday", "wday_mean"))).alias("wday_means"))
+    joined = test.join(by_series, SERIES_KEY, "left")
+    value = F.try_element_at(F.col("wday_means"), F.col("wday"))
+    return _prediction(joined, F.coalesce(value, F.lit(0.0)), MODEL_NAMES[2])
 
 
 def baseline_predictions(fact: DataFrame, horizon: int = HORIZON, cutoff: dt.date | None = None) -> DataFrame:
