@@ -13,5 +13,4 @@ from .numeric import (  # noqa: F401
     pct_rounded,
     round_ratio,
     safe_div,
-    share_rounded,
 )

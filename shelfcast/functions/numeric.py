@@ -49,11 +49,6 @@ def pct_rounded(part: Column, whole: Column, digits: int) -> Column:
     return round_ratio(part.cast(_DEC) * F.lit(100).cast(_DEC), whole, digits)
 
 
-def share_rounded(cond: Column, digits: int) -> Column:
-    """``ROUND(100.0 * AVG(CASE WHEN cond THEN 1.0 ELSE 0.0 END), digits)`` (ANSI-safe, one pass)."""
-    return pct_rounded(F.sum(F.when(cond, 1).otherwise(0)), F.count(F.lit(1)), digits)
-
-
 def cents(c: Column | str) -> Column:
     """Money column (exact cents in a double) to integer cents."""
     return F.round(_col(c) * F.lit(100.0)).cast("long")

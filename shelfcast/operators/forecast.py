@@ -25,7 +25,6 @@ MODEL_NAMES = ["naive_last_value", "seasonal_naive_28d", "weekday_mean", "gradie
 BASELINES = MODEL_NAMES[:3]
 LAG_FEATURES = ["lag_28", "lag_35", "roll_28"]
 FEATURES = ["wday", "month", "snap_flag", "has_event", "sell_price"] + LAG_FEATURES
-PRED_COLS = ["date", "store_id", "cat_id", "item_id", "actual_units", "forecast_units", "model_name"]
 
 
 # ---------------------------------------------------------------- M1 split

@@ -16,7 +16,7 @@ from ..operators import checks, curate, effects, forecast, price, quality, scori
 from ..operators.reshape import melt
 from ..schemas import FACT_SCHEMA, PREDICTIONS_SCHEMA
 from ..sources import catalog
-from ..sources.readers import read_fact, read_predictions, read_sales_wide
+from ..sources.readers import read_predictions, read_sales_wide
 from ..sources.storage import path_exists
 from ..sources.writers import write_fact, write_predictions, write_small_csv
 from . import fact_job
@@ -287,5 +287,3 @@ def registry() -> dict[str, Query]:
         "forecast_daily_by_model_all": forecast_daily_by_model_all,
     }
 
-
-READ_FACT = read_fact  # re-export for callers that scope the fact themselves

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from shelfcast.operators import checks, effects, forecast, scoring
 from shelfcast.schemas import PREDICTIONS_SCHEMA
 
