@@ -123,27 +123,38 @@ def baseline_predictions(fact: DataFrame, horizon: int = HORIZON, cutoff: dt.dat
 
 # ---------------------------------------------------------------- M5 lag features
 
-def lag_features(fact: DataFrame) -> DataFrame:
-    """lag_28, lag_35 (value exactly 28/35 days earlier) and roll_28 (mean of days t-55..t-28).
-
-    One window spec (partition series, order day_num); the three RANGE frames
-    are evaluated in the same Window operator, i.e. one shuffle and one sort.
-    ``roll_28`` is NULL when the frame is empty, like a rolling mean with
-    ``min_periods=1`` over a shifted series.
+def lag_features(fact: DataFrame, dense: bool = False) -> DataFrame:
+    """lag_28, lag_35 (value 28/35 days earlier) and roll_28 (mean of days t-55..t-28).
+
+    One window spec (partition series, order day_num): one Window operator, one
+    sort, and no shuffle on the bucketed fact.  ``roll_28`` is a difference of
+    two running sums / counts (incremental frames, O(1) per row) instead of a
+    28-row sliding frame that Spark re-aggregates for every row; it is NULL when
+    the window is empty, like a rolling mean with ``min_periods=1`` over a
+    shifted series.
+
+    ``dense=True`` (every series has every day once — what the transform checks
+    before publishing) uses row offsets, as the reference's shift does; the
+    default uses RANGE frames on ``day_num`` so sparse series get the value
+    exactly k days earlier.
     """
     w = Window.partitionBy(*SERIES_KEY).orderBy("day_num")
-    roll = w.rangeBetween(-55, -28)
-    return fact.select(
-        "*",
-        F.max("units_sold").over(w.rangeBetween(-28, -28)).alias("lag_28"),
-        F.max("units_sold").over(w.rangeBetween(-35, -35)).alias("lag_35"),
-        safe_div(F.sum("units_sold").over(roll), F.count("units_sold").over(roll)).alias("roll_28"),
-    )
-
-
-def model_frames(fact: DataFrame, cutoff: dt.date) -> tuple[DataFrame, DataFrame]:
+    start = Window.unboundedPreceding
+    frame = w.rowsBetween if dense else w.rangeBetween
+    units = F.col("units_sold")
+    if dense:
+        lag_28, lag_35 = F.lag(units, 28).over(w), F.lag(units, 35).over(w)
+    else:
+        lag_28, lag_35 = F.max(units).over(w.rangeBetween(-28, -28)), F.max(units).over(w.rangeBetween(-35, -35))
+    upto_28, upto_56 = frame(start, -28), frame(start, -56)
+    total = F.sum(units).over(upto_28) - F.coalesce(F.sum(units).over(upto_56), F.lit(0))
+    count = F.count(units).over(upto_28) - F.count(units).over(upto_56)
+    return fact.select("*", lag_28.alias("lag_28"), lag_35.alias("lag_35"), safe_div(total, count).alias("roll_28"))
+
+
+def model_frames(fact: DataFrame, cutoff: dt.date, dense: bool = False) -> tuple[DataFrame, DataFrame]:
     """D8 + C13: training rows need both lags; test rows get missing lag features as 0."""
-    feats = lag_features(fact)
+    feats = lag_features(fact, dense)
     train, test = split(feats, cutoff)
     return train.dropna(subset=["lag_28", "lag_35"]), test.fillna(0, subset=LAG_FEATURES)
 
@@ -151,7 +162,7 @@ def model_frames(fact: DataFrame, cutoff: dt.date) -> tuple[DataFrame, DataFrame
 # ---------------------------------------------------------------- M6 gradient boosting
 
 def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, step_size: float = 0.08,
-                      seed: int = 42, max_depth: int = 5, max_bins: int = 64) -> DataFrame:
+                      seed: int = 42, max_depth: int = 5, max_bins: int = 64, dense: bool = False) -> DataFrame:
     """M6: boosted trees on calendar, price and lag features; forecasts clipped at 0.
 
     ``sell_price`` may be NULL (item not yet carried); MLlib takes no NULLs, so
@@ -164,7 +175,7 @@ def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, ste
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    train, test = model_frames(fact, cutoff)
+    train, test = model_frames(fact, cutoff, dense)
 
     def prep(df: DataFrame) -> DataFrame:
         return df.select(

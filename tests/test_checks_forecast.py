@@ -128,3 +128,12 @@ def test_daily_agg_pk_shortcut_equals_distinct(spark):
     fast = sorted(map(tuple, curate.daily_sales_agg(f).collect()))
     exact = sorted(map(tuple, curate.daily_sales_agg(f, pk_unique=False).collect()))
     assert fast == exact and {r[-3] for r in fast} == {2}
+
+
+def test_dense_and_range_lags_agree_on_dense_series(spark):
+    f = series(spark, [(i * 7) % 11 for i in range(90)]).unionByName(
+        series(spark, [(i * 3) % 5 for i in range(90)], item="FOODS_1_002"))
+    cols = ["item_id", "day_num", "lag_28", "lag_35", "roll_28"]
+    dense = sorted(map(tuple, forecast.lag_features(f, dense=True).select(*cols).collect()))
+    rng = sorted(map(tuple, forecast.lag_features(f).select(*cols).collect()))
+    assert dense == rng
