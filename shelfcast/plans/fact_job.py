@@ -120,7 +120,9 @@ def _shuffle_width(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     except (TypeError, ValueError):  # e.g. "auto" on some platforms
-        return spark.sparkContext.defaultParallelism
+        from ..session import parallelism
+
+        return parallelism(spark)
 
 
 def validate(fact: DataFrame, n_series: int, n_days: int) -> list:

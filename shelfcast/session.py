@@ -42,10 +42,24 @@ def _conf(spark: SparkSession, key: str) -> str | None:
     except Exception:  # pragma: no cover - conf access differs by deploy mode
         value = None
     if not value:
-        value = spark.sparkContext.getConf().get(key, None)
+        try:
+            value = spark.sparkContext.getConf().get(key, None)
+        except Exception:  # no SparkContext on a Connect session
+            value = None
     return value or None
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (falls back to the shuffle width where the context is not reachable)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        try:
+            return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        except (TypeError, ValueError):
+            return 200
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` when the cluster sets it.
 
@@ -56,12 +70,16 @@ def work_root(spark: SparkSession) -> str:
     root = _conf(spark, "spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc.getCheckpointDir()
+    except Exception:  # Connect session: no context to register with
+        sc, current = None, None
     if current:
         # getCheckpointDir() returns <dir>/<uuid>; stage next to it.
         return current.rstrip("/").rsplit("/", 1)[0]
     root = os.environ.get(_LOCAL_ROOT_ENV) or tempfile.mkdtemp(prefix="shelfcast-")
     os.makedirs(root, exist_ok=True)
-    sc.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import idiv
 from ..schemas import CALENDAR_COLS, ID_COLS
+from ..session import parallelism
 from .storage import read_table
 
 # ---- fixed values of the raw-zone rules ------------------------------------
@@ -215,8 +216,7 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, raw_dir: str, grain: str =
     # (and a price per week): spread the series over all cores explicitly, or AQE
     # would coalesce the tiny shuffle into one task.  The per-series grouping below
     # reuses this partitioning (no second shuffle).
-    parallelism = spark.sparkContext.defaultParallelism
-    daily = spark.read.parquet(f"{raw_dir}/daily_units").repartition(parallelism, "ik", "bn", "sn")
+    daily = spark.read.parquet(f"{raw_dir}/daily_units").repartition(parallelism(spark), "ik", "bn", "sn")
     header = ",".join(wide_header(n_days))
     wide = sales_wide_lines(daily, n_days, grain)
     line = F.concat_ws(",", *[F.col(c) for c in ID_COLS], F.col("units_csv"))
