@@ -20,9 +20,15 @@ DATABASE_COMMENT = "Retail demand analytics: fact, curated rollups, forecasts"
 
 
 def ensure_database(spark: SparkSession, location: str | None = None) -> None:
-    """``CREATE DATABASE IF NOT EXISTS ... COMMENT``."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} COMMENT '{DATABASE_COMMENT}'{loc}")
+    """``CREATE DATABASE IF NOT EXISTS ... COMMENT``, located in the shared work folder.
+
+    (Without a location the database would land in the session's default
+    warehouse, a folder relative to the driver's working directory.)
+    """
+    from ..session import work_root
+
+    loc = location or f"{work_root(spark)}/warehouse/{DATABASE}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} COMMENT '{DATABASE_COMMENT}' LOCATION '{loc}'")
 
 
 def qualified(name: str) -> str:
