@@ -162,7 +162,7 @@ def model_frames(fact: DataFrame, cutoff: dt.date, dense: bool = False) -> tuple
 # ---------------------------------------------------------------- M6 gradient boosting
 
 def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, step_size: float = 0.08,
-                      seed: int = 42, max_depth: int = 5, max_bins: int = 64, dense: bool = False) -> DataFrame:
+                      seed: int = 42, max_depth: int = 5, max_bins: int = 255, dense: bool = False) -> DataFrame:
     """M6: boosted trees on calendar, price and lag features; forecasts clipped at 0.
 
     ``sell_price`` may be NULL (item not yet carried); MLlib takes no NULLs, so
