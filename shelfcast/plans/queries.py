@@ -142,9 +142,19 @@ def curated_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- forecasting
 
+def _cutoff(spark: SparkSession, sf_dir: str):
+    """First holdout date from the build metadata: every series of the published fact spans
+    the whole calendar (checked before publishing), so its last date is the calendar's —
+    no scan of the fact is needed."""
+    import datetime as dt
+
+    b = fact_job.stage(spark, sf_dir)
+    return b.first_day + dt.timedelta(days=b.n_days - forecast.HORIZON)
+
+
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fact(spark, sf_dir)
-    cutoff = forecast.holdout_cutoff(f)
+    cutoff = _cutoff(spark, sf_dir)
     forecast.check_holdout(forecast.split(f, cutoff)[1])
     return forecast.holdout_summary(f, cutoff)
 
@@ -158,7 +168,7 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _baseline(model: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         f = fact(spark, sf_dir)
-        cutoff = forecast.holdout_cutoff(f)
+        cutoff = _cutoff(spark, sf_dir)
         train, test = forecast.split(f, cutoff)
         if model == "naive_last_value":
             return forecast.naive_last_value(train, test)
@@ -174,7 +184,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _versioned(b, "forecast_vs_actual", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
-        cutoff = forecast.holdout_cutoff(f)
+        cutoff = _cutoff(spark, sf_dir)
         forecast.check_holdout(forecast.split(f, cutoff)[1])
         write_predictions(forecast.baseline_predictions(f, cutoff=cutoff), path)
     catalog.register_external(spark, "forecast_vs_actual", path, PREDICTIONS_SCHEMA, ["model_name"])
@@ -187,14 +197,14 @@ def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) ->
     path = _versioned(b, f"gbt_predictions_{max_iter}", forecast)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         f = fact(spark, sf_dir)
-        write_predictions(forecast.gradient_boosting(f, forecast.holdout_cutoff(f), max_iter=max_iter, dense=True), path)
+        write_predictions(forecast.gradient_boosting(f, _cutoff(spark, sf_dir), max_iter=max_iter, dense=True), path)
     return read_predictions(spark, path)
 
 
 def notebook_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F26 for the three baselines on the notebook's scope (FOODS in CA), read with partition + column pruning."""
     f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
-    return scoring.model_scorecard(forecast.baseline_predictions(f))
+    return scoring.model_scorecard(forecast.baseline_predictions(f, cutoff=_cutoff(spark, sf_dir)))
 
 
 def _on_predictions(fn) -> Query:
