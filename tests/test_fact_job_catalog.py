@@ -73,3 +73,16 @@ def test_failed_checks_do_not_publish(spark, monkeypatch):
     assert path_exists(spark, f"{base}/processed/sales_long/_SUCCESS")  # staged ...
     assert not path_exists(spark, f"{base}/processed/meta/_SUCCESS")  # ... but never published
     assert fact_job._read_meta(spark, base) is None
+
+
+def test_queries_from_parallel_threads(spark):
+    """Queries that register catalog tables can run concurrently on one session."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    import __spark_entry__ as E
+
+    keys = ["daily_sales_agg", "weekly_item_agg", "predictions", "catalog_partitions", "lag_features", "fact_checks"]
+    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+        counts = dict(zip(keys, pool.map(lambda k: E.queries()[k](spark, SF_SMALL).count(), keys)))
+    assert counts["catalog_partitions"] == 3 and counts["fact_checks"] == 7
+    assert counts["predictions"] == 3 * 28 * 250 and counts["lag_features"] == 250 * 2499
