@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import checks, curate, effects, forecast, price, quality, scoring, volume
 from ..operators.reshape import melt
@@ -72,16 +73,15 @@ def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df, _, _ = fact_job.transform(spark, b.sales_wide, b.calendar, b.prices, states=ROUNDTRIP_STATES)
         write_fact(df, path, dynamic=True, partition_cols=("state_id", "store_id"))
-    schema_cols = [c for c in FACT_SCHEMA.fieldNames() if c not in ("state_id", "store_id")] + ["state_id", "store_id"]
-    back = spark.read.schema(_reorder(FACT_SCHEMA, schema_cols)).parquet(path)
+    back = spark.read.schema(_partitions_last(FACT_SCHEMA, ["state_id", "store_id"])).parquet(path)
     return back.where(F.col("state_id").isin(ROUNDTRIP_STATES) & F.col("cat_id").isin(ROUNDTRIP_CATEGORIES)).select(
         *NOTEBOOK_COLUMNS)
 
 
-def _reorder(schema, names):
-    by = {f.name: f for f in schema.fields}
-    from pyspark.sql import types as T
-    return T.StructType([by[n] for n in names])
+def _partitions_last(schema: T.StructType, partition_cols: list[str]) -> T.StructType:
+    """The fact schema with the given partition columns moved to the end (directory order)."""
+    return T.StructType([f for f in schema.fields if f.name not in partition_cols]
+                        + [schema[c] for c in partition_cols])
 
 
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
