@@ -169,6 +169,10 @@ def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand"
         timings.update(raw_zone=round(t_raw - t, 3), transform_write=round(t_write - t_raw, 3),
                        checks=round(time.time() - t_write, 3), rows=n_series * n_days, series=n_series)
     write_small_csv(checks.fact_checks(staged, n_series, n_days), tmp.checks)
+    # input series per store (expected rows of the per-store checks), counted once here
+    (spark.read.option("header", True).csv(tmp.sales_wide).select("store_id")
+        .groupBy("store_id").agg(F.count(F.lit(1)).alias("n_series"))
+        .coalesce(1).write.mode("overwrite").parquet(f"{base}/processed/series_per_store"))
     meta = spark.createDataFrame([(info["first_day"], n_days, n_series, width)], _META_SCHEMA)
     meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/meta")
     return Build(base, info["first_day"], n_days, n_series, width)
@@ -236,7 +240,6 @@ def sales_long(spark: SparkSession, sf_dir: str, columns=None, states=None, cate
 
 
 def series_per_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Input series per store, from the raw wide file (expected rows of F39 = series x days)."""
+    """Input series per store (expected rows of F39 = series x days), counted at build time."""
     b = stage(spark, sf_dir)
-    wide = spark.read.option("header", True).csv(b.sales_wide).select("store_id")
-    return wide.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_series"))
+    return spark.read.parquet(f"{b.base}/processed/series_per_store")
