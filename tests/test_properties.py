@@ -69,3 +69,24 @@ def test_round_ratio_large_values_do_not_overflow(spark):
     num = 922_337_203_685_478_000
     got = spark.range(1).select(round_ratio(F.lit(num), F.lit(7), 4)).first()[0]
     assert abs(got - num / 7) / (num / 7) < 1e-15
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 500), min_size=5, max_size=5), min_size=1, max_size=6))
+def test_melt_property(spark, rows):
+    """Melting any wide frame gives series x days rows, keeps every value, and pivots back to itself."""
+    from pyspark.sql import types as T
+
+    from shelfcast.operators.reshape import melt
+
+    ids = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ids]
+                          + [T.StructField(f"d_{i}", T.IntegerType()) for i in range(1, 6)])
+    data = [(f"s{k}", f"i{k}", "D", "C", "S", "X", *r) for k, r in enumerate(rows)]
+    wide = spark.createDataFrame(data, schema)
+    long = melt(wide)
+    got = long.collect()
+    assert len(got) == 5 * len(rows)
+    assert sum(r["units_sold"] for r in got) == sum(map(sum, rows))
+    back = long.groupBy("id").pivot("d", [f"d_{i}" for i in range(1, 6)]).agg(F.first("units_sold"))
+    assert sorted(map(tuple, back.collect())) == sorted((d[0], *d[6:]) for d in data)
