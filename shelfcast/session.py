@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        # local sessions only: keep Spark's default database out of the working directory
+        .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "shelfcast-warehouse"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

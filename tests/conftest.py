@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "shelfcast-test-warehouse"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from shelfcast.session import work_root
