@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage, white_words
+from .common import carried, stage, white_words
 
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 CAP = 3              # a source gives at most so many times its size
@@ -123,3 +123,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     return placed.join(quotas, ["source_rank", "shard"]).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("passes") * F.col("size") + given).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as mixed: every row as often as the mix takes it (nearest whole number), all columns kept."""
+    taken = mix(docs.select("doc_id", "text", "source"), **options)
+    copies = F.when(F.col("size") > 0, F.floor((F.col("taken") / F.col("size")) + 0.5)).otherwise(0).cast("long")
+    wanted = stage(taken.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), copies.alias("c"))
+                   .groupBy("__id", "__source", "__size").agg(F.sum("c").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0"), "mix-copies")
+    rows = docs.select(carried(docs).alias("__row"), F.col("doc_id").alias("__d"), F.col("source").alias("__s"),
+                       F.size(white_words(F.col("text"))).cast("long").alias("__n"))
+    met = rows.join(wanted, F.col("__d").eqNullSafe(F.col("__id")) & F.col("__s").eqNullSafe(F.col("__source")) & (F.col("__n") == F.col("__size")))
+    # rows that share doc_id, source and size share their copies
+    same = W.partitionBy("__d", "__s", "__n").orderBy(F.xxhash64("__row"))
+    each = F.floor(F.col("__copies") / F.col("__rows")) + (F.row_number().over(same) <= F.col("__copies") % F.col("__rows")).cast("long")
+    return (met.withColumn("__each", each.cast("int")).filter("__each > 0")
+            .select(F.explode(F.array_repeat("__row", F.col("__each"))).alias("__row")).select("__row.*"))

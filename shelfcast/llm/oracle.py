@@ -22,5 +22,25 @@ FROM shared JOIN sizes USING (item_id) WHERE n_shared >= ceil(0.8 * n - 1e-9)
 """
 
 
+OP6 = r"""
+WITH t AS (
+  SELECT coalesce(conv_id::VARCHAR, '') AS c, conv_id,
+         '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS shown,
+         concat_ws(chr(31), coalesce('=' || role, '-'), coalesce('=' || text, '-')) || chr(30) AS code,
+         row_number() OVER (PARTITION BY coalesce(conv_id::VARCHAR, '') ORDER BY turn NULLS LAST, role NULLS FIRST) AS pos
+  FROM conversations),
+p AS (
+  SELECT c, conv_id, pos, count(*) OVER (PARTITION BY c) AS n,
+         string_agg(code, '') OVER (PARTITION BY c ORDER BY pos) AS prefix,
+         string_agg(shown, '') OVER (PARTITION BY c ORDER BY pos) AS text
+  FROM t),
+whole AS (
+  SELECT min(conv_id) AS conv_id, pos AS n_turns, count(*) AS n_equal, any_value(text) AS text, prefix
+  FROM p WHERE pos = n GROUP BY pos, prefix)
+SELECT conv_id, n_turns, n_equal, text FROM whole
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.pos = whole.n_turns AND p.prefix = whole.prefix)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_decontaminate": OP1}
+    return {"op1_decontaminate": OP1, "op6_chat": OP6}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding
+from . import ann, chat, decontaminate, mixing, near_dups, quality, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +22,26 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every row whose vec_id is divisible by 50, against all other rows."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.external_shuffle(table(spark, sf_dir, "documents")))
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontaminate, op3_mix, op5_shard)}
+    return {f.__name__: f for f in (op1_decontaminate, op3_mix, op5_shard, op6_chat, op7_ann, op8_quality, op9_near_dups)}
