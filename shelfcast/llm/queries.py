@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, mixing, near_dups, quality, sharding
+from . import ann, chat, decontaminate, html, katz, line_dedup, mixing, near_dups, quality, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; texts with crc32(doc_id) mod 7 = 2 are held out."""
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,9 +44,18 @@ def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.external_shuffle(table(spark, sf_dir, "documents")))
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontaminate, op3_mix, op5_shard, op6_chat, op7_ann, op8_quality, op9_near_dups)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_katz, op3_mix, op4_line_dedup, op5_shard, op6_chat, op7_ann, op8_quality,
+                                    op9_near_dups, op10_html)}
