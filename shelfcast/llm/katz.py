@@ -55,7 +55,7 @@ CODEC = pa.Codec("zstd", 1)
 
 def pack(values: np.ndarray, kind: type) -> bytes:
     """Compressed bytes of an array, bytes of equal rank side by side."""
-    raw = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1)
+    raw = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
     return len(values).to_bytes(8, "little") + CODEC.compress(np.ascontiguousarray(raw.T), asbytes=True)
 
 

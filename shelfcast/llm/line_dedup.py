@@ -93,5 +93,5 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
            .withColumn("drops", F.coalesce("drops", F.array().cast("array<int>"))))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("drops"), i)), "\n")
     return met.select("doc_id", F.when(F.size("drops") == 0, F.col("text")).otherwise(kept).alias("text"),
-                      F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+                      F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
                       F.size("drops").cast("long").alias("n_dropped"))
