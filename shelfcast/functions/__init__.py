@@ -4,12 +4,12 @@ from .labels import event_label, lifecycle_bucket, price_move  # noqa: F401
 from .numeric import (  # noqa: F401
     avg_money_rounded,
     avg_rounded,
-    cents,
     clip_lower,
     clip_upper,
     idiv,
     money_rounded,
-    money_sum_cents,
+    money_sum,
+    money_units,
     pct_rounded,
     round_ratio,
     safe_div,

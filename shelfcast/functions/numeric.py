@@ -49,29 +49,37 @@ def pct_rounded(part: Column, whole: Column, digits: int) -> Column:
     return round_ratio(part.cast(_DEC) * F.lit(100).cast(_DEC), whole, digits)
 
 
-def cents(c: Column | str) -> Column:
-    """Money column (exact cents in a double) to integer cents.
+# Money columns are declared to have at most this many decimals (prices have 2, tests go to 4).
+MONEY_DECIMALS = 4
+_MONEY_UNIT = 10 ** MONEY_DECIMALS
 
-    ``x * 100`` lies within float noise of an integer, so ``rint`` (plain double
-    arithmetic) gives the same integer as ``round`` without a BigDecimal per row.
+
+def money_units(c: Column | str) -> Column:
+    """Money column (a double) as a whole number of its declared smallest unit; raises if it does not fit.
+
+    Nothing is rounded per row: a value with more than ``MONEY_DECIMALS`` decimals is an error.
     """
-    return F.rint(_col(c) * F.lit(100.0)).cast("long")
+    scaled = _col(c) * F.lit(float(_MONEY_UNIT))
+    whole = F.rint(scaled)
+    fits = F.abs(scaled - whole) <= F.greatest(F.lit(1e-3), F.abs(scaled) * F.lit(1e-12))
+    too_fine = F.raise_error(F.lit(f"money value with more than {MONEY_DECIMALS} decimals")).cast("double")
+    return F.when(scaled.isNull() | fits, whole).otherwise(too_fine).cast("long")
 
 
-def money_sum_cents(c: Column | str) -> Column:
-    """Exact SUM of a money column, in cents (order-independent)."""
-    return F.sum(cents(c))
+def money_sum(c: Column | str) -> Column:
+    """Exact, order-independent SUM of a money column, in its smallest unit."""
+    return F.sum(money_units(c))
 
 
-def money_rounded(total_cents: Column, digits: int) -> Column:
-    """Cents total rendered as currency rounded to ``digits`` (0 or 2)."""
-    return round_ratio(total_cents, F.lit(100), digits)
+def money_rounded(total_units: Column, digits: int) -> Column:
+    """A :func:`money_sum` rendered as currency, rounded once to ``digits`` (0 or 2)."""
+    return round_ratio(total_units, F.lit(_MONEY_UNIT), digits)
 
 
 def avg_money_rounded(c: Column | str, digits: int = 2) -> Column:
-    """``ROUND(AVG(money), digits)`` computed on cents; NULLs ignored like AVG."""
+    """``ROUND(AVG(money), digits)`` from the exact sum; NULLs ignored like AVG."""
     c = _col(c)
-    return round_ratio(F.sum(cents(c)), F.count(c) * F.lit(100), digits)
+    return round_ratio(money_sum(c), F.count(c) * F.lit(_MONEY_UNIT), digits)
 
 
 def safe_div(a: Column, b: Column) -> Column:

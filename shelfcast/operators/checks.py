@@ -184,6 +184,7 @@ def zero_share(fact: DataFrame) -> DataFrame:
 # The transform's hard/informational checks
 # ---------------------------------------------------------------------------
 
+# fixed values: names of the checks
 CHECK_NAMES = [
     "row_count_matches_series_x_days",
     "units_sold_has_no_nulls",
@@ -200,13 +201,13 @@ def _series_grouped(fact: DataFrame) -> DataFrame:
     """Per series: rows, distinct days and the null/zero/negative counts, in one aggregate.
 
     (item_id, store_id, d) is unique iff every series has as many distinct
-    days as rows, so duplicate rows = rows - distinct days.  The day set is
-    built map-side and bounded by the calendar, so the shuffle carries one
+    days as rows, so duplicate rows = rows - distinct days (``day_num`` is the
+    number in ``d``).  The day set is built map-side and bounded by the calendar, so the shuffle carries one
     set per series instead of one row per item-day.
     """
     return fact.groupBy(*SERIES_KEY).agg(
         F.count(F.lit(1)).alias("n"),
-        F.size(F.collect_set("d")).alias("distinct_d"),
+        F.size(F.collect_set("day_num")).alias("distinct_d"),
         _int_sum(F.col("units_sold").isNull()).alias("null_units"),
         _int_sum(F.col("units_sold") < 0).alias("neg_units"),
         _int_sum(F.col("date").isNull()).alias("null_date"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_COLS
@@ -75,43 +75,45 @@ PRICE_KEYS = ["store_id", "item_id", "wm_yr_wk"]
 DUPLICATE_PRICE_MSG = "sell_prices has duplicate (store_id, item_id, wm_yr_wk) keys; the join would change the row count"
 
 
-PRICE_COLS = ["price_w0", "price_by_pos", "price_by_week"]
+PRICE_COLS = ["price_w0", "price_by_pos"]
 
 
-def prices_by_series(prices: DataFrame) -> DataFrame:
-    """One row per series with its weekly prices (at most one entry per calendar week).
+def number_weeks(calendar: DataFrame) -> DataFrame:
+    """The calendar plus ``week_no``: 1 for its first week key, without gaps (week keys may jump, e.g. at a new year)."""
+    weeks = calendar.select("wm_yr_wk").where(F.col("wm_yr_wk").isNotNull()).distinct()  # one row per week
+    numbered = weeks.withColumn("week_no", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("wm_yr_wk")))
+    return calendar.join(F.broadcast(numbered), "wm_yr_wk", "left")
 
-    Weeks of a series are normally contiguous (from the week it is first carried
-    on), so the prices are kept as a week-ordered array starting at ``price_w0``
-    and looked up by position (O(1)); only a series with gaps keeps a
-    ``week -> price`` map (Spark map lookups scan linearly).  The E3 guard is
-    folded into the same aggregation: a repeated week raises inside the job
-    (``raise_error``), so no extra pass is needed and nothing is published.
+
+def prices_by_series(prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row per series with its weekly prices by week number, from ``price_w0`` on (null in gaps).
+
+    The array is bounded by the calendar's weeks and looked up by position.  The
+    E3 guard is folded into the same aggregation: a repeated week raises inside
+    the job (``raise_error``), so no extra pass is needed and nothing is published.
+    Prices of weeks outside the calendar cannot meet a fact row.
     """
-    g = prices.groupBy("store_id", "item_id").agg(
-        F.min("wm_yr_wk").alias("price_w0"), F.max("wm_yr_wk").alias("w1"),
-        F.array_sort(F.collect_list(F.struct("wm_yr_wk", "sell_price"))).alias("entries"))
-    weeks = F.transform("entries", lambda e: e["wm_yr_wk"])
-    dup = F.size(weeks) != F.size(F.array_distinct(weeks))
-    dense = F.size(weeks) == F.col("w1") - F.col("price_w0") + 1
-    by_pos = F.when(dup, F.raise_error(F.lit(DUPLICATE_PRICE_MSG))).when(
-        dense, F.transform("entries", lambda e: e["sell_price"]))
-    by_week = F.when(~dense & ~dup, F.map_from_entries("entries"))
-    return g.select("store_id", "item_id", "price_w0", by_pos.alias("price_by_pos"), by_week.alias("price_by_week"))
-
-
-def attach_prices(wide: DataFrame, prices: DataFrame) -> DataFrame:
+    weeks = calendar.select("wm_yr_wk", "week_no").distinct()  # one row per week of the calendar
+    g = prices.join(F.broadcast(weeks), "wm_yr_wk", "left").groupBy("store_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n"), F.size(F.collect_set("wm_yr_wk")).alias("keys"), F.count(F.when(F.col("wm_yr_wk").isNull(), 1)).alias("no_week"),
+        F.min("week_no").alias("price_w0"), F.max("week_no").alias("w1"),
+        F.array_sort(F.collect_list(F.when(F.col("week_no").isNotNull(), F.struct("week_no", "sell_price")))).alias("entries"))
+    dense = F.size("entries") == F.col("w1") - F.col("price_w0") + 1
+    filled = F.transform(F.sequence("price_w0", "w1"), lambda w: F.try_element_at(F.map_from_entries("entries"), w))
+    by_pos = F.when(F.col("n") != F.col("keys") + F.col("no_week"), F.raise_error(F.lit(DUPLICATE_PRICE_MSG))).when(
+        F.col("price_w0").isNull(), F.array().cast("array<double>")).when(dense, F.transform("entries", lambda e: e["sell_price"])).otherwise(filled)
+    return g.select("store_id", "item_id", "price_w0", by_pos.alias("price_by_pos"))
+
+
+def attach_prices(wide: DataFrame, prices: DataFrame, calendar: DataFrame) -> DataFrame:
     """E2 at series grain: wide rows (one per series) left-joined 1:1 with their weekly prices."""
-    return wide.join(prices_by_series(prices), ["store_id", "item_id"], "left")
+    return wide.join(prices_by_series(prices, calendar), ["store_id", "item_id"], "left")
 
 
-def series_price(week: F.Column) -> F.Column:
-    """Price of ``week`` from the columns attached by :func:`attach_prices` (NULL before the first week)."""
-    pos = week - F.col("price_w0") + 1
-    return F.coalesce(
-        F.when(pos >= 1, F.try_element_at(F.col("price_by_pos"), pos)),
-        F.try_element_at(F.col("price_by_week"), week),
-    )
+def series_price(week_no: F.Column) -> F.Column:
+    """Price of a week number from the columns attached by :func:`attach_prices` (NULL before the first week)."""
+    pos = week_no - F.col("price_w0") + 1
+    return F.when(pos >= 1, F.try_element_at(F.col("price_by_pos"), pos))
 
 
 def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame | None = None) -> DataFrame:
@@ -119,7 +121,8 @@ def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame | None = N
 
     With ``prices`` the price lookup is a shuffle join of the long rows on the
     three keys (melt-then-join).  Without it, ``long_df`` must carry the
-    series prices attached before the melt (:func:`attach_prices`), and the
+    series prices attached before the melt (:func:`attach_prices`), the calendar its
+    week numbers (:func:`number_weeks`), and the
     price is a positional lookup in the same stage — the long fact is never shuffled.
     """
     df = lookup_left(long_df, calendar, ["d"], "calendar", broadcast=True)
@@ -127,5 +130,5 @@ def enrich(long_df: DataFrame, calendar: DataFrame, prices: DataFrame | None = N
     if prices is not None:
         df = lookup_left(df, prices.select(*PRICE_KEYS, "sell_price"), PRICE_KEYS, "sell_prices")
     else:
-        df = df.withColumn("sell_price", series_price(F.col("wm_yr_wk")))
+        df = df.withColumn("sell_price", series_price(F.col("week_no")))
     return derive_columns(df).select(*FACT_COLS)

@@ -1,7 +1,7 @@
 """Backtest of 28-day forecasts: M1 split, M2-M4 baselines, M5 lag features, M6 boosting, M7 predictions.
 
 Baselines are lookups built from map-side partial aggregates over the training
-rows (one small row per series: a value, or a map of at most 7 / 28 entries),
+rows (one small row per series: a value, or at most 7 / 28 entries),
 joined to the test rows on the series key alone — the bucketed fact co-locates
 both sides, and the whole fact is never sorted for them.  Lag features
 need every training row, so they are one window pass partitioned by series
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions import clip_lower, safe_div
 from ..schemas import SERIES_KEY
+from ..session import parallelism
 from .enrich import ValidationError
 
+# fixed values: horizon, model and feature names of the reference
 HORIZON = 28
 MODEL_NAMES = ["naive_last_value", "seasonal_naive_28d", "weekday_mean", "gradient_boosting"]
 BASELINES = MODEL_NAMES[:3]
@@ -112,13 +114,37 @@ def weekday_mean(train: DataFrame, test: DataFrame) -> DataFrame:
     return _prediction(joined, F.coalesce(value, F.lit(0.0)), MODEL_NAMES[2])
 
 
+def series_history(fact: DataFrame, cutoff: dt.date, horizon: int = HORIZON, lag_days: int = 28) -> DataFrame:
+    """Per series, in one aggregate over the fact: ``last_value``, ``wday_means`` (7) and ``seasonal`` (``horizon`` values).
+
+    Only conditional sums and maxima of fixed number, so it aggregates map-side
+    and, on the bucketed fact, without a shuffle.
+    """
+    units, train = F.col("units_sold"), F.col("date") < F.lit(cutoff)
+    means = []
+    for w in range(1, 8):
+        mine = F.when(train & (F.col("wday") == w), units)
+        means.append(safe_div(F.sum(mine), F.count(mine)))
+    back = F.datediff("date", F.lit(cutoff - dt.timedelta(days=lag_days)))
+    return fact.groupBy(*SERIES_KEY).agg(
+        F.max_by(units, F.when(train & units.isNotNull(), F.col("date"))).alias("last_value"),
+        F.array(*means).alias("wday_means"),
+        F.array(*[F.max(F.when(back == k, units)) for k in range(horizon)]).alias("seasonal"))
+
+
 def baseline_predictions(fact: DataFrame, horizon: int = HORIZON, cutoff: dt.date | None = None) -> DataFrame:
-    """M7 for the three baselines: their predictions stacked (I3, ``unionByName``)."""
+    """M7 for the three baselines, stacked (I3): one history aggregate, one join, three rows per test row.
+
+    The fact is read twice (history, test rows).  Same values as M2-M4 above for a
+    fact with at most one row per series and day.
+    """
     cutoff = cutoff or holdout_cutoff(fact, horizon)
-    train, test = split(fact, cutoff)
-    return (naive_last_value(train, test)
-            .unionByName(seasonal_naive(fact, test, cutoff, horizon))
-            .unionByName(weekday_mean(train, test)))
+    _, test = split(fact, cutoff)
+    joined = test.select("date", "wday", "store_id", "cat_id", "item_id", "units_sold").join(series_history(fact, cutoff, horizon), SERIES_KEY, "left")
+    ahead = F.datediff("date", F.lit(cutoff))
+    values = [F.col("last_value").cast("double"), F.get("seasonal", ahead).cast("double"), F.get("wday_means", F.col("wday") - 1)]
+    models = F.array(*[F.struct(F.coalesce(v, F.lit(0.0)).alias("forecast_units"), F.lit(m).alias("model_name")) for v, m in zip(values, BASELINES, strict=True)])
+    return joined.select("date", "store_id", "cat_id", "item_id", F.col("units_sold").cast("double").alias("actual_units"), F.inline(models))
 
 
 # ---------------------------------------------------------------- M5 lag features
@@ -162,7 +188,8 @@ def model_frames(fact: DataFrame, cutoff: dt.date, dense: bool = False) -> tuple
 # ---------------------------------------------------------------- M6 gradient boosting
 
 def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, step_size: float = 0.08,
-                      seed: int = 42, max_depth: int = 5, max_bins: int = 64, dense: bool = False) -> DataFrame:
+                      seed: int = 42, max_depth: int = 5, max_bins: int = 64, dense: bool = False,
+                      frame_path: str | None = None) -> DataFrame:
     """M6: boosted trees on calendar, price and lag features; forecasts clipped at 0.
 
     ``sell_price`` may be NULL (item not yet carried); MLlib takes no NULLs, so
@@ -185,6 +212,13 @@ def gradient_boosting(fact: DataFrame, cutoff: dt.date, max_iter: int = 300, ste
         ).withColumn("label", F.col("units_sold").cast("double"))
 
     tr, te = prep(train), prep(test)
+    if frame_path:
+        both = tr.withColumn("side", F.lit("train")).unionByName(te.withColumn("side", F.lit("test")))
+        both.write.mode("overwrite").partitionBy("side").parquet(frame_path)
+        back = fact.sparkSession.read.schema(both.schema).parquet(frame_path)
+        cores = parallelism(fact.sparkSession)
+        tr, te = (back.where(F.col("side") == x).drop("side") for x in ("train", "test"))
+        tr = tr.repartition(max(cores, tr.rdd.getNumPartitions()))
     imputer = Imputer(inputCols=["sell_price"], outputCols=["sell_price_filled"], strategy="mean")
     cols = [c for c in FEATURES if c != "sell_price"] + ["sell_price_filled", "sell_price_missing"]
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")

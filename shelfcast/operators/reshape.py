@@ -37,6 +37,22 @@ def melt(wide: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
     )
 
 
+def melt_units(lines: DataFrame, days: list[str], id_cols: list[str] | None = None, units: str = "units") -> DataFrame:
+    """The same melt from one array of day values (text, in the order of ``days``) per row.
+
+    The plan has one Generate and no column per day.  Text that is no whole
+    number becomes null, which the checks count.
+    """
+    ids = [c for c in (id_cols or ID_COLS) if c in lines.columns]
+    exploded = lines.select(*ids, F.posexplode(units).alias("pos", "value"))
+    if days == [f"{DAY_PREFIX}{i}" for i in range(1, len(days) + 1)]:
+        d, number = F.concat(F.lit(DAY_PREFIX), (F.col("pos") + 1).cast("string")), F.col("pos") + 1
+    else:
+        d = F.element_at(F.array(*[F.lit(c) for c in days]), F.col("pos") + 1)
+        number = day_number(d)
+    return exploded.select(*ids, d.alias("d"), number.cast("int").alias("day_num"), F.trim("value").try_cast("int").alias("units_sold"))
+
+
 def day_number(d) -> F.Column:
     """``d_<n>`` -> n."""
     return F.regexp_replace(d, f"^{DAY_PREFIX}", "").cast("int")

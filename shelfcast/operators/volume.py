@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import avg_money_rounded, avg_rounded, money_rounded, money_sum_cents, pct_rounded
+from ..functions import avg_money_rounded, avg_rounded, money_rounded, money_sum, pct_rounded
 
 
 def sales_by_category_store(fact: DataFrame) -> DataFrame:
     """units, revenue (0 dp), avg units per item-day (3 dp), items carried by state/store/category."""
     return fact.groupBy("state_id", "store_id", "cat_id").agg(
         F.sum("units_sold").cast("long").alias("total_units"),
-        money_rounded(money_sum_cents("revenue"), 0).alias("total_revenue"),
+        money_rounded(money_sum("revenue"), 0).alias("total_revenue"),
         avg_rounded("units_sold", 3).alias("avg_units_per_item_day"),
         F.countDistinct("item_id").alias("items_carried"),
     ).orderBy("state_id", "store_id", F.desc("total_units"), "cat_id")
@@ -26,14 +26,14 @@ def category_share(fact: DataFrame) -> DataFrame:
     """
     g = fact.groupBy("cat_id").agg(
         F.sum("units_sold").cast("long").alias("total_units"),
-        money_sum_cents("revenue").alias("rev_cents"),
+        money_sum("revenue").alias("rev"),
     )
     everything = Window.partitionBy()
     return g.select(
         "cat_id",
         "total_units",
         pct_rounded(F.col("total_units"), F.sum("total_units").over(everything), 1).alias("pct_of_all_units"),
-        pct_rounded(F.col("rev_cents"), F.sum("rev_cents").over(everything), 1).alias("pct_of_all_revenue"),
+        pct_rounded(F.col("rev"), F.sum("rev").over(everything), 1).alias("pct_of_all_revenue"),
     ).orderBy(F.desc("total_units"), "cat_id")
 
 

@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import checks
-from ..operators.enrich import ValidationError, enrich
-from ..operators.reshape import day_columns, melt
-from ..operators.enrich import PRICE_COLS
+from ..operators.enrich import PRICE_COLS, ValidationError, attach_prices, enrich, number_weeks, require_rows, scope
+from ..operators.reshape import melt_units
 from ..schemas import FACT_SCHEMA, ID_COLS
-from ..sources import fixture
-from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_wide, scope_fact
+from ..session import parallelism
+from ..sources import catalog, fixture
+from ..sources.readers import read_calendar, read_fact, read_prices, read_sales_lines, scope_fact
 from ..sources.storage import build_dir, path_exists
 from ..sources.writers import BUCKET_COLS, write_fact, write_small_csv
 
@@ -84,47 +84,47 @@ class Build:
         return "sales_long_" + hashlib.sha1(self.base.encode()).hexdigest()[:12]
 
 
+# Rows of the fact per bucket, about (a bucketed scan reads one bucket per task).
+ROWS_PER_BUCKET = 5_000_000
+
+
+def bucket_count(n_series: int, n_days: int, cores: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets of the fact: from its size (series x days), at least one per core."""
+    return max(cores, -(-n_series * n_days // rows_per_bucket), 1)
+
+
 def transform(spark: SparkSession, sales_wide_path: str, calendar_path: str, prices_path: str,
               states=None, stores=None, price_join: str = "series", width: int | None = None
               ) -> tuple[DataFrame, int, int]:
     """The transform proper: read the three raw files, melt, enrich. Returns (fact, n_series, n_days).
 
-    ``price_join="series"`` (default) attaches each series' weekly price map to
+    ``price_join="series"`` (default) attaches each series' weekly prices to
     its wide row before the melt, so only series-level rows are shuffled;
     ``"long"`` is the melt-then-join plan (shuffles every fact row).
+    ``width`` is the number of partitions (by default :func:`bucket_count`).
     """
-    from ..operators.enrich import attach_prices, require_rows, scope
-
-    wide = scope(read_sales_wide(spark, sales_wide_path), states, stores)
+    lines, days = read_sales_lines(spark, sales_wide_path)
+    wide = scope(lines, states, stores)
     if states or stores:
         require_rows(wide)
-    n_series = wide.count()
-    n_days = len(day_columns(wide.columns))
+    n_series, n_days = wide.select("store_id").count(), len(days)
     calendar, prices = read_calendar(spark, calendar_path), read_prices(spark, prices_path)
     if price_join == "series":
         # Sorting the wide rows (one per series) orders the melted rows by
         # (state, store, item, day) inside each task for the price of a
         # series-level sort, so written files carry tight item/store statistics.
         # Wide rows are small in bytes but each expands to n_days fact rows, so
-        # file splits are a poor unit of work: hash them by series over the
-        # shuffle width (the partitioning the price join needs anyway).
-        wide = wide.repartition(width or _shuffle_width(spark), *BUCKET_COLS)
-        series = attach_prices(wide, prices).sortWithinPartitions("state_id", "store_id", "item_id")
-        fact = enrich(melt(series, id_cols=ID_COLS + PRICE_COLS), calendar)
+        # file splits are a poor unit of work: hash them by series (the
+        # partitioning the price join and the bucketed write need anyway).
+        calendar = number_weeks(calendar)
+        wide = wide.repartition(width or bucket_count(n_series, n_days, parallelism(spark)), *BUCKET_COLS)
+        series = attach_prices(wide, prices, calendar).sortWithinPartitions("state_id", "store_id", "item_id")
+        fact = enrich(melt_units(series, days, ID_COLS + PRICE_COLS), calendar)
     else:
-        fact = enrich(melt(wide), calendar, prices)
+        fact = enrich(melt_units(wide, days), calendar, prices)
     return fact, n_series, n_days
 
 
-def _shuffle_width(spark: SparkSession) -> int:
-    try:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    except (TypeError, ValueError):  # e.g. "auto" on some platforms
-        from ..session import parallelism
-
-        return parallelism(spark)
-
-
 def validate(fact: DataFrame, n_series: int, n_days: int) -> list:
     """F29 on a (staged) fact; raises ValidationError on any hard failure."""
     rows = checks.fact_checks(fact, n_series, n_days).collect()
@@ -151,30 +151,55 @@ def _read_meta(spark: SparkSession, base: str) -> Build | None:
     return Build(base, row["first_day"], row["n_days"], row["n_series"], row["n_buckets"] or 0)
 
 
-def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand", timings: dict | None = None) -> Build:
-    """Run the whole job into ``base``: raw zone, transform, staged write, checks, publish marker."""
+def run_job(spark: SparkSession, sales: str, calendar: str, prices: str, out: str, states=None, stores=None,
+            skip_write: bool = False, timings: dict | None = None) -> tuple[list, int, int, int]:
+    """The whole job over raw files: transform, staged write, checks once, then published under ``out``.
+
+    Returns (check rows, series, days, buckets).  With ``skip_write`` only the
+    checks run.  The fact becomes visible in the catalog (and its ``meta`` marker
+    is written) only after every hard check passed; else ``ValidationError``.
+    """
     import time
 
     t = time.time()
-    info = fixture.write_raw_zone(spark, sf_dir, f"{base}/raw", grain)
-    t_raw = time.time()
-    tmp = Build(base, info["first_day"], info["n_days"], 0)
-    width = _shuffle_width(spark)
-    fact, n_series, n_days = transform(spark, tmp.sales_wide, tmp.calendar, tmp.prices, width=width)
-    write_fact(fact, tmp.fact, buckets=width, table=tmp.fact_table)
+    if skip_write:
+        fact, n_series, n_days = transform(spark, sales, calendar, prices, states, stores)
+        return validate(fact, n_series, n_days), n_series, n_days, 0
+    lines, days = read_sales_lines(spark, sales)
+    width = bucket_count(scope(lines, states, stores).select("store_id").count(), len(days), parallelism(spark))
+    fact, n_series, n_days = transform(spark, sales, calendar, prices, states, stores, width=width)
+    here = Build(out, None, n_days, n_series, width)
+    staging = f"staging_{here.fact_table}"
+    try:
+        write_fact(fact, here.fact, buckets=width, table=staging)
+    finally:
+        catalog.drop_table(spark, staging)  # the files stay; nothing unchecked is visible
     t_write = time.time()
-    staged = read_fact(spark, tmp.fact)
-    validate(staged, n_series, n_days)
+    rows = validate(read_fact(spark, here.fact), n_series, n_days)
     if timings is not None:
-        timings.update(raw_zone=round(t_raw - t, 3), transform_write=round(t_write - t_raw, 3),
-                       checks=round(time.time() - t_write, 3), rows=n_series * n_days, series=n_series)
-    write_small_csv(checks.fact_checks(staged, n_series, n_days), tmp.checks)
+        timings.update(transform_write=round(t_write - t, 3), checks=round(time.time() - t_write, 3),
+                       rows=n_series * n_days, series=n_series, buckets=width)
+    write_small_csv(spark.createDataFrame(rows), here.checks)
     # input series per store (expected rows of the per-store checks), counted once here
-    (spark.read.option("header", True).csv(tmp.sales_wide).select("store_id")
-        .groupBy("store_id").agg(F.count(F.lit(1)).alias("n_series"))
-        .coalesce(1).write.mode("overwrite").parquet(f"{base}/processed/series_per_store"))
-    meta = spark.createDataFrame([(info["first_day"], n_days, n_series, width)], _META_SCHEMA)
-    meta.coalesce(1).write.mode("overwrite").json(f"{base}/processed/meta")
+    (scope(lines, states, stores).groupBy("store_id").agg(F.count(F.lit(1)).alias("n_series"))
+        .coalesce(1).write.mode("overwrite").parquet(f"{out}/processed/series_per_store"))
+    first_day = read_calendar(spark, calendar).where(F.col("d") == days[0]).select("date").first()[0]
+    meta = spark.createDataFrame([(first_day, n_days, n_series, width)], _META_SCHEMA)
+    meta.coalesce(1).write.mode("overwrite").json(f"{out}/processed/meta")
+    fact_table(spark, here)
+    return rows, n_series, n_days, width
+
+
+def build_into(spark: SparkSession, sf_dir: str, base: str, grain: str = "brand", timings: dict | None = None) -> Build:
+    """Raw zone from the given tables into ``base``, then :func:`run_job` over it."""
+    import time
+
+    t = time.time()
+    info = fixture.write_raw_zone(spark, sf_dir, f"{base}/raw", grain)
+    if timings is not None:
+        timings["raw_zone"] = round(time.time() - t, 3)
+    raw = Build(base, info["first_day"], info["n_days"], 0)
+    _, n_series, n_days, width = run_job(spark, raw.sales_wide, raw.calendar, raw.prices, base, timings=timings)
     return Build(base, info["first_day"], n_days, n_series, width)
 
 
@@ -217,8 +242,6 @@ def stage(spark: SparkSession, sf_dir: str, base: str | None = None) -> Build:
 
 def fact_table(spark: SparkSession, b: Build) -> str:
     """The published fact as a bucketed external table in this session's catalog (registered once)."""
-    from ..sources import catalog
-
     with catalog._DDL_LOCK:
         if not catalog.table_exists(spark, b.fact_table):
             catalog.register_external(spark, b.fact_table, b.fact, FACT_SCHEMA, ["state_id"],

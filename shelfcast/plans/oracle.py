@@ -26,16 +26,18 @@ def pct_r(part: str, whole: str, digits: int) -> str:
     return ratio(f"100 * ({part})", whole, digits)
 
 
-def cents(col: str) -> str:
-    return f"CAST(round({col} * 100.0) AS BIGINT)"
+def dec(col: str) -> str:
+    """A money column as an exact decimal of its declared scale."""
+    return f"CAST({col} AS DECIMAL(18, 4))"
 
 
 def avg_money_r(col: str, digits: int = 2) -> str:
-    return ratio(f"SUM({cents(col)})", f"COUNT({col}) * 100", digits)
+    return ratio(f"CAST(SUM({dec(col)}) * 10000 AS HUGEINT)", f"COUNT({col}) * 10000", digits)
 
 
-def money_r(total_cents: str, digits: int) -> str:
-    return ratio(total_cents, "100", digits)
+def money_r(col: str, digits: int) -> str:
+    """The decimal sum, rounded once (half away from zero)."""
+    return f"CAST(round(SUM({dec(col)}), {digits}) AS DOUBLE)"
 
 
 # The fact, rule for rule as in shelfcast.sources.fixture (see FIXTURES.md section 2).
@@ -66,8 +68,8 @@ series_ids AS (
     FROM series
 ),
 series_full AS (
-    SELECT *, dept_id || '_' || lpad(CAST(bn AS VARCHAR), 3, '0') AS item_id,
-           dept_id || '_' || lpad(CAST(bn AS VARCHAR), 3, '0') || '_' || store_id AS id
+    SELECT *, dept_id || '_' || lpad(CAST(bn AS VARCHAR), CAST(greatest(3, length(CAST(bn AS VARCHAR))) AS INTEGER), '0') AS item_id,
+           dept_id || '_' || lpad(CAST(bn AS VARCHAR), CAST(greatest(3, length(CAST(bn AS VARCHAR))) AS INTEGER), '0') || '_' || store_id AS id
     FROM series_ids
 ),
 days AS (SELECT unnest(generate_series(1, n_days)) AS n, d0 FROM bounds),

@@ -7,17 +7,20 @@ input directory from ``lineitem`` + ``part``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import checks, curate, effects, forecast, price, quality, scoring, volume
-from ..operators.reshape import melt
+from .. import schemas
+from ..functions import labels, numeric
+from ..operators import checks, curate, effects, enrich, forecast, price, quality, scoring, volume
+from ..operators.reshape import melt_units
 from ..schemas import FACT_SCHEMA, PREDICTIONS_SCHEMA
-from ..sources import catalog
-from ..sources.readers import read_predictions, read_sales_wide
+from ..sources import catalog, writers
+from ..sources.readers import read_fact, read_predictions, read_sales_lines
 from ..sources.storage import path_exists
 from ..sources.writers import write_fact, write_predictions, write_small_csv
 from . import fact_job
@@ -49,9 +52,9 @@ def _on_fact(fn) -> Query:
 # ---------------------------------------------------------------- fact build covering keys
 
 def melt_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw wide sales file read with a header-derived schema and melted."""
+    """The raw wide sales file read by its header and melted."""
     b = fact_job.stage(spark, sf_dir)
-    return melt(read_sales_wide(spark, b.sales_wide)).select(
+    return melt_units(*read_sales_lines(spark, b.sales_wide)).select(
         "id", "item_id", "dept_id", "cat_id", "store_id", "state_id", "d", "day_num", "units_sold")
 
 
@@ -87,7 +90,7 @@ def _partitions_last(schema: T.StructType, partition_cols: list[str]) -> T.Struc
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register the fact as an external partitioned table and list its partitions."""
     b = fact_job.stage(spark, sf_dir)
-    catalog.register_external(spark, "sales_long", b.fact, FACT_SCHEMA, ["state_id"])
+    catalog.ensure_external(spark, "sales_long", b.fact, FACT_SCHEMA, ["state_id"])
     return catalog.show_partitions(spark, "sales_long")
 
 
@@ -110,26 +113,76 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- curated tables
 
-def _versioned(b, name: str, *modules) -> str:
-    """Output folder of a derived table, keyed by the source of the modules that define it."""
+DERIVED_MODULES = (curate, forecast, scoring, checks, enrich, labels, numeric, schemas, writers)
+
+
+def _versioned(b, name: str) -> str:
+    """Output folder of a derived table, keyed by the source of every module its result may depend on."""
     import hashlib
     import inspect
 
-    h = hashlib.sha1("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:10]
+    h = hashlib.sha1("".join(inspect.getsource(m) for m in DERIVED_MODULES).encode()).hexdigest()[:10]
     return b.curated(f"{name}-{h}")
 
 
+def published(spark: SparkSession, key: str, write: Callable[[str], None]) -> str:
+    """Folder of a derived output, written once: into a folder of its own, then ``<key>/current`` points at it.
+
+    Two processes that write at once each finish a complete output and one of
+    them is pointed at; nobody overwrites files that others read.
+    """
+    pointer = f"{key}/current"
+    if not path_exists(spark, f"{pointer}/_SUCCESS"):
+        out = f"{key}/{uuid.uuid4().hex[:12]}"
+        write(out)
+        spark.createDataFrame([(out,)], "path string").coalesce(1).write.mode("overwrite").json(pointer)
+    return spark.read.schema("path string").json(pointer).first()[0]
+
+
+def data_quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five quality rows as a curated table (CTAS)."""
+    b = fact_job.stage(spark, sf_dir)
+    df = checks.quality_summary(fact(spark, sf_dir), b.n_series * b.n_days, b.n_series).select("check_name", "metric_value", "expected_value")
+    path = published(spark, _versioned(b, "data_quality_summary"), lambda out: catalog.ctas(spark, df, "data_quality_summary", out))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def raw_files_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A7 over a user's raw files: the job run on files with columns in another order, extra columns and
+    week keys that jump at a new year; the published fact per store and month."""
+    b = fact_job.stage(spark, sf_dir)
+
+    def write(out: str) -> None:
+        cal = spark.read.option("header", True).csv(b.calendar)
+        keys = cal.groupBy("wm_yr_wk").agg(F.min("date").alias("date")).select(F.col("wm_yr_wk").alias("old"), (F.year("date") * 10000 + F.col("wm_yr_wk").cast("int")).alias("new"))
+        shuffled = ["weekday", "wm_yr_wk", "date", "snap_TX", "extra", *[c for c in cal.columns if c not in ("weekday", "wm_yr_wk", "date", "snap_TX")]]
+        numbered = cal.join(F.broadcast(keys), cal["wm_yr_wk"] == keys["old"]).drop("old", "wm_yr_wk").withColumnRenamed("new", "wm_yr_wk")
+        numbered.withColumn("extra", F.lit("x")).select(*shuffled).coalesce(1).write.option("header", True).csv(f"{out}/in/calendar")
+        prices = spark.read.option("header", True).csv(b.prices)
+        (prices.join(F.broadcast(keys), prices["wm_yr_wk"] == keys["old"])
+         .select("sell_price", F.lit("y").alias("note"), F.col("new").alias("wm_yr_wk"), "item_id", "store_id").write.option("header", True).csv(f"{out}/in/sell_prices"))
+        fact_job.run_job(spark, b.sales_wide, f"{out}/in/calendar", f"{out}/in/sell_prices", f"{out}/job")
+
+    out = published(spark, _versioned(b, "raw_files_job"), write)
+    f = read_fact(spark, f"{out}/job/processed/sales_long")
+    return f.groupBy("store_id", "year", "month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("units_sold").cast("long").alias("total_units"),
+        numeric.money_rounded(numeric.money_sum("revenue"), 2).alias("total_revenue"),
+        F.count("sell_price").alias("priced_rows"), F.countDistinct("wm_yr_wk").alias("weeks"))
+
+
 def _curated(spark: SparkSession, sf_dir: str, name: str, build, partition_cols=()) -> DataFrame:
     """CTAS into the catalog (A10/A11); the result is read back by path with the table's schema."""
     b = fact_job.stage(spark, sf_dir)
     df = build(fact(spark, sf_dir))
-    path = _versioned(b, name, curate)
-    catalog.ctas(spark, df, name, path, partition_cols)
+    path = _versioned(b, name)
+    path = published(spark, path, lambda out: catalog.ctas(spark, df, name, out, partition_cols))
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def daily_sales_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _curated(spark, sf_dir, "daily_sales_agg", curate.daily_sales_agg, ["state_id"])
+    # the published fact is checked unique on (item, store, day)
+    return _curated(spark, sf_dir, "daily_sales_agg", lambda f: curate.daily_sales_agg(f, pk_unique=True), ["state_id"])
 
 
 def weekly_item_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,24 +234,47 @@ def _baseline(model: str) -> Query:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline predictions written once (partitioned by model) and read as an external table."""
     b = fact_job.stage(spark, sf_dir)
-    path = _versioned(b, "forecast_vs_actual", forecast)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+
+    def write(out: str) -> None:
         f = fact(spark, sf_dir)
         cutoff = _cutoff(spark, sf_dir)
         forecast.check_holdout(forecast.split(f, cutoff)[1])
-        write_predictions(forecast.baseline_predictions(f, cutoff=cutoff), path)
-    catalog.register_external(spark, "forecast_vs_actual", path, PREDICTIONS_SCHEMA, ["model_name"])
+        write_predictions(forecast.baseline_predictions(f, cutoff=cutoff), out)
+
+    path = published(spark, _versioned(b, "forecast_vs_actual"), write)
+    catalog.ensure_external(spark, "forecast_vs_actual", path, PREDICTIONS_SCHEMA, ["model_name"])
     return read_predictions(spark, path)
 
 
 def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) -> DataFrame:
-    """M6: boosted-tree predictions, written once per build (training is the expensive part)."""
+    """M6: boosted-tree predictions on the modelling scope, written once per build (training is the expensive part)."""
+    return _scoped_boosting(spark, sf_dir, max_iter, **NOTEBOOK_SCOPE)
+
+
+def _scoped_boosting(spark: SparkSession, sf_dir: str, max_iter: int, states=None, categories=None) -> DataFrame:
+    """Trained and applied on one modelling scope (the reference models FOODS in CA)."""
     b = fact_job.stage(spark, sf_dir)
-    path = _versioned(b, f"gbt_predictions_{max_iter}", forecast)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        f = fact(spark, sf_dir)
-        write_predictions(forecast.gradient_boosting(f, _cutoff(spark, sf_dir), max_iter=max_iter, dense=True), path)
-    return read_predictions(spark, path)
+    scope = "_".join([*(states or ["all"]), *(categories or ["all"])])
+    path = _versioned(b, f"gbt_predictions_{max_iter}_{scope}")
+
+    def write(out: str) -> None:
+        f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, states=states, categories=categories)
+        write_predictions(forecast.gradient_boosting(f, _cutoff(spark, sf_dir), max_iter=max_iter, dense=True, frame_path=f"{out}_frame"), out)
+
+    return read_predictions(spark, published(spark, path, write))
+
+
+def gradient_boosting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is determined of M6: one row per test row of the scope, its actual units, and that no forecast is negative."""
+    p = gradient_boosting(spark, sf_dir)
+    return p.select("date", "store_id", "cat_id", "item_id", "actual_units", "model_name", (F.col("forecast_units") >= 0).alias("not_negative"))
+
+
+def model_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 + C13 on the modelling scope: training rows with both lags, test rows with missing lag features as 0."""
+    f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
+    train, test = forecast.model_frames(f.select("item_id", "store_id", "date", "day_num", "units_sold"), _cutoff(spark, sf_dir), dense=True)
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
 def notebook_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,23 +288,17 @@ def _on_predictions(fn) -> Query:
 
 
 def all_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three baselines and the boosted trees."""
-    return predictions(spark, sf_dir).unionByName(gradient_boosting(spark, sf_dir))
+    """The three baselines and the boosted trees on the modelling scope."""
+    f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
+    return forecast.baseline_predictions(f, cutoff=_cutoff(spark, sf_dir)).unionByName(gradient_boosting(spark, sf_dir))
 
 
 def model_scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F26 over all four models; the scorecard is also kept as a one-file CSV next to the predictions."""
-    card = scoring.model_scorecard(all_predictions(spark, sf_dir))
+    """F26 over all four models on the modelling scope, from its one-file CSV next to the predictions."""
     b = fact_job.stage(spark, sf_dir)
-    path = _versioned(b, "model_scorecard_csv", forecast, scoring)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_small_csv(card, path)
-    return card
-
-
-def forecast_daily_by_model_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F37 with all four models."""
-    return scoring.forecast_daily_by_model(all_predictions(spark, sf_dir), forecast.MODEL_NAMES)
+    card = scoring.model_scorecard(all_predictions(spark, sf_dir))
+    path = published(spark, _versioned(b, "model_scorecard_csv"), lambda out: write_small_csv(card, out))
+    return spark.read.schema(card.schema).option("header", True).csv(path)
 
 
 def registry() -> dict[str, Query]:
@@ -294,7 +364,9 @@ def registry() -> dict[str, Query]:
         "notebook_scorecard": notebook_scorecard,
         "gradient_boosting": gradient_boosting,
         "model_scorecard_all": model_scorecard_all,
-        "best_model_all": lambda spark, sf_dir: scoring.best_model(model_scorecard_all(spark, sf_dir)),
-        "forecast_daily_by_model_all": forecast_daily_by_model_all,
+        "gradient_boosting_rows": gradient_boosting_rows,
+        "model_frames": model_frames,
+        "raw_files_job": raw_files_job,
+        "data_quality_summary": data_quality_summary,
     }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---- fixed values: column names and orders of the files and tables (all lists below) ----
 ID_COLS = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
 SERIES_KEY = ["item_id", "store_id"]
 FACT_PK = ["item_id", "store_id", "d"]

@@ -80,6 +80,9 @@ def work_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() returns <dir>/<uuid>; stage next to it.
         return current.rstrip("/").rsplit("/", 1)[0]
+    master = sc.master if sc is not None else (_conf(spark, "spark.master") or "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = os.environ.get(_LOCAL_ROOT_ENV) or tempfile.mkdtemp(prefix="shelfcast-")
     os.makedirs(root, exist_ok=True)
     if sc is not None:

@@ -61,6 +61,18 @@ def register_external(spark: SparkSession, name: str, path: str, schema: T.Struc
             spark.sql(f"ALTER TABLE {qualified(name)} RECOVER PARTITIONS")
 
 
+def ensure_external(spark: SparkSession, name: str, path: str, schema: T.StructType,
+                    partition_cols: Sequence[str] = ()) -> None:
+    """:func:`register_external`, unless the table already stands on ``path`` with these columns."""
+    with _DDL_LOCK:
+        if table_exists(spark, name):
+            rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(name)}").collect()}
+            location = (rows.get("Location") or "").removeprefix("file:").lstrip("/")
+            if location == path.removeprefix("file:").lstrip("/") and spark.table(qualified(name)).columns == schema.fieldNames():
+                return
+        register_external(spark, name, path, schema, partition_cols)
+
+
 def ctas(spark: SparkSession, df: DataFrame, name: str, path: str, partition_cols: Sequence[str] = ()) -> None:
     """CREATE TABLE AS SELECT to Snappy Parquet at an explicit location.
 

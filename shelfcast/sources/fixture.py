@@ -2,8 +2,9 @@
 
 The reference reads three files: a wide sales file (one row per item-store series,
 one column per day), a calendar and weekly prices.  Here the same shapes are
-derived by Spark from ``lineitem`` + ``part`` so that all downstream work grows
-with the input:
+derived by Spark from ``lineitem`` + ``part`` so that the work grows
+with the input: at part grain the fact has one item per part; at brand grain (the FIXTURES
+grain) it always has 250 series, whose units and totals grow:
 
 * series: brand number ``bn`` (from ``p_brand``) x store number ``sn = l_suppkey % 10``
 * units: ``sum(l_quantity)`` per series and ship day, 0 on days without lines
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import idiv
@@ -81,6 +82,11 @@ def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.date, int]:
     return row["lo"], (row["hi"] - row["lo"]).days + 1
 
 
+def padded(text: Column, width: int) -> Column:
+    """Zero-padded to ``width``; longer text stays whole (``lpad`` alone would cut it)."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def series_ids(bn: Column, sn: Column, ik: Column | None = None, width: int = 3) -> list[Column]:
     """id, item_id, dept_id, cat_id, store_id, state_id from (bn, sn) and the item key (default: bn)."""
     cat = F.when(bn <= CATEGORY_LIMITS[0][0], CATEGORY_LIMITS[0][1])
@@ -89,7 +95,7 @@ def series_ids(bn: Column, sn: Column, ik: Column | None = None, width: int = 3)
     cat = cat.otherwise(OTHER_CATEGORY)
     dept_k = F.when(cat == CATEGORY_LIMITS[0][1], F.pmod(bn, F.lit(3)) + 1).otherwise(F.pmod(bn, F.lit(2)) + 1)
     dept = F.concat_ws("_", cat, dept_k.cast("string"))
-    item = F.concat_ws("_", dept, F.lpad((bn if ik is None else ik).cast("string"), width, "0"))
+    item = F.concat_ws("_", dept, padded((bn if ik is None else ik).cast("string"), width))
     (s1, o1), (s2, o2), (s3, o3) = STATES
     state = F.when(sn < o2, s1).when(sn < o3, s2).otherwise(s3)
     store_no = F.when(sn < o2, sn - o1).when(sn < o3, sn - o2).otherwise(sn - o3) + 1
@@ -155,23 +161,18 @@ def _ids(grain: str) -> list[Column]:
 def sales_wide_lines(daily: DataFrame, n_days: int, grain: str = "brand") -> DataFrame:
     """One CSV line per series: six ids then the units of days 1..n_days (0 where no line shipped).
 
-    Spark groups the sparse daily sums by series (each group holds at most one
-    row per calendar day); inside the task numpy scatters them into a dense
-    vector and joins it to text.  (A Spark map lookup per day would scan the
-    map linearly: days x entries comparisons per series.)
+    Every day with units becomes the zeros since the day before it and its own
+    value; the pieces of a series (at most one per calendar day) are joined in
+    day order.  All native; the grouping reuses the window's partitioning.
     """
-    import numpy as np
-    import pandas as pd
-
-    def to_line(key, pdf):
-        dense = np.zeros(n_days, dtype=np.int64)
-        dense[pdf["day_num"].to_numpy() - 1] = pdf["units"].to_numpy()
-        return pd.DataFrame({"ik": [key[0]], "bn": [key[1]], "sn": [key[2]],
-                             "units_csv": [",".join(map(str, dense.tolist()))]})
-
-    lines = daily.groupBy("ik", "bn", "sn").applyInPandas(
-        to_line, schema="ik long, bn int, sn int, units_csv string")
-    return lines.select(*_ids(grain), "units_csv")
+    key = ["ik", "bn", "sn"]
+    gap = F.col("day_num") - F.coalesce(F.lag("day_num").over(Window.partitionBy(*key).orderBy("day_num")), F.lit(0)) - 1
+    pieces = daily.select(*key, "day_num", F.concat(F.repeat(F.lit(",0"), gap.cast("int")), F.lit(","), F.col("units").cast("string")).alias("piece"))
+    lines = pieces.groupBy(*key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day_num", "piece"))), lambda e: e["piece"]), "").alias("head"),
+        F.max("day_num").alias("last"))
+    units = F.concat("head", F.repeat(F.lit(",0"), (F.lit(n_days) - F.col("last")).cast("int")))
+    return lines.select(*_ids(grain), F.substring(units, 2, 1 << 30).alias("units_csv"))
 
 
 def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int, grain: str = "brand") -> DataFrame:
@@ -192,7 +193,7 @@ def prices(spark: SparkSession, sf_dir: str, daily: DataFrame, n_days: int, grai
     step = F.pmod(wk4 * wk4 + F.col("bn") + F.col("sn"), F.lit(5))
     price_cents = idiv(F.col("base_cents") * (F.lit(100) - step * 5) * 2 + 100, 200)
     ids = _ids(grain)
-    return weeks.join(base, "bn").select(
+    return weeks.join(F.broadcast(base), "bn").select(  # one row per brand
         ids[4], ids[1], F.col("wm_yr_wk").cast("int").alias("wm_yr_wk"),
         (price_cents.cast("double") / F.lit(100.0)).alias("sell_price"),
     )

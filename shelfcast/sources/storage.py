@@ -41,24 +41,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _input_fingerprint(sf_dir: str, names: list[str]) -> str:
+def _input_fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     h = hashlib.sha1()
     h.update(BUILD_VERSION.encode())
     h.update(_code_fingerprint().encode())
     h.update(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
     for n in names:
-        p = table_path(sf_dir, n)
-        try:
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(n.encode())
+        for name, length, modified in list_files(spark, table_path(sf_dir, n)):
+            h.update(f"{n}:{name}:{length}:{modified}\n".encode())
     return h.hexdigest()[:16]
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path below ``path``, bytes, modification time) of every file, through the path's own Hadoop FS."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(conf)
+    root = fs.getFileStatus(top).getPath().toString()
+    files, found = fs.listFiles(top, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString().removeprefix(root), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
 def build_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the staged raw/processed/curated zones for one input directory."""
-    return f"{work_root(spark)}/shelfcast/{_input_fingerprint(sf_dir, ['lineitem', 'part'])}"
+    return f"{work_root(spark)}/shelfcast/{_input_fingerprint(spark, sf_dir, ['lineitem', 'part'])}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

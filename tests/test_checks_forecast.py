@@ -125,8 +125,8 @@ def test_daily_agg_pk_shortcut_equals_distinct(spark):
     from shelfcast.operators import curate
 
     f = series(spark, [1, 0, 2]).unionByName(series(spark, [0, 0, 5], item="FOODS_1_002"))
-    fast = sorted(map(tuple, curate.daily_sales_agg(f).collect()))
-    exact = sorted(map(tuple, curate.daily_sales_agg(f, pk_unique=False).collect()))
+    fast = sorted(map(tuple, curate.daily_sales_agg(f, pk_unique=True).collect()))
+    exact = sorted(map(tuple, curate.daily_sales_agg(f).collect()))
     assert fast == exact and {r[-3] for r in fast} == {2}
 
 

@@ -4,6 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 
+from shelfcast.plans.queries import registry
+from shelfcast.sources import fixture
+
 from .conftest import SF_SMALL
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
@@ -13,15 +16,31 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-MODEL_KEYS = ("gradient_boosting", "model_scorecard_all", "best_model_all", "forecast_daily_by_model_all")
+MODEL_KEYS = ("gradient_boosting", "model_scorecard_all", "gradient_boosting_rows")
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in MODEL_KEYS))
+@pytest.mark.parametrize("key", sorted(k for k in registry() if k not in MODEL_KEYS))
 def test_no_python_in_plans(spark, key):
     plan = _plan(E.queries()[key](spark, SF_SMALL))
     assert not any(n in plan for n in PY_NODES), key
 
 
+def test_no_python_in_the_build(spark):
+    first, days = fixture.calendar_bounds(spark, SF_SMALL)
+    daily = fixture.daily_units(spark, SF_SMALL, first)
+    for df in (fixture.sales_wide_lines(daily, days), fixture.prices(spark, SF_SMALL, daily, days), fixture.calendar(spark, first, days)):
+        plan = _plan(df)
+        assert not any(n in plan for n in PY_NODES) and "CartesianProduct" not in plan
+
+
+def test_baselines_read_the_fact_twice(spark):
+    from shelfcast.operators import forecast
+    from shelfcast.plans.queries import _cutoff, fact
+
+    plan = _plan(forecast.baseline_predictions(fact(spark, SF_SMALL), cutoff=_cutoff(spark, SF_SMALL)))
+    assert plan.count("Scan parquet") <= 3 and "Exchange hashpartitioning" not in plan
+
+
 def test_state_filter_prunes_partitions(spark):
     plan = _plan(E.queries()["price_decile_demand"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(state_id" in plan and "(state_id#" in plan

@@ -97,24 +97,25 @@ def test_resolve_snap_drops_state_columns(spark):
 
 
 def test_series_price_attach_matches_long_join(spark):
-    from shelfcast.operators.enrich import attach_prices
+    from shelfcast.operators.enrich import attach_prices, number_weeks
     from shelfcast.operators.enrich import PRICE_COLS
     from shelfcast.schemas import ID_COLS
 
     wide, cal, prices = _wide(spark), _calendar(spark), _prices(spark)
-    a = enrich(melt(attach_prices(wide, prices), id_cols=ID_COLS + PRICE_COLS), cal)
+    weeks = number_weeks(cal)
+    a = enrich(melt(attach_prices(wide, prices, weeks), id_cols=ID_COLS + PRICE_COLS), weeks)
     b = enrich(melt(wide), cal, prices)
     assert a.columns == b.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_series_price_attach_fails_on_duplicate_key(spark):
-    from shelfcast.operators.enrich import attach_prices
+    from shelfcast.operators.enrich import attach_prices, number_weeks
     from shelfcast.operators.enrich import PRICE_COLS
     from shelfcast.schemas import ID_COLS
 
-    fact = enrich(melt(attach_prices(_wide(spark), _prices(spark, dup=True)), id_cols=ID_COLS + PRICE_COLS),
-                  _calendar(spark))
+    weeks = number_weeks(_calendar(spark))
+    fact = enrich(melt(attach_prices(_wide(spark), _prices(spark, dup=True), weeks), id_cols=ID_COLS + PRICE_COLS), weeks)
     with pytest.raises(Exception, match="duplicate"):
         fact.collect()
 
@@ -152,15 +153,17 @@ def test_raw_zone_shapes(spark):
     assert prices.groupBy("store_id", "item_id", "wm_yr_wk").count().where("count > 1").count() == 0
 
 
-def test_series_price_with_gap_uses_map(spark):
-    """A series whose weeks are not contiguous keeps a week map; contiguous ones are positional."""
-    from shelfcast.operators.enrich import PRICE_COLS, attach_prices
+def test_series_price_with_gap_and_jumping_week_keys(spark):
+    """Weeks are looked up by their number in the calendar: gaps in a series and jumps in the keys are fine."""
+    from shelfcast.operators.enrich import PRICE_COLS, attach_prices, number_weeks
     from shelfcast.schemas import ID_COLS
 
-    prices = spark.createDataFrame([("CA_1", "A", 1, 2.5), ("CA_1", "A", 3, 3.0)],
+    prices = spark.createDataFrame([("CA_1", "A", 11152, 2.5), ("CA_1", "A", 11202, 3.0), ("CA_1", "A", 99999, 9.0)],
                                    "store_id string, item_id string, wm_yr_wk int, sell_price double")
-    cal = _calendar(spark, days=4).withColumn("wm_yr_wk", F.col("d").substr(3, 1).cast("int"))  # week = day
-    fact = enrich(melt(attach_prices(_wide(spark), prices), id_cols=ID_COLS + PRICE_COLS), cal)
+    key = F.element_at(F.array(*[F.lit(k) for k in (11152, 11201, 11202, 11203)]), F.col("d").substr(3, 1).cast("int"))
+    cal = _calendar(spark, days=4).withColumn("wm_yr_wk", key)  # week = day
+    weeks = number_weeks(cal)
+    fact = enrich(melt(attach_prices(_wide(spark), prices, weeks), id_cols=ID_COLS + PRICE_COLS), weeks)
     got = {r["d"]: r["sell_price"] for r in fact.where("id = 'A_CA_1'").collect()}
     assert got == {"d_1": 2.5, "d_2": None, "d_3": 3.0, "d_4": None}
     long = enrich(melt(_wide(spark)), cal, prices)

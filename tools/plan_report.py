@@ -17,7 +17,7 @@ import __spark_entry__ as E  # noqa: E402
 from shelfcast.schemas import FACT_COLS  # noqa: E402
 from shelfcast.session import local_session  # noqa: E402
 
-SKIP = {"gradient_boosting", "model_scorecard_all", "best_model_all", "forecast_daily_by_model_all"}
+SKIP = {"gradient_boosting", "model_scorecard_all", "gradient_boosting_rows"}
 
 
 def _count(plan: str, pat: str) -> int:
