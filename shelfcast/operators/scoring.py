@@ -66,4 +66,4 @@ def reorder_outlook(pred: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("horizon_days"),
         _r(F.sum("forecast_units")).alias("forecast_total_units"),
         _r(F.sum("actual_units")).alias("actual_total_units"),
-    ).orderBy("store_id", "item_id", "model_name")
+    )

@@ -301,8 +301,20 @@ def model_scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(card.schema).option("header", True).csv(path)
 
 
+def _on_scope(fn) -> Query:
+    """The exploratory queries on the modelling scope, as the reference runs them."""
+    return lambda spark, sf_dir: fn(fact_job.sales_long(spark, sf_dir, **NOTEBOOK_SCOPE))
+
+
+SCOPED = {"scope_profile": checks.scope_profile, "daily_total_ma28": effects.daily_total_ma28,
+          "weekday_mean_units": effects.weekday_mean_units, "units_histogram_capped": effects.units_histogram_capped,
+          "zero_share": checks.zero_share, "snap_overall_lift": effects.snap_overall_lift}
+
+
 def registry() -> dict[str, Query]:
     return {
+        # F31-F36 on the modelling scope
+        **{f"{name}_scoped": _on_scope(fn) for name, fn in SCOPED.items()},
         # F — checks on the fact
         "rows_by_state": _on_fact(checks.rows_by_state),
         "grand_total_check": _on_fact(checks.grand_total_check),

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from shelfcast.plans.queries import registry  # noqa: E402
 from shelfcast.schemas import FACT_COLS  # noqa: E402
 from shelfcast.session import local_session  # noqa: E402
 
@@ -56,7 +56,7 @@ def main() -> None:
           "Scans of the published fact only; `cols` = columns read out of 23.\n")
     print("| query | shuffles | broadcast | SMJ | BHJ | window | expand | python | fact scan |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in registry().items():
         if name in SKIP:
             continue
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
