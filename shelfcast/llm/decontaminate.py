@@ -13,8 +13,9 @@ shingles (lower-cased runs of letters and digits) occur in the document.
 3. Candidates' documents are shingled again and counted against all shingles of their items:
    the exact containment decides.
 
-Defined results: null or short texts (under five words) contain nothing; null or short items
-are found nowhere; repeated items are found each; repeated document rows are reported once
+Defined results: null or short texts (under five words) contain nothing; null or short items,
+and items without an id, are found nowhere; items of equal text are found each, rows of one
+item_id are one item; repeated document rows are reported once
 per (doc_id, item_id), with the largest containment if texts differ; a null doc_id is
 reported as such.  Extra columns are ignored.
 
@@ -42,7 +43,7 @@ def _maybe_broadcast(df: DataFrame) -> DataFrame:
 
 def item_shingles(items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """item_id, h, n (distinct shingles), need (hits that the threshold takes), in_sketch, sketch_need."""
-    hashed = (items.select("item_id", F.array_distinct(window_hashes(normal_words(F.col("text")), k)).alias("hs"))
+    hashed = (items.filter("item_id is not null").select("item_id", F.array_distinct(window_hashes(normal_words(F.col("text")), k)).alias("hs"))
               .groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("hs"))).alias("hs"))
               .withColumn("n", F.size("hs")).filter("n > 0"))
     upper = F.pow(F.lit(2.0), F.ceil(F.log2("n")))  # largest item of the size partition
