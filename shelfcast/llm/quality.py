@@ -37,7 +37,7 @@ from .common import stage
 from .wordhash import U, mix, span_hashes, text_bytes
 
 SAMPLE_ROWS = 50_000   # bound of the rows that cues and scorer are fitted on
-MAX_WEIGHTS = 5_000    # bound of the scorer's non-zero weights per task
+MAX_WEIGHTS = 2_000    # bound of the scorer's non-zero weights per task
 CHUNK_BYTES = 1 << 20  # text handled at once
 HASH_BITS = 30
 STEMS = (4, 5)         # bytes of the word stems
@@ -208,14 +208,18 @@ def _known(known: np.ndarray, features: np.ndarray, owner: np.ndarray, share: np
     return pairs >> HASH_BITS, pairs & ((1 << HASH_BITS) - 1)
 
 
-def logistic(row: np.ndarray, col: np.ndarray, target: np.ndarray, features: int) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft targets over 0/1 features (L2, Adam, full batches)."""
+def logistic(starts: np.ndarray, col: np.ndarray, target: np.ndarray, features: int) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on soft targets over 0/1 features (L2, Adam, full batches).
+
+    Row i holds the features ``col[starts[i]:starts[i + 1]]`` (one at least).
+    """
     w = np.zeros(features + 1)
     m, v = np.zeros(features + 1), np.zeros(features + 1)
+    lengths = np.diff(np.append(starts, len(col)))
     for step in range(1, TRAIN_STEPS + 1):
-        margin = w[-1] + np.bincount(row, weights=w[col], minlength=len(target))
+        margin = w[-1] + np.add.reduceat(w[col], starts)
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - target
-        grad = np.append(np.bincount(col, weights=error[row], minlength=features) + L2 * w[:-1], error.sum())
+        grad = np.append(np.bincount(col, weights=np.repeat(error, lengths), minlength=features) + L2 * w[:-1], error.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     return w[:-1], float(w[-1])
@@ -231,13 +235,14 @@ def _fit(docs: DataFrame, rows: DataFrame, name: str) -> dict[str, tuple[np.ndar
     model = {}
     for t, task in enumerate(TASKS):
         known = np.unique(np.concatenate([_candidates(counts, task, float(sums[0]), sums[1 + t] or 0.0), style]))
-        got = sample.mapInArrow(_hit_batches(known), "junk double, toxic double, hits array<int>").select(task, "hits").toPandas()  # bounded by SAMPLE_ROWS
-        if not len(got):
+        got = sample.mapInArrow(_hit_batches(known), "junk double, toxic double, hits array<int>").select(task, "hits").toArrow()  # bounded by SAMPLE_ROWS
+        if not got.num_rows:
             model[task] = (known, np.zeros(len(known)), -1.0)
             continue
-        lengths = got["hits"].map(len).to_numpy()
-        col = np.concatenate([np.asarray(h, dtype=np.int64) for h in got["hits"]])
-        weights, bias = logistic(np.repeat(np.arange(len(got)), lengths), col, got[task].to_numpy(dtype=float), len(known))
+        hits = got["hits"].combine_chunks()  # every document holds style features, so no list is empty
+        lengths = hits.value_lengths().to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+        weights, bias = logistic(starts, hits.flatten().to_numpy(zero_copy_only=False), got[task].to_numpy().astype(float), len(known))
         model[task] = (known, weights, bias)
     return model
 
