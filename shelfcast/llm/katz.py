@@ -10,7 +10,8 @@ unknown type.  Each text ends with an end token and starts after a start context
 1. Texts become blocks of about ``BLOCK_TOKENS`` tokens: a bucketed table of sorted distinct word
    hashes and token numbers, so that later steps meet a block's rows without moving it.
 2. Blocks send their distinct words with training counts to hash buckets, which add up
-   counts and answer every block with its words' totals (and the count-of-counts).
+   counts, number the words and answer every block with its words' totals and numbers (and
+   the count-of-counts).
 3. Blocks send their distinct bigrams, grouped by context, to buckets by context hash (frequent
    contexts are spread by bigram), which add up counts and answer with totals and, for contexts
    with unseen bigrams, the sums that alpha needs.
@@ -39,16 +40,16 @@ from pyspark.sql import functions as F
 
 from ..session import work_root
 from .common import stage
-from .wordhash import U, mix, word_hashes
+from .wordhash import U, byte_slices, mix, word_hashes
 
 BLOCK_TOKENS = 400_000
-BUCKET_TOKENS = 3_000_000   # training and held-out tokens per hash bucket, about
+BUCKET_TOKENS = 1_500_000   # training and held-out tokens per hash bucket, about
 TABLE_BLOCKS = 4            # blocks per bucket of the block table
 K = 5                       # counts up to K are Good-Turing discounted
 LARGE = 0.999               # discount of larger counts
 HOT_CONTEXTS = 65_536       # contexts over 1 / HOT_CONTEXTS of all tokens are spread
 HOT_TOKENS = 50_000         # and over so many tokens
-END, START = U(0xE0D), U(0x57A27)  # hashes of the end token and of the start context
+END = U(0xE0D)              # hash of the end token
 STATS = K + 3               # types, tokens, number of types with count 1 .. K + 1
 CODEC = pa.Codec("zstd", 1)
 
@@ -103,7 +104,7 @@ class Unigrams:
 
 def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     serial = TaskContext.get().partitionId() << 32
-    for batch in batches:
+    for batch in (part for whole in batches for part in byte_slices(whole, 6 * BLOCK_TOKENS)):
         words, bounds = word_hashes(batch.column("text"))
         a = 0
         while a < batch.num_rows:
@@ -210,14 +211,17 @@ def _stats(totals: np.ndarray) -> list[int]:
 
 def _add_words(bucket: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
     keys = [unpack(r["keys"], np.uint64) for r in rows]
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    types, at = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(at, weights=np.concatenate([unpack(r["counts"], np.uint32) for r in rows])).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
     answers = [pack(totals[at[e - len(k):e]], np.uint64) for k, e in zip(keys, ends, strict=True)]
+    # numbers within the bucket rise with the sorted keys: steps pack well
+    numbers = [pack(np.diff(at[e - len(k):e], prepend=0), np.uint32) for k, e in zip(keys, ends, strict=True)]
     yield pa.RecordBatch.from_arrays(
         [pa.array([-1, *(r["block"] for r in rows)], pa.int64()), pa.array([bucket] * (len(rows) + 1), pa.int64()),
-         pa.array([None, *answers], pa.binary()), pa.array([_stats(totals), *[None] * len(rows)], pa.list_(pa.int64()))],
-        names=["block", "bucket", "totals", "stats"])
+         pa.array([None, *answers], pa.binary()), pa.array([None, *numbers], pa.binary()),
+         pa.array([[*_stats(totals), len(types)], *[None] * len(rows)], pa.list_(pa.int64()))],
+        names=["block", "bucket", "totals", "numbers", "stats"])
 
 
 def _sums(answers: DataFrame) -> np.ndarray:
@@ -225,36 +229,50 @@ def _sums(answers: DataFrame) -> np.ndarray:
     return np.array([x or 0 for x in row], dtype=np.int64)
 
 
-def _totals(row: dict, answers: list[dict]) -> np.ndarray:
-    """The block's answers in the order of its buckets: aligned with its vocabulary."""
-    return np.concatenate([unpack(a["totals"], np.uint64) for a in sorted(answers, key=lambda a: a["bucket"])]).astype(np.int64)
+class Types:
+    """Numbers of all words of the corpus: where each bucket's begin, and the packed type that holds them."""
+
+    def __init__(self, words: DataFrame) -> None:
+        rows = sorted(words.filter("block = -1").select("bucket", F.col("stats")[STATS].alias("n")).collect())  # a row per bucket
+        self.buckets = np.array([r[0] for r in rows], dtype=np.int64)
+        ends = np.cumsum([r[1] for r in rows]).astype(np.int64)
+        self.starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        self.start_context = int(ends[-1]) if len(ends) else 0
+        self.kind = np.uint32 if self.start_context < 2**32 - 1 else np.uint64
+
+    def of(self, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        """Totals and numbers of a block's words from its answers in bucket order: aligned with its vocabulary."""
+        answers = sorted(answers, key=lambda a: a["bucket"])
+        totals = [unpack(a["totals"], np.uint64) for a in answers]
+        numbers = [np.cumsum(unpack(a["numbers"], np.uint32).astype(np.int64)) + self.starts[np.searchsorted(self.buckets, a["bucket"])] for a in answers]
+        return np.concatenate(totals).astype(np.int64), np.concatenate(numbers).astype(U)
 
 
 # ------------------------------------------------------------------ bigrams
 
-def _bigram_order(block: Block, word_totals: np.ndarray, starts: int, tokens: int, bits: int) -> tuple:
-    """Bigrams ordered by (bucket, context): context hash, word hash, both totals, training count, bucket, order."""
+def _bigram_order(block: Block, types: Types, word_totals: np.ndarray, numbers: np.ndarray, starts: int, tokens: int, bits: int) -> tuple:
+    """Bigrams and their order by (bucket, context): context and word number, both totals, training count, bucket, order."""
     context, word, count, at = block.bigrams()
-    hashes, totals = np.append(block.vocabulary, START), np.append(word_totals, starts)
-    h, w = hashes[context], block.vocabulary[word]
+    names, totals = np.append(numbers, U(types.start_context)), np.append(word_totals, starts)
+    h, w = names[context], numbers[word]
     hot = totals[context] > max(HOT_TOKENS, tokens // HOT_CONTEXTS)
-    bucket = _bucket(np.where(hot, mix(h * U(31) + w), mix(h)), bits)
+    bucket = _bucket(np.where(hot, mix(mix(h + U(1)) + w), mix(h + U(1))), bits)
     order = np.lexsort((context, bucket))
     return h, w, totals[context], word_totals[word], count, hot, bucket, order, at
 
 
-def _bigram_requests(starts: int, tokens: int, bits: int) -> Callable:
+def _bigram_requests(types: Types, starts: int, tokens: int, bits: int) -> Callable:
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                h, w, ch, cw, count, hot, bucket, order, _ = _bigram_order(block, _totals(row, row["answers_0"]), starts, tokens, bits)
+                h, w, ch, cw, count, hot, bucket, order, _ = _bigram_order(block, types, *types.of(row["answers_0"]), starts, tokens, bits)
                 h, w, ch, cw, count, hot, bucket = (x[order] for x in (h, w, ch, cw, count, hot, bucket))
                 names, first = np.unique(bucket, return_index=True)
                 out = []
                 for s, e in zip(first, np.append(first[1:], len(bucket)), strict=True):
                     run = np.flatnonzero(np.append(True, h[s + 1:e] != h[s:e - 1])) + s
-                    out.append((pack(h[run], np.uint64), pack(np.diff(np.append(run, e)), np.uint32), pack(hot[run], np.uint8), pack(w[s:e], np.uint64),
+                    out.append((pack(h[run], types.kind), pack(np.diff(np.append(run, e)), np.uint32), pack(hot[run], np.uint8), pack(w[s:e], types.kind),
                                 pack(cw[s:e], np.uint64), pack(count[s:e], np.uint32)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names.astype(np.int64)), pa.array([block.number] * len(names), pa.int64()), *[pa.array(list(c), pa.binary()) for c in zip(*out, strict=True)]],
@@ -267,14 +285,14 @@ BIGRAM_SCHEMA = "bucket long, block long, contexts binary, runs binary, hot bina
 MASS = K + 2  # of a context: types with count 1 .. K, the sum of larger counts, the sum of P(w) over its types
 
 
-def _add_bigrams(unigrams: Unigrams) -> Callable:
+def _add_bigrams(unigrams: Unigrams, kind: type) -> Callable:
     def add(bucket: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        parts = [(unpack(r["contexts"], np.uint64), unpack(r["runs"], np.uint32).astype(np.int64), unpack(r["hot"], np.uint8).astype(bool),
-                  unpack(r["words"], np.uint64), unpack(r["word_counts"], np.uint64), unpack(r["counts"], np.uint32)) for r in rows]
+        parts = [(unpack(r["contexts"], kind).astype(U), unpack(r["runs"], np.uint32).astype(np.int64), unpack(r["hot"], np.uint8).astype(bool),
+                  unpack(r["words"], kind).astype(U), unpack(r["word_counts"], np.uint64), unpack(r["counts"], np.uint32)) for r in rows]
         h = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         hot = np.concatenate([np.repeat(p[2], p[1]) for p in parts])
         words, cw, counts = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
-        _, first, at = np.unique(mix(h + mix(words)), return_index=True, return_inverse=True)
+        _, first, at = np.unique(mix(h + U(1)) + mix(words * U(2) + U(1)) * U(3), return_index=True, return_inverse=True)
         totals = np.bincount(at, weights=counts).astype(np.int64)
         # per context: what its seen bigrams hold
         contexts, of = np.unique(h[first], return_inverse=True)
@@ -313,13 +331,13 @@ ANSWER_SCHEMA = "block long, bucket long, totals binary, masses binary, stats ar
 
 # ------------------------------------------------------------------ scores
 
-def _score(unigrams: Unigrams, d: np.ndarray, types: int, starts: int, tokens: int, bits: int, hot_table: dict) -> Callable:
+def _score(unigrams: Unigrams, d: np.ndarray, names: Types, types: int, starts: int, tokens: int, bits: int, hot_table: dict) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                word_totals = _totals(row, row["answers_0"])
-                h, _, ch, cw, _, hot, bucket, order, at = _bigram_order(block, word_totals, starts, tokens, bits)
+                word_totals, numbers = names.of(row["answers_0"])
+                h, _, ch, cw, _, hot, bucket, order, at = _bigram_order(block, names, word_totals, numbers, starts, tokens, bits)
                 replies = sorted(row["answers_1"], key=lambda a: a["bucket"])
                 totals = np.empty(len(h), dtype=np.int64)
                 totals[order] = np.concatenate([unpack(a["totals"], np.uint64) for a in replies]).astype(np.int64)
@@ -371,21 +389,22 @@ def score_documents(docs: DataFrame) -> DataFrame:
         return requests.repartition(1 << bits, "bucket").sortWithinPartitions("bucket")
 
     asked = table.mapInArrow(_word_requests(bits), "bucket long, block long, keys binary, counts binary")
-    words = stage(by_bucket(asked).mapInArrow(lambda b: _per_bucket(b, _add_words), "block long, bucket long, totals binary, stats array<long>"), "word-counts")
+    words = stage(by_bucket(asked).mapInArrow(lambda b: _per_bucket(b, _add_words), "block long, bucket long, totals binary, numbers binary, stats array<long>"), "word-counts")
+    names = Types(words)
     sums = _sums(words)
     types, tokens, of_count = int(sums[0]), int(sums[1]), sums[2:]
     large = tokens - int((of_count[:K] * np.arange(1, K + 1)).sum())
     unigrams = Unigrams(tokens, of_count, float(large))
-    word_answers = words.filter("block >= 0").select("block", "bucket", "totals")
-    asked = _with_answers(blocks, width, word_answers).mapInArrow(_bigram_requests(starts, tokens, bits), BIGRAM_SCHEMA)
-    bigrams = stage(by_bucket(asked).mapInArrow(lambda b: _per_bucket(b, _add_bigrams(unigrams)), ANSWER_SCHEMA), "bigram-counts")
+    word_answers = words.filter("block >= 0").select("block", "bucket", "totals", "numbers")
+    asked = _with_answers(blocks, width, word_answers).mapInArrow(_bigram_requests(names, starts, tokens, bits), BIGRAM_SCHEMA)
+    bigrams = stage(by_bucket(asked).mapInArrow(lambda b: _per_bucket(b, _add_bigrams(unigrams, names.kind)), ANSWER_SCHEMA), "bigram-counts")
     d = discounts(_sums(bigrams)[2:])
     # masses of spread contexts (at most HOT_CONTEXTS of them), summed over their buckets
     hot = (bigrams.filter("block = -1").select(F.posexplode("hot_contexts").alias("i", "h"), "hot_masses")
            .groupBy("h").agg(*[F.sum(F.get("hot_masses", F.col("i") * MASS + j)).alias(f"m{j}") for j in range(MASS)]).collect())
     hot_table = {int(r[0]) & 0xFFFFFFFFFFFFFFFF: np.array(r[1:], dtype=float) for r in hot}
     both = _with_answers(blocks, width, word_answers, bigrams.filter("block >= 0").select("block", "bucket", "totals", "masses"))
-    out = stage(both.mapInArrow(_score(unigrams, d, types, starts, tokens, bits, hot_table),
+    out = stage(both.mapInArrow(_score(unigrams, d, names, types, starts, tokens, bits, hot_table),
                                 "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
     spark.sql(f"DROP TABLE IF EXISTS {blocks}")
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,6 +45,19 @@ def text_bytes(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def byte_slices(batch: pa.RecordBatch, size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in row ranges of about ``size`` text bytes (a longer row is a range of its own)."""
+    texts = batch.column(column).cast(pa.large_string()).fill_null("")
+    if not len(texts):
+        return
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + size, side="right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def word_spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every white-space separated word, and the word bounds of each row."""
     if not len(data):
