@@ -3,7 +3,8 @@
 An item is found in a document when at least ``threshold`` of the item's distinct 5-word
 shingles (lower-cased runs of letters and digits) occur in the document.
 
-1. Items are partitioned by shingle count (powers of two).  Each item's sketch is its
+1. An item is a distinct normalised text (``item``, its md5): ids only name it in the report.
+   Items are partitioned by shingle count (powers of two).  Each item's sketch is its
    bottom-k MinHash: the k shingles with the smallest hashes, with k = 2 m + 2, where m is the
    number of shingles that the largest item of the partition may miss.  An item that reaches
    the threshold misses at most m, so at least k - m of its sketch is in the document:
@@ -13,11 +14,11 @@ shingles (lower-cased runs of letters and digits) occur in the document.
 3. Candidates' documents are shingled again and counted against all shingles of their items:
    the exact containment decides.
 
-Defined results: null or short texts (under five words) contain nothing; null or short items,
-and items without an id, are found nowhere; items of equal text are found each, rows of one
-item_id are one item; repeated document rows are reported once
-per (doc_id, item_id), with the largest containment if texts differ; a null doc_id is
-reported as such.  Extra columns are ignored.
+Defined results: null or short texts (under five words) contain nothing; null or short items
+are found nowhere; items of equal text are found each; every text of an item_id is found on
+its own, and so are texts without an id (reported with a null item_id); repeated document
+rows are reported once per (doc_id, item_id), with the largest containment if texts differ;
+a null doc_id is reported as such.  Extra columns are ignored.
 
 Scale: the item side is broadcast only after its rows were counted (``BROADCAST_ROWS``),
 else it is shuffled, where AQE splits a shingle that many documents hold.  Documents are
@@ -26,7 +27,7 @@ exploded only into the join; nothing is grouped before the hits are few.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,25 +35,30 @@ from .common import normal_words, small, stage, window_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BROADCAST_ROWS = 500_000  # of (item, hash) pairs or candidate documents: 16 bytes a row, a few MB
+BROADCAST_ROWS = 500_000  # of (item, hash) pairs, item ids or candidate documents: 16 to 40 bytes a row
 
 
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small(df, BROADCAST_ROWS) else df
 
 
+def item_key() -> Column:
+    """Key of the normalised text of a benchmark row."""
+    return F.unhex(F.md5(F.array_join(normal_words(F.col("text")), " ").cast("binary")))
+
+
 def item_shingles(items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
-    """item_id, h, n (distinct shingles), need (hits that the threshold takes), in_sketch, sketch_need."""
-    hashed = (items.filter("item_id is not null").select("item_id", F.array_distinct(window_hashes(normal_words(F.col("text")), k)).alias("hs"))
-              .groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("hs"))).alias("hs"))
+    """item (key of a distinct text), h, n (distinct shingles), need (hits that the threshold takes), in_sketch, sketch_need."""
+    hashed = (items.select(item_key().alias("item"), "text").groupBy("item").agg(F.min("text").alias("text"))
+              .select("item", F.array_distinct(window_hashes(normal_words(F.col("text")), k)).alias("hs"))
               .withColumn("n", F.size("hs")).filter("n > 0"))
     upper = F.pow(F.lit(2.0), F.ceil(F.log2("n")))  # largest item of the size partition
     may_miss = F.floor(upper * (1 - threshold) + 1e-9).cast("int")
     ranked = (hashed.withColumn("need", F.ceil(F.col("n") * threshold - 1e-9).cast("int"))
               .withColumn("sketch", F.least(F.col("n"), 2 * may_miss + 2))
               .withColumn("sketch_need", F.greatest(F.lit(1), F.col("sketch") - (F.col("n") - F.col("need"))))
-              .select("item_id", "n", "need", "sketch", "sketch_need", F.posexplode(F.sort_array("hs")).alias("rank", "h")))
-    return ranked.select("item_id", "h", "n", "need", (F.col("rank") < F.col("sketch")).alias("in_sketch"), "sketch_need")
+              .select("item", "n", "need", "sketch", "sketch_need", F.posexplode(F.sort_array("hs")).alias("rank", "h")))
+    return ranked.select("item", "h", "n", "need", (F.col("rank") < F.col("sketch")).alias("in_sketch"), "sketch_need")
 
 
 def document_shingles(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -60,29 +66,30 @@ def document_shingles(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
-    """doc_id, key (md5 of the text), item_id, n_shingles, n_shared, containment of every finding."""
+    """doc_id, key (md5 of the text), item, n_shingles, n_shared, containment of every finding."""
     keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
     shingles = stage(item_shingles(items, threshold, k), "benchmark-shingles")
-    sketches = shingles.filter("in_sketch").select("item_id", "h", "sketch_need")
+    sketches = shingles.filter("in_sketch").select("item", "h", "sketch_need")
     hits = document_shingles(keyed, k).join(_maybe_broadcast(sketches), "h")
-    candidates = stage(hits.groupBy("doc_id", "key", "item_id", "sketch_need").agg(F.countDistinct("h").alias("hits"))
-                       .filter("hits >= sketch_need").select("doc_id", "key", "item_id"), "candidates")
+    candidates = stage(hits.groupBy("doc_id", "key", "item", "sketch_need").agg(F.countDistinct("h").alias("hits"))
+                       .filter("hits >= sketch_need").select("doc_id", "key", "item"), "candidates")
     wanted = candidates.select(F.col("key").alias("wanted")).distinct()
     again = keyed.join(_maybe_broadcast(wanted), F.col("key") == F.col("wanted"), "left_semi")
     texts = again.groupBy("key").agg(F.min("text").alias("text")).withColumn("doc_id", F.lit(None))
     found = (document_shingles(texts, k).select("key", "h").distinct()
-             .join(_maybe_broadcast(shingles.select("item_id", "h", "n", "need")), "h")
-             .groupBy("key", "item_id", "n", "need").agg(F.count(F.lit(1)).alias("n_shared"))
+             .join(_maybe_broadcast(shingles.select("item", "h", "n", "need")), "h")
+             .groupBy("key", "item", "n", "need").agg(F.count(F.lit(1)).alias("n_shared"))
              .filter("n_shared >= need"))
-    return candidates.join(found, ["key", "item_id"]).select(
-        "doc_id", "key", "item_id", F.col("n").cast("long").alias("n_shingles"), F.col("n_shared").cast("long").alias("n_shared"),
+    return candidates.join(found, ["key", "item"]).select(
+        "doc_id", "key", "item", F.col("n").cast("long").alias("n_shingles"), F.col("n_shared").cast("long").alias("n_shared"),
         (F.col("n_shared") / F.col("n")).alias("containment"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per (doc_id, item_id) found, with the exact containment."""
     best = F.max_by(F.struct("n_shingles", "n_shared", "containment"), F.struct("containment", "n_shared"))
-    return (contamination(docs, items, threshold).groupBy("doc_id", "item_id").agg(best.alias("b"))
+    ids = stage(items.select(item_key().alias("item"), "item_id").distinct(), "benchmark-ids")
+    return (contamination(docs, items, threshold).join(_maybe_broadcast(ids), "item").groupBy("doc_id", "item_id").agg(best.alias("b"))
             .select("doc_id", "item_id", "b.*"))
 
 

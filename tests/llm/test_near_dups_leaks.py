@@ -149,3 +149,14 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.leaks(no_docs(spark), bench).count() == 0
     assert decontaminate.decontaminate(awkward_docs(spark), bench.limit(0)).count() == awkward_docs(spark).count()
+
+
+def test_benchmark_texts_are_found_whatever_their_id(spark):
+    texts = [" ".join(words(700 + i, 40)) for i in range(6)]
+    items = [(None, texts[0]), (None, texts[1]), (1, texts[2]), (1, texts[3]), (1, texts[3].upper()), (2, texts[4]), (3, texts[4]), (4, texts[5])]
+    rows = [(i, f"{prose(40 + i, 60)}\n{t}\n{prose(60 + i, 60)}") for i, t in enumerate(texts)] + [(9, prose(50, 200))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r["doc_id"], str(r["item_id"]), r["containment"]) for r in decontaminate.leaks(docs, bench).collect())
+    assert got == [(0, "None", 1.0), (1, "None", 1.0), (2, "1", 1.0), (3, "1", 1.0), (4, "2", 1.0), (4, "3", 1.0), (5, "4", 1.0)]
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()] == [9]
