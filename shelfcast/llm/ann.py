@@ -8,7 +8,9 @@
    best-first for batches of vectors.  A node goes to its nearest list and, near a boundary, to
    up to ``REPLICAS`` lists whose distance ratio is within ``BOUNDARY`` (unless an already chosen
    centroid is nearer to the new one than the node is).
-4. A query reads the lists whose distance ratio is within ``PROBE_RATIO``, at most ``PROBES``.
+4. A query reads its nearest lists until they hold k + 1 nodes for sure (a node is in
+   ``REPLICAS`` lists at most), and on to ``PROBE_RATIO`` times the distance of the last of
+   those, to ``PROBES`` lists.  Queries that still find fewer than k rows read all lists.
    Lists over ``LIST_MAX`` nodes are split by hash, and each part meets the queries on its own.
 5. Scores are cosines in double precision on the original vectors; ties go to the least id.
 
@@ -135,8 +137,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), -1)
 
 
-def _assign(centroids: np.ndarray, graph: np.ndarray, most: int, ratio: float, spread: bool) -> Callable:
-    """Batches (key, vec, ...) to one row per chosen list."""
+def _assign(centroids: np.ndarray, graph: np.ndarray, most: int, ratio: float, spread: bool,
+            sizes: np.ndarray | None = None, least_nodes: int = 0) -> Callable:
+    """Batches (key, vec, ...) to one row per chosen list; the ratio counts from the list with which ``least_nodes`` (by ``sizes``) are met."""
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
@@ -144,15 +147,21 @@ def _assign(centroids: np.ndarray, graph: np.ndarray, most: int, ratio: float, s
                 x = _unit(_matrix(part.column("vec"))).astype(np.float32)
                 ids, sims = graph_search(x, centroids, graph)
                 distance = np.sqrt(np.maximum(2 - 2 * sims, 0))
-                take = (ids >= 0) & (distance <= np.maximum(distance[:, :1] * ratio, 1e-6))
+                needed = np.zeros(ids.shape, dtype=bool)
+                needed[:, 0] = True
+                if sizes is not None:
+                    held = np.where(ids >= 0, sizes[ids], 0)
+                    needed |= (ids >= 0) & (np.cumsum(held, axis=1) - held < least_nodes)
+                last = np.max(np.where(needed, distance, 0), axis=1, keepdims=True)
+                take = (ids >= 0) & (distance <= np.maximum(last * ratio, 1e-6))
                 take[:, most * 4:] = False
-                take[:, 0] = True
                 if spread:  # skip a centroid that an already chosen one stands nearer to than the vector does
                     for j in range(1, min(most * 4, take.shape[1])):
                         between = np.einsum("rjd,rd->rj", centroids[ids[:, :j]], centroids[ids[:, j]])
                         nearer = take[:, :j] & (np.sqrt(np.maximum(2 - 2 * between, 0)) < distance[:, j:j + 1])
                         take[:, j] &= ~nearer.any(axis=1)
                 take &= np.cumsum(take, axis=1) <= most
+                take |= needed
                 row, slot = np.nonzero(take)
                 picked = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(ids[row, slot].astype(np.int32))],
@@ -244,20 +253,40 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     held = stage(nodes.select("key", "vec", "least").mapInArrow(
         _assign(centroids, graph, REPLICAS, BOUNDARY, True), "key string, vec array<double>, least long, list int"), "postings")
     wanted = rows.filter(asks).select("vec_id", "key")
-    queries = nodes.join(wanted.select("key").distinct(), "key", "left_semi").select("key", "vec", "least").mapInArrow(
-        _assign(centroids, graph, PROBES, PROBE_RATIO, False), "key string, vec array<double>, least long, list int")
-    parts = held.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_MAX).cast("int").alias("parts"))  # a row per list, at most MAX_CENTROIDS
-    parts = F.broadcast(parts)
+    parts = held.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_MAX).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    parts = stage(parts, "lists")  # a row per list, at most MAX_CENTROIDS
+    sizes = np.zeros(len(centroids), dtype=np.int64)
+    for r in parts.collect():
+        sizes[r["list"]] = r["n"]
+    parts = F.broadcast(parts.drop("n"))
     postings = held.join(parts, "list").select("key", "vec", "least", "list", F.pmod(F.xxhash64("key"), "parts").cast("int").alias("part"), F.lit(False).alias("asks"))
-    asked = queries.join(parts, "list").select("key", "vec", "least", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"))
-    met = (postings.unionByName(asked).repartition("list", "part").sortWithinPartitions("list", "part", "asks")
-           .mapInArrow(_lists(k), "query string, node string, score double"))
-    best = W.partitionBy("query").orderBy(F.col("score").desc(), "least")
-    found = (met.groupBy("query", "node").agg(F.max("score").alias("score")).join(nodes.select(F.col("key").alias("node"), "least", "ids"), "node")
-             .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1))
-    answer = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (wanted.distinct().select(F.col("vec_id").alias("query_id"), F.col("key").alias("query"))
-            .join(found.select("query", "score", F.explode("ids").alias("vec_id")), "query")
-            .filter(F.col("vec_id") != F.col("query_id"))
-            .withColumn("rank", F.row_number().over(answer)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def search(asked: DataFrame) -> DataFrame:
+        """query, score, node, least, ids of the k + 1 best nodes of every query among the lists that it reads."""
+        each = asked.select("key", "vec", "least", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"))
+        met = (postings.unionByName(each).repartition("list", "part").sortWithinPartitions("list", "part", "asks")
+               .mapInArrow(_lists(k), "query string, node string, score double"))
+        best = W.partitionBy("query").orderBy(F.col("score").desc(), "least")
+        return (met.groupBy("query", "node").agg(F.max("score").alias("score")).join(nodes.select(F.col("key").alias("node"), "least", "ids"), "node")
+                .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"))
+
+    def answers(found: DataFrame) -> DataFrame:
+        answer = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        return (wanted.distinct().select(F.col("vec_id").alias("query_id"), F.col("key").alias("query"))
+                .join(found.select("query", "score", F.explode("ids").alias("vec_id")), "query")
+                .filter(F.col("vec_id") != F.col("query_id"))
+                .withColumn("rank", F.row_number().over(answer)).filter(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    queries = nodes.join(wanted.select("key").distinct(), "key", "left_semi").select("key", "vec", "least")
+    asked = queries.mapInArrow(_assign(centroids, graph, PROBES, PROBE_RATIO, False, sizes, REPLICAS * (k + 1)),
+                               "key string, vec array<double>, least long, list int").join(parts, "list")
+    found = stage(search(asked), "found")
+    first = stage(answers(found), "answers")
+    full = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == k)
+    short = stage(wanted.join(full, "vec_id", "left_anti").select("key").distinct(), "short")
+    if short.limit(1).count() == 0:
+        return first
+    every = queries.join(short, "key", "left_semi").crossJoin(parts)  # few queries: the lists around them are all but empty
+    rest = found.join(short, F.col("query") == F.col("key"), "left_anti")
+    return answers(rest.unionByName(stage(search(every), "found-again")))

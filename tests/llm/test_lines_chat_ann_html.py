@@ -157,6 +157,32 @@ def test_nearest_neighbours_recall_scores_and_ties(spark, monkeypatch):
     assert ann.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_outliers_and_tiny_clusters_get_all_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 40)
+    monkeypatch.setattr(ann, "LIST_MAX", 64)
+    rng = np.random.default_rng(2)
+    centre = np.zeros(16)
+    centre[0] = 4.0
+    rows = [(i, [float(v) for v in (centre + 0.8 * rng.normal(size=16)).astype(np.float32)]) for i in range(1, 1200) if i % 50]
+    far = rng.normal(size=(40, 16))
+    far[:, 0] = -abs(far[:, 0]) - 1
+    for j, v in enumerate(far):  # one to five close vectors each
+        rows += [(10_000 + 50 * j + i, [float(x) for x in (v + 1e-4 * i * rng.normal(size=16)).astype(np.float32)]) for i in range(1 + j % 5)]
+    frame = spark.createDataFrame([(*r, None, "k", 1) for r in rows], VECTORS)
+    want = _brute_nearest(rows, 5, 50)
+    got = defaultdict(dict)
+    for r in ann.nearest(frame, F.col("vec_id") % 50 == 0).collect():
+        got[r["query_id"]][r["rank"]] = r["vec_id"]
+    assert set(got) == set(want) and len(want) == 40
+    assert all(sorted(ranked) == [1, 2, 3, 4, 5] for ranked in got.values())
+    hits = sum(len(set(got[q].values()) & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
+    monkeypatch.setattr(ann, "REPLICAS", 0)  # no list is needed: what is missing comes from all lists
+    monkeypatch.setattr(ann, "PROBES", 1)
+    again = ann.nearest(frame, F.col("vec_id") % 50 == 0).groupBy("query_id").count().collect()
+    assert len(again) == 40 and {r["count"] for r in again} == {5}
+
+
 def test_graph_search_finds_the_nearest_centroids():
     rng = np.random.default_rng(5)
     c = ann._unit(rng.normal(size=(700, 24))).astype(np.float32)
