@@ -95,6 +95,24 @@ def test_banded_alignment_equals_full_edit_distance():
         assert abs(got - want) < 1e-12 if want >= 0.8 else got == 0.0
 
 
+def test_alignment_of_long_texts_takes_linear_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 50_000, 20_000).astype(U)
+    b = np.insert(a, np.sort(rng.choice(20_000, 2_000, replace=False)), U(60_000))  # 10% more words
+    c = a.copy()
+    c[::8] = 70_000  # every eighth word is another
+    tracemalloc.start()
+    assert near_dups.edit_similarity(a, b, 0.8) == 1 - 2_000 / 22_000
+    assert near_dups.edit_similarity(b, a, 0.8) == 1 - 2_000 / 22_000
+    assert near_dups.edit_similarity(a, c, 0.8) == 1 - 2_500 / 20_000
+    assert near_dups.edit_similarity(a, a[::-1].copy(), 0.8) == 0.0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+
+
 def test_word_hashes_depend_on_the_word_alone():
     import pyarrow as pa
 
