@@ -15,11 +15,12 @@ cut (``CUTS``).
 
 Defined results: null text counts as empty; documents without words are rejected as junk;
 without labels the cue model never fires and the other labellers carry the model; documents
-with several labels take the worst; repeated rows get equal results; an empty table gives an
+with several labels take the worst; a doc_id of several texts enters a fit with one of them;
+repeated rows get equal results; an empty table gives an
 empty result.  Extra columns are kept by ``reject`` and ignored otherwise.
 
-Scale: text is read four times and never shuffled; only feature counts of the bounded samples,
-and (doc_id, votes) rows joined with labels, move.  The broadcasts are the samples (two
+Scale: text is read four times; only the texts and feature counts of the bounded samples (after
+partial aggregation to one text a doc_id), and (doc_id, votes) rows joined with labels, move.  The broadcasts are the samples (two
 numbers a row, at most ``SAMPLE_ROWS``) and at most ``MAX_WEIGHTS`` weights.
 """
 
@@ -225,9 +226,18 @@ def logistic(starts: np.ndarray, col: np.ndarray, target: np.ndarray, features:
     return w[:-1], float(w[-1])
 
 
+def _key() -> Column:
+    return F.xxhash64("text")
+
+
 def _fit(docs: DataFrame, rows: DataFrame, name: str) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
-    """Sorted features, weights and bias per task; ``rows``: at most SAMPLE_ROWS (doc_id, junk, toxic)."""
-    sample = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rows), "doc_id").select("text", *TASKS), f"{name}-sample")
+    """Sorted features, weights and bias per task; ``rows``: at most SAMPLE_ROWS (doc_id, key, junk, toxic), one a doc_id.
+
+    The sample holds one text of each doc_id: that of hash ``key``, any (the least) if it is null.
+    """
+    met = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("own"), "text").join(F.broadcast(rows), "doc_id")
+           .filter("key is null or key = own"))
+    sample = stage(met.groupBy("doc_id").agg(F.min("text").alias("text"), *[F.max(t).alias(t) for t in TASKS]).select("text", *TASKS), f"{name}-sample")
     counts = stage(sample.mapInArrow(_count_batches, "feature long, docs double, junk double, toxic double")
                    .groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("docs", *TASKS)]), f"{name}-counts")
     sums = sample.agg(F.count(F.lit(1)), *[F.sum(t) for t in TASKS]).first()
@@ -263,8 +273,8 @@ def _vote_batches(cues: dict) -> Callable:
                 listed = np.bincount(owner[_hits(insults, features)], minlength=n)
                 cued = _margins(cues["toxic"], features, owner, share)
                 toxic = (listed > 0).astype(np.int64) | (cued >= 0).astype(np.int64) << 1 | (cued >= 2).astype(np.int64) << 2
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, n), pa.array(junk.astype(np.int32)), pa.array(toxic.astype(np.int32))],
-                                                 names=["doc_id", "junk_votes", "toxic_votes"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, n), batch.column("key").slice(a, n), pa.array(junk.astype(np.int32)), pa.array(toxic.astype(np.int32))],
+                                                 names=["doc_id", "key", "junk_votes", "toxic_votes"])
 
     return votes
 
@@ -321,16 +331,17 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[np.ndarray, np.
     gold = stage(labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         (1 - F.min("quality")).cast("int").alias("junk_label"), F.max("toxic").cast("int").alias("toxic_label")), "gold")
     both = gold.filter("junk_label in (0, 1) and toxic_label in (0, 1)")
-    cues = _fit(docs, _bounded(both.select("doc_id", F.col("junk_label").cast("double").alias("junk"), F.col("toxic_label").cast("double").alias("toxic"))), "cues")
-    votes = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                  .mapInArrow(_vote_batches(cues), "doc_id long, junk_votes int, toxic_votes int"), "votes")
+    cues = _fit(docs, _bounded(both.select("doc_id", F.lit(None).cast("long").alias("key"), F.col("junk_label").cast("double").alias("junk"), F.col("toxic_label").cast("double").alias("toxic"))), "cues")
+    votes = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), "text")
+                  .mapInArrow(_vote_batches(cues), "doc_id long, key long, junk_votes int, toxic_votes int"), "votes")
     known = votes.join(both, "doc_id", "left")
     weak = known
     for task, heuristics in (("junk", len(STYLE) + 1), ("toxic", 3)):
         p = _posteriors(known, task, heuristics)
         weak = weak.join(F.broadcast(p.withColumnsRenamed({f"{task}_votes": f"{task}_v", f"{task}_label": f"{task}_l"})),
                          (F.col(f"{task}_votes") == F.col(f"{task}_v")) & F.col(f"{task}_label").eqNullSafe(F.col(f"{task}_l"))).drop(f"{task}_v", f"{task}_l")
-    rows = weak.filter("doc_id is not null").groupBy("doc_id").agg(*[F.max(t).alias(t) for t in TASKS])
+    worst = F.max(F.struct(F.greatest(*TASKS).alias("most"), *TASKS, "key"))  # of the texts of a doc_id: the worst, with its own posteriors
+    rows = weak.filter("doc_id is not null").groupBy("doc_id").agg(worst.alias("w")).select("doc_id", "w.key", *[f"w.{t}" for t in TASKS])
     return _fit(docs, _bounded(stage(rows, "posteriors")), "counts")
 
 

@@ -152,3 +152,14 @@ def test_expectation_maximisation_recovers_the_labellers():
     assert abs(share - 0.2) < 0.02
     assert np.allclose(found[:, :4].T, rates, atol=0.05)
     assert ((posterior[at] > 0.5) == truth).mean() > 0.95
+
+
+def test_a_doc_id_of_many_rows_is_one_row_of_the_fits(spark, monkeypatch):
+    fitted, fit = [], quality.logistic
+    monkeypatch.setattr(quality, "logistic", lambda starts, *rest: fitted.append(len(starts)) or fit(starts, *rest))
+    docs, labels = _labelled(spark)
+    docs = docs.select("doc_id", "text").filter("doc_id < 300")
+    hot = spark.range(400).selectExpr("7L as doc_id", "concat('one more text number ', cast(id % 200 as string)) as text")
+    out = quality.scores(docs.unionByName(hot), labels.filter("doc_id < 300")).count()
+    assert out == docs.count() + 400
+    assert len(fitted) == 4 and max(fitted) <= docs.select("doc_id").distinct().count()
