@@ -3,7 +3,8 @@
 Every line is parsed to a fixed depth: token count, then the first ``LEADING`` tokens, with
 tokens that hold a digit masked as variable fields.  Lines of a leaf share a template when at
 least ``SIMILARITY`` of their tokens equal the leaf's commonest token at that place; the rest are
-variable fields.  Other lines are templates of their own (masked text).  A template that occurs
+variable fields.  Lines left over are grouped by the token they most share and meet their own
+group's shape, until no group has two documents.  Other lines are templates of their own (masked text).  A template that occurs
 in two documents or more is recurring: its lines stay in the first document that holds it
 (least doc_id) and are dropped from all others.  Lines of under ``MIN_TOKENS`` tokens are
 compared by masked text only and take ``SHORT_DOCS`` documents to recur.
@@ -53,6 +54,39 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text", F.lit(7)).alias("key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
+def _merged(lines: DataFrame) -> DataFrame:
+    """l, m, shared (template) of the lines (leaf, mask, n, tokens, lo, hi, group) that share a shape with others.
+
+    Lines that do not meet their group's shape are grouped again by the token of theirs that most
+    of the group's other such lines share; a place more is equal in a group each time, so this ends.
+    """
+    out, placed = None, ("group", "place", "token")
+    while True:
+        common = (lines.select("group", F.posexplode("tokens").alias("place", "token")).groupBy(*placed).agg(F.count(F.lit(1)).alias("c"))
+                  .groupBy("group", "place").agg(F.max_by("token", F.struct("c", "token")).alias("token"))
+                  .groupBy("group").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("shape")))  # a line long
+        equal = F.size(F.filter(F.zip_with("tokens", "shape", lambda a, b: a == b["token"]), lambda x: x))
+        met = stage(lines.join(common, "group").withColumn("alike", equal >= F.ceil(F.col("n") * SIMILARITY - 1e-9)).drop("shape"), "shape-lines")
+        found = met.filter("alike").select(F.col("leaf").alias("l"), F.col("mask").alias("m"), F.xxhash64("group", F.lit("shape")).alias("shared"))
+        out = found if out is None else out.unionByName(found)
+        rest = met.filter("not alike").drop("alike")
+        each = rest.select("group", "mask", "lo", "hi", F.posexplode("tokens").alias("place", "token"))
+        held = (each.groupBy(*placed).agg(F.count(F.lit(1)).alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+                .filter("c > 1 and lo <> hi").drop("lo", "hi")
+                .join(rest.groupBy("group").agg(F.count(F.lit(1)).alias("total")), "group"))
+        best = F.max(F.when(F.col("c") < F.col("total"), F.struct("c", -F.col("place"), "token")))
+        support = each.join(held, list(placed)).groupBy("group", "mask").agg(F.count(F.lit(1)).alias("places"), best.alias("best"))
+        # two lines of one shape agree in 2 x SIMILARITY - 1 of their places
+        again = (rest.join(support, ["group", "mask"]).filter("best is not null").filter(F.col("places") >= F.ceil(F.col("n") * (2 * SIMILARITY - 1) - 1e-9))
+                 .withColumn("group", F.xxhash64("group", "best")).select(*lines.columns))
+        again = stage(again, "lines-left")
+        several = (again.groupBy("group").agg(F.count(F.lit(1)).alias("g"), F.min("lo").alias("x"), F.max("hi").alias("y"))
+                   .filter("g > 1 and x <> y").select("group"))
+        lines = stage(again.join(several, "group", "left_semi"), "mixed-lines")
+        if lines.limit(1).count() == 0:
+            return out
+
+
 def templates(docs: DataFrame) -> DataFrame:
     """doc_id, key, pos, n, template of every line that is not blank."""
     digests = stage(_lines(docs).select("doc_id", "key", "pos", _digest(F.col("line")).alias("d")).select("doc_id", "key", "pos", "d.*").filter("n > 0"), "line-digests")
@@ -64,13 +98,7 @@ def templates(docs: DataFrame) -> DataFrame:
              .join(mixed, F.col("leaf") == F.col("mixed"), "left_semi")
              .select("leaf", "mask", "n", F.transform(masked_tokens(F.col("line")), lambda t: F.xxhash64(t)).alias("tokens"))
              .dropDuplicates(["leaf", "mask"]))
-    again = stage(again, "mixed-lines")
-    common = (again.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("c"))
-              .groupBy("leaf", "place").agg(F.max_by("token", F.struct("c", "token")).alias("token"))
-              .groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("shape")))  # a line long
-    equal = F.size(F.filter(F.zip_with("tokens", "shape", lambda a, b: a == b["token"]), lambda x: x))
-    merged = (again.join(common, "leaf").filter(equal >= F.ceil(F.col("n") * SIMILARITY - 1e-9))
-              .select(F.col("leaf").alias("l"), F.col("mask").alias("m"), F.xxhash64("leaf", F.lit("shape")).alias("shared")))
+    merged = _merged(stage(again.join(by_mask, ["leaf", "mask"]).withColumn("group", F.col("leaf")), "mixed-lines"))
     return digests.join(merged, (F.col("leaf") == F.col("l")) & (F.col("mask") == F.col("m")), "left").select(
         "doc_id", "key", "pos", "n", F.coalesce("shared", F.xxhash64("leaf", "mask")).alias("template"))
 

@@ -75,6 +75,21 @@ def test_line_dedup_equals_brute_force(spark):
     assert line_dedup.dedup_lines(no_docs(spark)).count() == 0
 
 
+def test_a_leaf_may_hold_several_templates(spark):
+    names = ["".join(chr(97 + (i * 7 + j * j) % 26) for j in range(4)) + chr(97 + i % 26) + "abcd"[i // 26] for i in range(100)]
+    kinds = [("The current user {} has logged in from the office network today", 30), ("The current user {} was locked out after three wrong passwords yesterday", 20),
+             ("The current user {} has changed all settings of one old printer", 20), ("The current user {} paid for two more years of service today", 2)]
+    rows, name = [], iter(names)
+    for text, many in kinds:
+        assert len(text.split()) in (11, 12)
+        rows += [text.format(next(name)) for _ in range(many)]
+    rows = [(i, f"{line}\nown line number x{'y' * i} stays in this document") for i, line in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs).collect()
+    left = [r["text"].split("\n")[0] for r in out if "The current user" in r["text"]]
+    assert sorted(left) == sorted(text.format(names[at]) for (text, _), at in zip(kinds, (0, 30, 50, 70), strict=True))
+
+
 # ------------------------------------------------------------------ chat
 
 TURNS = "conv_id long, turn long, role string, text string, n long, pos string"
