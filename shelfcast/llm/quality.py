@@ -21,7 +21,8 @@ empty result.  Extra columns are kept by ``reject`` and ignored otherwise.
 
 Scale: text is read four times; only the texts and feature counts of the bounded samples (after
 partial aggregation to one text a doc_id), and (doc_id, votes) rows joined with labels, move.  The broadcasts are the samples (two
-numbers a row, at most ``SAMPLE_ROWS``) and at most ``MAX_WEIGHTS`` weights.
+numbers a row, at most ``SAMPLE_ROWS``) and the weights: every significant feature of a sample
+has one.  The driver holds 4 bytes a feature hit of a sample; gradients go in blocks.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from .common import stage
 from .wordhash import U, mix, span_hashes, text_bytes
 
 SAMPLE_ROWS = 50_000   # bound of the rows that cues and scorer are fitted on
-MAX_WEIGHTS = 2_000    # bound of the scorer's non-zero weights per task
+BLOCK_HITS = 1 << 20   # feature hits of a gradient's temporary arrays
 CHUNK_BYTES = 1 << 20  # text handled at once
 HASH_BITS = 30
 STEMS = (4, 5)         # bytes of the word stems
@@ -182,9 +183,8 @@ def _candidates(counts: DataFrame, task: str, total: float, positive: float) ->
     negative = total - positive
     rate = F.col("docs") / total
     z = (F.col(task) - rate * positive) / F.sqrt(F.greatest(rate * (1 - rate) * positive * negative / total, F.lit(1e-12)))
-    got = (counts.filter(F.col("docs") >= MIN_DOCS).select("feature", z.alias("z")).filter(F.col("z") >= MIN_Z)
-           .orderBy(F.col("z").desc(), "feature").limit(MAX_WEIGHTS).select("feature").collect())  # at most MAX_WEIGHTS
-    return np.sort(np.array([r[0] for r in got], dtype=U))
+    got = counts.filter(F.col("docs") >= MIN_DOCS).filter(z >= MIN_Z).select("feature").toArrow()  # features of a bounded sample
+    return np.sort(got["feature"].to_numpy().astype(U))
 
 
 def _hit_batches(known: np.ndarray) -> Callable:
@@ -216,11 +216,16 @@ def logistic(starts: np.ndarray, col: np.ndarray, target: np.ndarray, features:
     """
     w = np.zeros(features + 1)
     m, v = np.zeros(features + 1), np.zeros(features + 1)
-    lengths = np.diff(np.append(starts, len(col)))
+    bounds = np.append(starts, len(col))
+    cuts = np.unique(np.append(np.searchsorted(bounds, np.arange(0, len(col), BLOCK_HITS)), len(starts)))
     for step in range(1, TRAIN_STEPS + 1):
-        margin = w[-1] + np.add.reduceat(w[col], starts)
-        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - target
-        grad = np.append(np.bincount(col, weights=np.repeat(error, lengths), minlength=features) + L2 * w[:-1], error.sum())
+        grad = np.append(L2 * w[:-1], 0.0)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            hits = col[bounds[a]:bounds[b]]
+            margin = w[-1] + np.add.reduceat(w[hits], bounds[a:b] - bounds[a])
+            error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - target[a:b]
+            grad[:-1] += np.bincount(hits, weights=np.repeat(error, np.diff(bounds[a:b + 1])), minlength=features)
+            grad[-1] += error.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     return w[:-1], float(w[-1])
@@ -249,10 +254,12 @@ def _fit(docs: DataFrame, rows: DataFrame, name: str) -> dict[str, tuple[np.ndar
         if not got.num_rows:
             model[task] = (known, np.zeros(len(known)), -1.0)
             continue
-        hits = got["hits"].combine_chunks()  # every document holds style features, so no list is empty
-        lengths = hits.value_lengths().to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        weights, bias = logistic(starts, hits.flatten().to_numpy(zero_copy_only=False), got[task].to_numpy().astype(float), len(known))
+        lists, target = got["hits"].chunks, got[task].to_numpy().astype(float)
+        lengths = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in lists])
+        col = np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in lists])
+        del got, lists
+        starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)[:-1]])  # every document holds style features, so no list is empty
+        weights, bias = logistic(starts, col, target, len(known))
         model[task] = (known, weights, bias)
     return model
 

@@ -163,3 +163,22 @@ def test_a_doc_id_of_many_rows_is_one_row_of_the_fits(spark, monkeypatch):
     out = quality.scores(docs.unionByName(hot), labels.filter("doc_id < 300")).count()
     assert out == docs.count() + 400
     assert len(fitted) == 4 and max(fitted) <= docs.select("doc_id").distinct().count()
+
+
+def test_every_significant_feature_may_carry_weight(spark):
+    n = 7_000
+    counts = spark.range(n).selectExpr("id as feature", "10D as docs", "0D as junk", "10D as toxic")
+    assert list(quality._candidates(counts, "toxic", 10_000.0, 500.0)) == list(range(n))
+    assert len(quality._candidates(counts, "junk", 10_000.0, 500.0)) == 0
+
+
+def test_gradients_in_blocks_give_the_same_weights(monkeypatch):
+    rng = np.random.default_rng(7)
+    lengths = rng.integers(1, 30, 400)
+    lengths[50] = 300  # a row longer than a block
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    col, target = rng.integers(0, 60, lengths.sum()).astype(np.int32), (rng.random(400) < 0.3).astype(float)
+    whole = quality.logistic(starts, col, target, 60)
+    monkeypatch.setattr(quality, "BLOCK_HITS", 64)
+    parts = quality.logistic(starts, col, target, 60)
+    assert np.allclose(whole[0], parts[0], atol=1e-6) and abs(whole[1] - parts[1]) < 1e-6
