@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, html, katz, line_dedup, merkle, mixing, near_dups, quality, sharding
+from . import ann, chat, decontaminate, html, katz, line_dedup, merkle, mixing, near_dups, packing, quality, sharding
 from .common import table
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -56,6 +62,10 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.external_shuffle(table(spark, sf_dir, "documents")))
 
 
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, audited with every row whose id's crc32 3 divides tampered."""
     return merkle.manifest(table(spark, sf_dir, "documents"), *merkle.tampered())
@@ -63,4 +73,4 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_decontaminate, op2_katz, op3_mix, op4_line_dedup, op5_shard, op6_chat, op7_ann, op8_quality,
-                                    op9_near_dups, op10_html, op13_merkle)}
+                                    op9_near_dups, op10_html, op11_pack, op13_merkle)}
