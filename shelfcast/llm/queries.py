@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, html, katz, line_dedup, merkle, mixing, near_dups, packing, quality, sharding
+from . import alignment, ann, chat, decontaminate, html, katz, line_dedup, merkle, mixing, near_dups, packing, quality, sharding
 from .common import table
 
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -66,6 +67,10 @@ def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")))
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))[0]
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, audited with every row whose id's crc32 3 divides tampered."""
     return merkle.manifest(table(spark, sf_dir, "documents"), *merkle.tampered())
@@ -73,4 +78,4 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_decontaminate, op2_katz, op3_mix, op4_line_dedup, op5_shard, op6_chat, op7_ann, op8_quality,
-                                    op9_near_dups, op10_html, op11_pack, op13_merkle)}
+                                    op9_near_dups, op10_html, op11_pack, op12_align, op13_merkle)}
