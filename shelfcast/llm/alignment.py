@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import stage
+from .common import one_thread, stage
 from .wordhash import byte_slices
 
 SLICE_BYTES = 1 << 20    # text aligned at once
@@ -63,6 +64,7 @@ class Pair:
     """The two tokenizers: ids of units, and the bytes of every id."""
 
     def __init__(self, path_a: str, path_b: str):
+        one_thread()
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -232,6 +234,12 @@ class Aligner:
             yield (self.long(u) if i in long else next(short)) or NOTHING
 
 
+@lru_cache(maxsize=1)
+def aligner(path_a: str, path_b: str) -> Aligner:
+    """A worker process's aligner: its memo serves the tasks that follow."""
+    return Aligner(path_a, path_b)
+
+
 # ------------------------------------------------------------------ tasks
 
 def _align_batches(path_a: str, path_b: str, id_type: pa.DataType):
@@ -251,10 +259,10 @@ def _align_batches(path_a: str, path_b: str, id_type: pa.DataType):
                                            lists([pairs]), lists([held])], names=names)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligned = aligner(path_a, path_b)
         block, pairs, held = TaskContext.get().partitionId() << 32, NOTHING.pairs, NOTHING.times
         for batch in (part for whole in batches for part in byte_slices(whole, SLICE_BYTES)):
-            docs = list(aligner(batch.column("text").to_pylist()))
+            docs = list(aligned(batch.column("text").to_pylist()))
             yield of_docs(block, batch.column("doc_id"), docs)
             own, n = np.unique(np.concatenate([d.pairs for d in docs]), return_counts=True)
             merged, place = np.unique(np.concatenate([pairs, own]), return_inverse=True)

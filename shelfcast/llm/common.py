@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -28,8 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-
-
 def carried(docs: DataFrame, replaced: tuple[str, ...] = ()) -> Column:
     """All input columns as one struct (but those that an operator's output replaces)."""
     lowered = {r.lower() for r in replaced}
@@ -62,6 +61,11 @@ def window_hashes(words: Column, k: int) -> Column:
     return bound(words, hashes)
 
 
+def one_thread() -> None:
+    """A task has one core: the tokenizers of its process start no threads of their own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 def small(df: DataFrame, max_rows: int) -> bool:
     """Whether a (staged) frame has at most ``max_rows`` rows: the check before a broadcast."""
     return df.limit(max_rows + 1).count() <= max_rows

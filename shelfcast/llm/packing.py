@@ -29,6 +29,7 @@ import struct
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import stage
+from .common import one_thread, stage
 from .wordhash import byte_slices
 
 WINDOW = 2048
@@ -60,6 +61,7 @@ class Encoder:
     """Token ids (packed bytes) of texts by a tokenizer whose tokens never span ASCII white space."""
 
     def __init__(self, path: str):
+        one_thread()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -95,6 +97,12 @@ class Encoder:
             yield b"".join(self.together([part])[0] for part in parts(text)) if i in long else next(got)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """A worker process's encoder: its memo serves the tasks that follow."""
+    return Encoder(path)
+
+
 def parts(text: str) -> Iterator[str]:
     at = 0
     while at < len(text):
@@ -236,11 +244,11 @@ class _Out:
 
 def _pack_batches(tokenizer: str, id_type: pa.DataType):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), struct.pack("<I", END_ID)
+        ids_of, end = encoder(tokenizer), struct.pack("<I", END_ID)
         out = _Out(TaskContext.get().partitionId(), id_type)
         packer = Packer(out.window)
         for batch in (part for whole in batches for part in byte_slices(whole, SLICE_BYTES)):
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist()), strict=True):
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids_of(batch.column("text").to_pylist()), strict=True):
                 ids = own + end
                 packer.add(Piece(doc_id, 0, ids, len(ids) // ID_BYTES))
                 if out.full():
