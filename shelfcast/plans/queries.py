@@ -19,11 +19,12 @@ from ..functions import labels, numeric
 from ..operators import checks, curate, effects, enrich, forecast, price, quality, scoring, volume
 from ..operators.reshape import melt_units
 from ..schemas import FACT_SCHEMA, PREDICTIONS_SCHEMA
-from ..sources import catalog, writers
+from ..sources import catalog, versions, writers
 from ..sources.readers import read_fact, read_predictions, read_sales_lines
 from ..sources.storage import path_exists
+from ..sources.versions import Versioned
 from ..sources.writers import write_fact, write_predictions, write_small_csv
-from . import fact_job
+from . import fact_job, rerun
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +114,7 @@ def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- curated tables
 
-DERIVED_MODULES = (curate, forecast, scoring, checks, enrich, labels, numeric, schemas, writers)
+DERIVED_MODULES = (curate, forecast, scoring, checks, enrich, labels, numeric, schemas, writers, rerun, versions)
 
 
 def _versioned(b, name: str) -> str:
@@ -218,6 +219,51 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.lag_features(f, dense=True)
 
 
+# ---------------------------------------------------------------- versioned partitions
+
+RESTATED_STATES, RESTATED_STORES = ["CA"], ["TX_2"]  # scopes of the two reruns
+
+
+def _restated_sales(spark: SparkSession, b, out: str) -> None:
+    """Stand-in for a corrected raw file: one unit more on every day of the rerun's stores (and of nobody else)."""
+    lines, days = read_sales_lines(spark, b.sales_wide)
+    hit = F.col("state_id").isin(RESTATED_STATES) | F.col("store_id").isin(RESTATED_STORES)
+    units = F.when(hit, F.transform("units", lambda x: (x.cast("int") + 1).cast("string"))).otherwise(F.col("units"))
+    header = ",".join([*schemas.ID_COLS, *days])
+    lines.select(F.concat_ws(",", *schemas.ID_COLS, units).alias(header)).write.option("header", True).option("sep", "\t").csv(out)
+
+
+def _rerun_fact(spark: SparkSession, sf_dir: str):
+    """The published fact as a versioned table after a state's and a store's rerun from the corrected raw file (made once)."""
+    b = fact_job.stage(spark, sf_dir)
+
+    def write(out: str) -> None:
+        _restated_sales(spark, b, f"{out}/in/sales_wide")
+        table = rerun.versioned_fact(spark, b, f"{out}/table")
+        for scope in ({"states": RESTATED_STATES}, {"stores": RESTATED_STORES}):
+            rerun.rerun(spark, table, b, f"{out}/in/sales_wide", b.calendar, b.prices, **scope)
+
+    return rerun.versioned_fact(spark, b, published(spark, _versioned(b, "fact_rerun"), write) + "/table")
+
+
+def fact_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact per store after the reruns, with the version that its partition is of (1: untouched)."""
+    table = _rerun_fact(spark, sf_dir)
+    f = table.read(spark).groupBy("state_id", "store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("units_sold").cast("long").alias("total_units"),
+        numeric.money_rounded(numeric.money_sum("revenue"), 2).alias("total_revenue"))
+    return f.join(F.broadcast(rerun.by_version(spark, table)), "state_id").select("state_id", "store_id", F.col("since").alias("version"), "n_rows", "total_units", "total_revenue")
+
+
+def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's partitions in the catalog, in storage, and as the input series name them."""
+    b = fact_job.stage(spark, sf_dir)
+    catalog.ensure_external(spark, "sales_long", b.fact, FACT_SCHEMA, ["state_id"])
+    lines, _ = read_sales_lines(spark, b.sales_wide)
+    expected = [r[0] for r in lines.select("state_id").distinct().collect()]  # a row a state
+    return catalog.partition_inventory(spark, "sales_long", "state_id", expected, [b.fact])
+
+
 def _baseline(model: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         f = fact(spark, sf_dir)
@@ -248,20 +294,27 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gradient_boosting(spark: SparkSession, sf_dir: str, max_iter: int = 300) -> DataFrame:
     """M6: boosted-tree predictions on the modelling scope, written once per build (training is the expensive part)."""
-    return _scoped_boosting(spark, sf_dir, max_iter, **NOTEBOOK_SCOPE)
+    return read_predictions(spark, _scoped_boosting(spark, sf_dir, max_iter, **NOTEBOOK_SCOPE))
+
 
+def gradient_boosting_curve(spark: SparkSession, sf_dir: str, max_iter: int = 300) -> DataFrame:
+    """M6: held-out error of every tree prefix, and the one that was kept."""
+    return spark.read.schema(forecast.CURVE).parquet(f"{_scoped_boosting(spark, sf_dir, max_iter, **NOTEBOOK_SCOPE)}_curve")
 
-def _scoped_boosting(spark: SparkSession, sf_dir: str, max_iter: int, states=None, categories=None) -> DataFrame:
-    """Trained and applied on one modelling scope (the reference models FOODS in CA)."""
+
+def _scoped_boosting(spark: SparkSession, sf_dir: str, max_iter: int, states=None, categories=None) -> str:
+    """Folder of the predictions of a model trained and applied on one scope (the reference models FOODS in CA)."""
     b = fact_job.stage(spark, sf_dir)
     scope = "_".join([*(states or ["all"]), *(categories or ["all"])])
     path = _versioned(b, f"gbt_predictions_{max_iter}_{scope}")
 
     def write(out: str) -> None:
         f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, states=states, categories=categories)
-        write_predictions(forecast.gradient_boosting(f, _cutoff(spark, sf_dir), max_iter=max_iter, dense=True, frame_path=f"{out}_frame"), out)
+        made, curve = forecast.boosting(f, _cutoff(spark, sf_dir), max_iter=max_iter, dense=True, frame_path=f"{out}_frame")
+        curve.coalesce(1).write.parquet(f"{out}_curve")
+        write_predictions(made, out)
 
-    return read_predictions(spark, published(spark, path, write))
+    return published(spark, path, write)
 
 
 def gradient_boosting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,10 +340,55 @@ def _on_predictions(fn) -> Query:
     return lambda spark, sf_dir: fn(predictions(spark, sf_dir))
 
 
+def _forecast_table(spark: SparkSession, sf_dir: str) -> Versioned:
+    """``forecast_vs_actual`` of all four models on the modelling scope: a partition per model, each published on its own."""
+    b = fact_job.stage(spark, sf_dir)
+
+    def write(out: str) -> None:
+        f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
+        cutoff = _cutoff(spark, sf_dir)
+        test = forecast.split(f, cutoff)[1]
+        forecast.check_holdout(test)
+        table, expected = forecast_versions(out), test.count()
+        publish_models(spark, table, forecast.baseline_predictions(f, cutoff=cutoff), forecast.BASELINES, expected)
+        publish_models(spark, table, gradient_boosting(spark, sf_dir), [forecast.MODEL_NAMES[3]], expected)
+
+    return forecast_versions(published(spark, _versioned(b, "forecast_models"), write))
+
+
+def forecast_versions(root: str) -> Versioned:
+    return Versioned(f"{root}/table", "forecast_models", "model_name", PREDICTIONS_SCHEMA)
+
+
+def publish_models(spark: SparkSession, table: Versioned, made: DataFrame, models: list[str], expected: int) -> int:
+    """The models' predictions as new versions of their partitions; other models' files stay as they are.
+
+    Raises (and publishes nothing) unless each model has ``expected`` rows, all with a forecast that isn't negative.
+    """
+    out, base = table.new_folder(), table.version(spark)
+    write_predictions(made.where(F.col("model_name").isin(models)), out)
+    good = F.sum(F.when(F.col("forecast_units") >= 0, 1).otherwise(0))
+    found = {r[0]: (r[1], r[2]) for r in read_predictions(spark, out).groupBy("model_name").agg(F.count(F.lit(1)), good).collect()}
+    wrong = [m for m in models if found.get(m) != (expected, expected)]
+    if wrong:
+        raise enrich.ValidationError(f"predictions of {wrong}: {[found.get(m) for m in wrong]} rows and good rows instead of {expected}")
+    return table.publish(spark, {m: f"{out}/model_name={m}" for m in models}, base=base)
+
+
 def all_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three baselines and the boosted trees on the modelling scope."""
-    f = fact_job.sales_long(spark, sf_dir, columns=NOTEBOOK_COLUMNS, **NOTEBOOK_SCOPE)
-    return forecast.baseline_predictions(f, cutoff=_cutoff(spark, sf_dir)).unionByName(gradient_boosting(spark, sf_dir))
+    """The four models' predictions on the modelling scope, through the external table."""
+    return _forecast_table(spark, sf_dir).read(spark)
+
+
+def _on_all_models(fn) -> Query:
+    return lambda spark, sf_dir: fn(all_predictions(spark, sf_dir))
+
+
+def forecast_models_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is determined of the four models' table: every key and actual, the baselines' forecasts, no negative forecast."""
+    p = all_predictions(spark, sf_dir)
+    given = F.when(F.col("model_name").isin(forecast.BASELINES), F.col("forecast_units"))
+    return p.select("date", "store_id", "cat_id", "item_id", "actual_units", "model_name", given.alias("baseline_units"), (F.col("forecast_units") >= 0).alias("not_negative"))
 
 
 def model_scorecard_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,6 +475,17 @@ def registry() -> dict[str, Query]:
         "gradient_boosting": gradient_boosting,
         "model_scorecard_all": model_scorecard_all,
         "gradient_boosting_rows": gradient_boosting_rows,
+        "gradient_boosting_curve": gradient_boosting_curve,
+        # all four models on the modelling scope
+        "forecast_models": all_predictions,
+        "forecast_models_rows": forecast_models_rows,
+        "forecast_daily_all": _on_all_models(scoring.forecast_daily),
+        "forecast_worst_all": _on_all_models(scoring.forecast_worst),
+        "forecast_daily_by_model_all": _on_all_models(lambda p: scoring.forecast_daily_by_model(p, forecast.MODEL_NAMES)),
+        "best_model_all": _on_all_models(lambda p: scoring.best_model(scoring.model_scorecard(p))),
+        "reorder_outlook_all": _on_all_models(scoring.reorder_outlook),
+        "fact_rerun": fact_rerun,
+        "partition_inventory": partition_inventory,
         "model_frames": model_frames,
         "raw_files_job": raw_files_job,
         "data_quality_summary": data_quality_summary,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .storage import path_exists
+from .storage import list_files, path_exists
 
 DATABASE = "retail_db"
 _DDL_LOCK = threading.RLock()  # DROP + CREATE pairs must not interleave between threads
@@ -91,6 +91,56 @@ def ctas(spark: SparkSession, df: DataFrame, name: str, path: str, partition_col
         writer.saveAsTable(qualified(name))
 
 
+def register_located(spark: SparkSession, name: str, schema: T.StructType, partition_col: str, locations: dict[str, str],
+                     path: str, bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """External Parquet table whose partitions each stand on a folder of their own (``locations``: value -> folder).
+
+    An existing table keeps the partitions that are already there and gets the others set: one
+    metadata change a partition, so a reader plans with the old or the new folder.
+    """
+    with _DDL_LOCK:
+        ensure_database(spark)
+        if not table_exists(spark, name):
+            bucketed = f" CLUSTERED BY ({', '.join(bucket_by[1])}) INTO {int(bucket_by[0])} BUCKETS" if bucket_by else ""
+            spark.sql(f"CREATE TABLE {qualified(name)} ({_ddl(schema)}) USING parquet PARTITIONED BY ({partition_col}){bucketed} LOCATION '{path}'")
+        known = partition_locations(spark, name, partition_col)
+        for value, folder in locations.items():
+            spec = f"PARTITION ({partition_col}='{value}')"
+            if value not in known:
+                spark.sql(f"ALTER TABLE {qualified(name)} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+            elif known[value] != _plain_path(folder):
+                spark.sql(f"ALTER TABLE {qualified(name)} {spec} SET LOCATION '{folder}'")
+        spark.sql(f"REFRESH TABLE {qualified(name)}")
+
+
+def _plain_path(path: str) -> str:
+    return "/" + path.removeprefix("file:").strip("/") if path.startswith(("file:", "/")) else path.rstrip("/")
+
+
+def partition_locations(spark: SparkSession, name: str, partition_col: str) -> dict[str, str]:
+    """Partition value -> folder, as the catalog has them (one metadata lookup a partition)."""
+    found = {}
+    for row in show_partitions(spark, name).collect():
+        value = row[0].split("=", 1)[1]
+        about = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(name)} PARTITION ({partition_col}='{value}')").collect()
+        # the partition's own location comes before the table's
+        found[value] = _plain_path(next(r[1] for r in about if r[0] == "Location"))
+    return found
+
+
+def partition_inventory(spark: SparkSession, name: str, partition_col: str, expected: Sequence[str], roots: Sequence[str]) -> DataFrame:
+    """(value, in_catalog, in_storage, expected) of every partition that any of the three knows.
+
+    ``roots``: folders whose ``<partition_col>=<value>`` subfolders are the storage side; a folder counts when it holds a data file.
+    """
+    prefix = f"{partition_col}="
+    catalogued = {r[0].split("=", 1)[1] for r in show_partitions(spark, name).collect()} if table_exists(spark, name) else set()
+    stored = {part.removeprefix(prefix) for root in roots if path_exists(spark, root) for file, size, _ in list_files(spark, root)
+              for part in file.split("/")[:-1] if part.startswith(prefix) and size and not file.rsplit("/", 1)[1].startswith(("_", "."))}
+    rows = [(v, v in catalogued, v in stored, v in set(expected)) for v in sorted(catalogued | stored | set(expected))]
+    return spark.createDataFrame(rows, f"{partition_col} string, in_catalog boolean, in_storage boolean, expected boolean")
+
+
 def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     """``SHOW PARTITIONS`` of a partitioned table."""
     return spark.sql(f"SHOW PARTITIONS {qualified(name)}")
