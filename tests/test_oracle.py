@@ -12,7 +12,9 @@ from shelfcast.sources.storage import TESTDATA_TABLES
 
 from .conftest import SF_SMALL
 
-BOOSTED = {"gradient_boosting", "model_scorecard_all"}  # values of the trained model: no oracle
+# values of the trained model: no oracle
+BOOSTED = {"gradient_boosting", "gradient_boosting_curve", "model_scorecard_all", "forecast_models", "forecast_daily_all", "forecast_worst_all",
+           "forecast_daily_by_model_all", "best_model_all", "reorder_outlook_all"}
 KEYS = sorted(set(statements()) - {"gradient_boosting_rows"})
 
 

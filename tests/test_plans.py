@@ -16,7 +16,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-MODEL_KEYS = ("gradient_boosting", "model_scorecard_all", "gradient_boosting_rows")
+MODEL_KEYS = ("gradient_boosting", "gradient_boosting_curve", "model_scorecard_all", "gradient_boosting_rows")
 
 
 @pytest.mark.parametrize("key", sorted(k for k in registry() if k not in MODEL_KEYS))
