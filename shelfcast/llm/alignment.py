@@ -3,9 +3,8 @@
 Tokenizer A is a byte-level BPE (space + text), tokenizer B a byte-fallback piece model (which adds the
 space); both give the same bytes.
 
-1. Texts are encoded in units that begin with a space and end before the next one: no token
-   of either side spans such a point, so a unit's ids don't depend on its surroundings, and each
-   distinct unit of a slice is encoded once (a memo of about ``MEMO_UNITS`` units per task).
+1. Texts are encoded whole; a text over ``SLICE_BYTES`` characters goes in parts cut before single spaces,
+   which no token of either side spans.
 2. Per slice, ``pandas.merge_asof`` keyed by document gives every A token the B token that covers its
    start, and every B token the A token that covers its start; the union is all overlapping pairs.
    Pairs of equal ends close a group.
@@ -25,6 +24,7 @@ slice (a long text: a part of it), and one block's pairs; a pair of all document
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import one_thread, stage
+from .common import stage
 from .wordhash import byte_slices
 
-SLICE_BYTES = 1 << 20    # text aligned at once
-BLOCK_PAIRS = 300_000    # distinct pairs after which a block of documents is closed
-MEMO_UNITS, MEMO_CHARS, ENCODED = 200_000, 64, 20_000  # bounds of the unit memo; units encoded at once
+SLICE_BYTES = 1 << 19    # text aligned at once
+BLOCK_PAIRS = 200_000    # distinct pairs after which a block of documents is closed
+ROW_PAIRS = 10_000       # pairs of a block in one row
 B_BITS = 20              # an id pair is (A id << B_BITS) + B id
 # a space, and all up to the next space that follows a non-space and is itself followed by one
 UNIT = re.compile(r" .*?\S(?= +[^ ])| .*", re.S)
@@ -61,56 +61,60 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Pair:
-    """The two tokenizers: ids of units, and the bytes of every id."""
+    """The two tokenizers: ids of texts, and the bytes of every id.
+
+    A is run from its file's vocabulary as byte-pair ranks, which are its merges in order (checked).
+    """
 
     def __init__(self, path_a: str, path_b: str):
-        one_thread()
+        import public_tokenizers
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-
-        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
-        self.a.encode_special_tokens = True
-        code = _byte_alphabet()
-        self.bytes_a = [b""] * (max(self.a.get_vocab().values()) + 1)
-        for token, i in self.a.get_vocab().items():
-            self.bytes_a[i] = bytes(code[c] for c in token) if all(c in code for c in token) else token.encode()
+
+        with open(path_a, encoding="utf-8") as f:
+            file = json.load(f)
+        vocabulary, code = file["model"]["vocab"], _byte_alphabet()
+        special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        ranks = {bytes(code[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in file["model"]["merges"]]
+        if merged != sorted(merged):
+            raise ValueError(f"{path_a}: ids are not in the order of the merges")
+        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=path_b)
+        self.bytes_a = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+        for token, i in (*special.items(), *ranks.items()):
+            self.bytes_a[i] = token if isinstance(token, bytes) else token.encode()
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_MARK, " ").encode())
-        if any(SPACE_MARK in self.b.id_to_piece(i).lstrip(SPACE_MARK) for i in range(len(self.bytes_b))):
-            raise ValueError(f"{path_b}: a piece spans a word's end")
+            if SPACE_MARK in piece.lstrip(SPACE_MARK):
+                raise ValueError(f"{path_b}: a piece spans a word's end")
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
-        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _learn(self, units: set[str]) -> None:
-        if len(self.memo) > MEMO_UNITS:
-            self.memo = {u: self.memo[u] for u in units if u in self.memo}
-        fresh = [u for u in units if u not in self.memo]
-        for at in range(0, len(fresh), ENCODED):
-            some = fresh[at:at + ENCODED]
-            of_a = self.a.encode_batch_fast(some, add_special_tokens=False)
-            of_b = self.b.encode([u[1:] for u in some], num_threads=1)
-            for unit, x, b in zip(some, of_a, of_b, strict=True):
-                a, raw = x.ids, unit.encode()
-                same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-                self.memo[unit] = (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if same else None
-
-    def ids(self, texts: list[list[str]]) -> list[tuple[bytes, bytes] | None]:
-        """Per list of units its A and B ids (packed); None where their bytes aren't the text's."""
-        known = {u for units in texts for u in units}
-        self._learn(known)
+
+    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """A and B ids of texts that begin with the space which B adds; None where their bytes aren't the text's."""
         out = []
-        for units in texts:
-            got = [self.memo[u] for u in units]
-            out.append(None if None in got else (b"".join([x[0] for x in got]), b"".join([x[1] for x in got])))
-        for u in known:
-            if len(u) > MEMO_CHARS:
-                del self.memo[u]
+        for text, b in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1), strict=True):
+            a, raw = self.a.encode_ordinary(text), text.encode()
+            same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
+            out.append((np.array(a, np.int64), np.array(b, np.int64)) if same else None)
         return out
 
 
+def parts(text: str) -> Iterator[str]:
+    """A text cut before spaces that no token of either side spans, in parts of about ``SLICE_BYTES`` characters."""
+    at, end = 0, 0
+    for unit in UNIT.finditer(text):
+        end = unit.end()
+        if end - at >= SLICE_BYTES:
+            yield text[at:end]
+            at = end
+    if at < len(text):
+        yield text[at:]
+
+
 # ------------------------------------------------------------------ alignment of a slice
 
 @dataclass
@@ -175,14 +179,14 @@ class Aligner:
         self.text_a, self.last_a = text(len(self.pair.bytes_a), ","), text(len(self.pair.bytes_a), "|")
         self.text_b, self.last_b = text(len(self.pair.bytes_b), ","), text(len(self.pair.bytes_b), ";")
 
-    def together(self, texts: list[list[str]]) -> list[Aligned | None]:
-        """The alignment of some texts, given as units; None where the tokens don't give the text's bytes back."""
+    def together(self, texts: list[str]) -> list[Aligned | None]:
+        """The alignment of some texts (with the space before them); None where the tokens don't give the text's bytes back."""
         ids = self.pair.ids(texts)
-        out: list[Aligned | None] = [None if x is None else NOTHING for x in ids]
-        rows = [i for i, x in enumerate(ids) if x]
+        out: list[Aligned | None] = [None] * len(texts)
+        rows = [i for i, x in enumerate(ids) if x is not None]
         if not rows:
             return out
-        per_a, per_b = ([np.frombuffer(ids[i][side], np.int32).astype(np.int64) for i in rows] for side in (0, 1))
+        per_a, per_b = ([ids[i][side] for i in rows] for side in (0, 1))
         a, b = np.concatenate(per_a), np.concatenate(per_b)
         doc_a, doc_b = (np.repeat(np.arange(len(rows)), [len(x) for x in per]) for per in (per_a, per_b))
         end_a, end_b = np.cumsum(self.pair.size_a[a]), np.cumsum(self.pair.size_b[b])
@@ -210,33 +214,28 @@ class Aligner:
                              pairs[cuts[k]:cuts[k + 1]], times[cuts[k]:cuts[k + 1]])
         return out
 
-    def long(self, units: list[str]) -> Aligned | None:
-        """A long text, part by part: no group spans a unit's end."""
-        parts, at = [], 0
-        sizes = np.cumsum([len(u) for u in units])
-        while at < len(units):
-            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, side="right")))
-            parts += self.together([units[at:end]])
-            if parts[-1] is None:
+    def long(self, text: str) -> Aligned | None:
+        """A long text, part by part: no group spans a part's end."""
+        found = []
+        for part in parts(text):
+            found += self.together([part])
+            if found[-1] is None:
                 return None
-            at = end
-        pairs, place = np.unique(np.concatenate([p.pairs for p in parts]), return_inverse=True)
-        times = np.bincount(place, weights=np.concatenate([p.times for p in parts]).astype(float), minlength=len(pairs)).astype(np.int64)
-        total = [sum(getattr(p, f) for p in parts) for f in ("n_a", "n_b", "n_groups", "n_links")]
-        return Aligned(*total, b"".join(p.groups for p in parts), pairs, times)
+        pairs, place = np.unique(np.concatenate([p.pairs for p in found]), return_inverse=True)
+        times = np.bincount(place, weights=np.concatenate([p.times for p in found]).astype(float), minlength=len(pairs)).astype(np.int64)
+        total = [sum(getattr(p, f) for p in found) for f in ("n_a", "n_b", "n_groups", "n_links")]
+        return Aligned(*total, b"".join(p.groups for p in found), pairs, times)
 
     def __call__(self, texts: list[str | None]) -> Iterator[Aligned]:
         """The alignment of each text of a slice."""
-        units = [UNIT.findall(f" {t}") if t else [] for t in texts]
-        long = {i for i, t in enumerate(texts) if t and len(t) > SLICE_BYTES}
-        short = iter(self.together([u for i, u in enumerate(units) if i not in long]))
-        for i, u in enumerate(units):
-            yield (self.long(u) if i in long else next(short)) or NOTHING
+        short = iter(self.together([f" {t}" for t in texts if t and len(t) <= SLICE_BYTES]))
+        for t in texts:
+            yield (NOTHING if not t else self.long(f" {t}") if len(t) > SLICE_BYTES else next(short)) or NOTHING
 
 
 @lru_cache(maxsize=1)
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """A worker process's aligner: its memo serves the tasks that follow."""
+    """A worker process's aligner (reading the two tokenizers takes a second)."""
     return Aligner(path_a, path_b)
 
 
@@ -254,9 +253,11 @@ def _align_batches(path_a: str, path_b: str, id_type: pa.DataType):
             pa.array(digests, pa.string()), lists([d.pairs for d in docs]), lists([d.times for d in docs])], names=names)
 
     def of_block(block: int, pairs: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(1, pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([False]), pa.nulls(1, id_type), none, none, none, none, pa.nulls(1, pa.string()),
-                                           lists([pairs]), lists([held])], names=names)
+        cuts = np.arange(ROW_PAIRS, len(pairs), ROW_PAIRS)
+        n = len(cuts) + 1
+        none = pa.nulls(n, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array([False] * n), pa.nulls(n, id_type), none, none, none, none, pa.nulls(n, pa.string()),
+                                           lists(np.split(pairs, cuts)), lists(np.split(held, cuts))], names=names)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligned = aligner(path_a, path_b)

@@ -1,7 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
 
 An item is found in a document when at least ``threshold`` of the item's distinct 5-word
-shingles (lower-cased runs of letters and digits) occur in the document.
+shingles (lower-cased runs of letters and digits) occur in the document.  An item of one to four words
+is one shingle of its own length: it is found where its words follow each other.
 
 1. An item is a distinct normalised text (``item``, its md5): ids only name it in the report.
    Items are partitioned by shingle count (powers of two).  Each item's sketch is its
@@ -14,8 +15,8 @@ shingles (lower-cased runs of letters and digits) occur in the document.
 3. Candidates' documents are shingled again and counted against all shingles of their items:
    the exact containment decides.
 
-Defined results: null or short texts (under five words) contain nothing; null or short items
-are found nowhere; items of equal text are found each; every text of an item_id is found on
+Defined results: a document shorter than an item's shingles can't hold it, a null or empty one holds
+nothing; null items and items without words are found nowhere; items of equal text are found each; every text of an item_id is found on
 its own, and so are texts without an id (reported with a null item_id); repeated document
 rows are reported once per (doc_id, item_id), with the largest containment if texts differ;
 a null doc_id is reported as such.  Extra columns are ignored.
@@ -28,10 +29,9 @@ exploded only into the join; nothing is grouped before the hits are few.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import normal_words, small, stage, window_hashes
+from .common import bound, normal_words, small, stage, window_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -48,35 +48,39 @@ def item_key() -> Column:
 
 
 def item_shingles(items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
-    """item (key of a distinct text), h, n (distinct shingles), need (hits that the threshold takes), in_sketch, sketch_need."""
-    hashed = (items.select(item_key().alias("item"), "text").groupBy("item").agg(F.min("text").alias("text"))
-              .select("item", F.array_distinct(window_hashes(normal_words(F.col("text")), k)).alias("hs"))
-              .withColumn("n", F.size("hs")).filter("n > 0"))
+    """item (key of a distinct text), size (words of its shingles), h, n (distinct shingles), need (hits that the threshold takes), in_sketch, sketch_need."""
+    worded = (items.select(item_key().alias("item"), "text").groupBy("item").agg(F.min("text").alias("text"))
+              .select("item", normal_words(F.col("text")).alias("words")).withColumn("size", F.least(F.size("words"), F.lit(k))).filter("size > 0"))
+    windows = F.coalesce(*[F.when(F.col("size") == size, window_hashes(F.col("words"), size)) for size in range(k, 0, -1)])
+    hashed = worded.select("item", "size", F.array_distinct(windows).alias("hs")).withColumn("n", F.size("hs"))
     upper = F.pow(F.lit(2.0), F.ceil(F.log2("n")))  # largest item of the size partition
     may_miss = F.floor(upper * (1 - threshold) + 1e-9).cast("int")
     ranked = (hashed.withColumn("need", F.ceil(F.col("n") * threshold - 1e-9).cast("int"))
               .withColumn("sketch", F.least(F.col("n"), 2 * may_miss + 2))
               .withColumn("sketch_need", F.greatest(F.lit(1), F.col("sketch") - (F.col("n") - F.col("need"))))
-              .select("item", "n", "need", "sketch", "sketch_need", F.posexplode(F.sort_array("hs")).alias("rank", "h")))
-    return ranked.select("item", "h", "n", "need", (F.col("rank") < F.col("sketch")).alias("in_sketch"), "sketch_need")
+              .select("item", "size", "n", "need", "sketch", "sketch_need", F.posexplode(F.sort_array("hs")).alias("rank", "h")))
+    return ranked.select("item", "size", "h", "n", "need", (F.col("rank") < F.col("sketch")).alias("in_sketch"), "sketch_need")
 
 
-def document_shingles(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    return docs.select("doc_id", "key", F.explode(window_hashes(normal_words(F.col("text")), k)).alias("h"))
+def document_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """(doc_id, key, h) of every window of one of the ``sizes``."""
+    windows = bound(normal_words(F.col("text")), lambda w: F.concat(*[window_hashes(w, size) for size in sizes]))
+    return docs.select("doc_id", "key", F.explode(windows).alias("h"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = SHINGLE) -> DataFrame:
     """doc_id, key (md5 of the text), item, n_shingles, n_shared, containment of every finding."""
     keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
     shingles = stage(item_shingles(items, threshold, k), "benchmark-shingles")
+    sizes = sorted(r[0] for r in shingles.select("size").distinct().collect()) or [k]  # at most k rows
     sketches = shingles.filter("in_sketch").select("item", "h", "sketch_need")
-    hits = document_shingles(keyed, k).join(_maybe_broadcast(sketches), "h")
+    hits = document_shingles(keyed, sizes).join(_maybe_broadcast(sketches), "h")
     candidates = stage(hits.groupBy("doc_id", "key", "item", "sketch_need").agg(F.countDistinct("h").alias("hits"))
                        .filter("hits >= sketch_need").select("doc_id", "key", "item"), "candidates")
     wanted = candidates.select(F.col("key").alias("wanted")).distinct()
     again = keyed.join(_maybe_broadcast(wanted), F.col("key") == F.col("wanted"), "left_semi")
     texts = again.groupBy("key").agg(F.min("text").alias("text")).withColumn("doc_id", F.lit(None))
-    found = (document_shingles(texts, k).select("key", "h").distinct()
+    found = (document_shingles(texts, sizes).select("key", "h").distinct()
              .join(_maybe_broadcast(shingles.select("item", "h", "n", "need")), "h")
              .groupBy("key", "item", "n", "need").agg(F.count(F.lit(1)).alias("n_shared"))
              .filter("n_shared >= need"))

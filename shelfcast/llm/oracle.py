@@ -4,18 +4,18 @@ from __future__ import annotations
 
 OP1 = r"""
 WITH items AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
-  FROM benchmark WHERE text IS NOT NULL),
+  SELECT item_id, w, least(len(w), 5) AS k
+  FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+        FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0),
 wanted AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
-  FROM items WHERE len(w) >= 5),
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s FROM items),
 sizes AS (SELECT item_id, count(*) AS n FROM wanted GROUP BY item_id),
 docs AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM documents WHERE text IS NOT NULL),
-held AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s
-  FROM docs WHERE len(w) >= 5),
+held AS (  -- windows of the items' sizes: five words, or an item's own number
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s
+  FROM docs, (SELECT DISTINCT k FROM items) WHERE len(w) >= k),
 shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM held JOIN wanted USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n AS n_shingles, n_shared, n_shared / n AS containment
 FROM shared JOIN sizes USING (item_id) WHERE n_shared >= ceil(0.8 * n - 1e-9)

@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stage
-from .wordhash import U, mix, span_hashes, text_bytes
+from .wordhash import U, byte_slices, mix, span_hashes, text_bytes
 
 SAMPLE_ROWS = 50_000   # bound of the rows that cues and scorer are fitted on
 BLOCK_HITS = 1 << 20   # feature hits of a gradient's temporary arrays
 CHUNK_BYTES = 1 << 20  # text handled at once
+SLICE_BYTES = 4 << 20  # text copied at once
 HASH_BITS = 30
 STEMS = (4, 5)         # bytes of the word stems
 MIN_DOCS, MIN_Z = 5, 6.0  # when a feature may carry weight
@@ -154,6 +155,10 @@ def _hits(sorted_set: np.ndarray, values: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (part for whole in batches for part in byte_slices(whole, SLICE_BYTES))
+
+
 def _each_chunk(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     raw, rows = text_bytes(texts, lower=False)
     for a, b in _chunk_rows(rows):
@@ -164,7 +169,7 @@ def _each_chunk(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per feature, weighted by the two posteriors: (feature, docs, junk, toxic)."""
-    for batch in batches:
+    for batch in _slices(batches):
         weight = np.stack([batch.column(t).to_numpy(zero_copy_only=False).astype(float) for t in TASKS], axis=1)
         for a, b, features, owner, share in _each_chunk(batch.column("text")):
             codes, who = _style_features(share)
@@ -190,7 +195,7 @@ def _candidates(counts: DataFrame, task: str, total: float, positive: float) ->
 def _hit_batches(known: np.ndarray) -> Callable:
     """Per document: its posteriors and the numbers of the known features that it holds."""
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             for a, b, features, owner, share in _each_chunk(batch.column("text")):
                 row, at = _known(known, features, owner, share)
                 bounds = np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32)
@@ -271,7 +276,7 @@ def _vote_batches(cues: dict) -> Callable:
     points = np.array([STYLE_POINTS[x] for x in STYLE])
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             for a, b, features, owner, share in _each_chunk(batch.column("text")):
                 n = b - a
                 junk = (share < 0).any(axis=1).astype(np.int64) << len(STYLE)
@@ -354,7 +359,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[np.ndarray, np.
 
 def _score_batches(model: dict) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column("text")
             out = np.zeros((len(texts), len(TASKS)))
             for a, b, features, owner, share in _each_chunk(texts):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -10,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from shelfcast.llm import alignment
 
@@ -22,7 +24,14 @@ TRICKY = ["x  y   z", "trailing  ", " lead", "a \n b\n\n  c", "tab\t x", "a\x1c
 
 @pytest.fixture(scope="module")
 def aligner():
-    return alignment.Aligner(*PATHS)
+    return alignment.aligner(*PATHS)
+
+
+@lru_cache
+def _tokenizer():
+    t = Tokenizer.from_file(PATHS[0])
+    t.encode_special_tokens = True
+    return t
 
 
 def _whole(aligner, text):
@@ -30,7 +39,7 @@ def _whole(aligner, text):
     if not text:
         return []
     p = aligner.pair
-    a, b, raw = p.a.encode(" " + text, add_special_tokens=False).ids, p.b.encode(text), (" " + text).encode()
+    a, b, raw = _tokenizer().encode(" " + text, add_special_tokens=False).ids, p.b.encode(text), (" " + text).encode()
     if b"".join(p.bytes_a[i] for i in a) != raw or b"".join(p.bytes_b[i] for i in b) != raw:
         return []
     end_a, end_b = (np.cumsum([len(table[i]) for i in ids]).tolist() for table, ids in ((p.bytes_a, a), (p.bytes_b, b)))
@@ -87,9 +96,9 @@ def test_text_ids_and_empty_table(spark, aligner):
 
 def test_parts_of_long_texts(aligner, monkeypatch):
     text = "\n".join([prose(3, 900), " ".join(TRICKY[:5]), prose(4, 300)])
-    want = aligner.together([alignment.UNIT.findall(" " + text)])[0]
+    (want,) = aligner.together([" " + text])
     monkeypatch.setattr(alignment, "SLICE_BYTES", 500)
-    monkeypatch.setattr(alignment, "MEMO_UNITS", 10)
+    assert "".join(alignment.parts(" " + text)) == " " + text
     (got,) = aligner([text])
     assert (got.n_a, got.n_b, got.n_groups, got.n_links, got.groups) == (want.n_a, want.n_b, want.n_groups, want.n_links, want.groups)
     assert got.pairs.tolist() == want.pairs.tolist() and got.times.tolist() == want.times.tolist()
@@ -104,19 +113,21 @@ def test_large_groups_by_distinct_ids(aligner, monkeypatch):
         assert x.pairs.tolist() == y.pairs.tolist() and x.times.tolist() == y.times.tolist()
 
 
+@pytest.mark.parametrize("slice_bytes", [alignment.SLICE_BYTES, 1])
 @settings(max_examples=50, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t ▁ab'.1́"), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=5))
-def test_units_give_the_groups_of_whole_texts(texts):
-    aligner = _HELD.setdefault("a", alignment.Aligner(*PATHS))
-    for text, got in zip(texts, aligner(texts), strict=True):
+@given(texts=st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t ▁ab'.1́"), st.characters(exclude_categories=["Cs"])), max_size=40), max_size=5))
+def test_parts_give_the_groups_of_whole_texts(slice_bytes, texts):
+    """With a slice of one character every text is cut wherever it may be."""
+    for text in texts:
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(alignment, "SLICE_BYTES", slice_bytes)
+            (got,) = alignment.aligner(*PATHS)([text])
+        aligner = alignment.aligner(*PATHS)
         want = _whole(aligner, text)
         assert (got.n_groups, got.n_links) == (len(want), sum(_links(want).values()))
         assert _digest(want) == (sha256(got.groups[:-1]).hexdigest() if got.groups else "")
 
 
-_HELD: dict = {}
-
-
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.lists(st.integers(1, 5), min_size=1, max_size=12), st.data()), min_size=1, max_size=4))
 def test_overlaps_against_all_pairs(parts):
