@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import work_root
 
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def id_kind(rows: DataFrame, column: str = "doc_id") -> str:
+    """The type that ids travel as: long for whole numbers, else text."""
+    return "long" if isinstance(rows.select(column).schema[0].dataType, T.IntegralType) else "string"
+
+
 def carried(docs: DataFrame, replaced: tuple[str, ...] = ()) -> Column:
     """All input columns as one struct (but those that an operator's output replaces)."""
     lowered = {r.lower() for r in replaced}

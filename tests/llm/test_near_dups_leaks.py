@@ -6,11 +6,28 @@ import numpy as np
 from shelfcast.llm import decontaminate, near_dups
 from shelfcast.llm.wordhash import U, word_hashes
 
-from .helpers import awkward_docs, changed, no_docs, prose, shingles, tokens, words
+from .helpers import awkward_docs, changed, no_docs, prose, tokens, words
+
+
+def _distance(a, b):
+    """Edit distance of word lists, row by row."""
+    codes = {w: i for i, w in enumerate({*a, *b})}
+    x, y = (np.array([codes[w] for w in t], dtype=np.int64) for t in (a, b))
+    row, places = np.arange(len(y) + 1), np.arange(len(y) + 1)
+    for i, c in enumerate(x):
+        step = np.minimum(row[1:] + 1, row[:-1] + (y != c))
+        row = np.minimum.accumulate(np.concatenate([[i + 1], step]) - places) + places  # insertions
+    return int(row[-1])
+
+
+def _similar(a, b):
+    """Word edit similarity of 0.8 or more."""
+    longest = max(len(a), len(b))
+    return longest > 0 and min(len(a), len(b)) >= 0.8 * longest - 1e-9 and _distance(a, b) <= 0.2 * longest + 1e-9
 
 
 def _classes(rows):
-    """Connected components over equal texts and pairs with shingle Jaccard of 0.8 or more."""
+    """Connected components over equal texts and pairs with a word edit similarity of 0.8 or more."""
     parent = list(range(len(rows)))
 
     def root(x):
@@ -18,12 +35,10 @@ def _classes(rows):
             x = parent[x]
         return x
 
-    sets = [shingles(tokens(t)) for _, t in rows]
+    lists = [tokens(t) for _, t in rows]
     for i in range(len(rows)):
         for j in range(i):
-            shared = len(sets[i] & sets[j])
-            union = len(sets[i]) + len(sets[j]) - shared
-            if (rows[i][1] or "") == (rows[j][1] or "") or (union and shared >= 0.8 * union - 1e-9):
+            if (rows[i][1] or "") == (rows[j][1] or "") or (root(i) != root(j) and _similar(lists[i], lists[j])):
                 parent[root(i)] = root(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -33,10 +48,13 @@ def _classes(rows):
 
 
 def _family(seed):
-    """A base text and copies with one to many words changed, and copies of copies."""
+    """A base text and copies with one to many words changed (up to 15 % at random places), longer and shorter ones."""
     base, out = prose(seed, 250), []
     for n, every in enumerate((250, 120, 60, 40, 25, 15)):
         out.append((1000 * seed + n, changed(base, every), "en", "f"))
+    r = random.Random(seed)
+    for n, share in enumerate((0.05, 0.08, 0.1, 0.12, 0.15)):
+        out.append((1000 * seed + 10 + n, " ".join(f"y{n}x{i}" if r.random() < share else w for i, w in enumerate(base.split())), "en", "f"))
     out.append((1000 * seed + 50, base + " " + " ".join(words(seed + 1, 12)), "en", "f"))
     out.append((1000 * seed + 51, " ".join(base.split()[9:]), "en", "f"))
     return out
@@ -50,6 +68,30 @@ def test_classes_equal_brute_force(spark):
     assert sorted(str((r["doc_id"], r["class_id"])) for r in got) == want
 
 
+def test_links_are_decided_by_the_alignment(spark):
+    """Spread edits leave few shingles but a high edit similarity; moved passages the other way round."""
+    w = prose(77, 1000).split()
+    spread = [f"x{i}" if i % 12 == 5 else x for i, x in enumerate(w)]
+    moved = w[400:] + w[:400]
+    half = w[:500] + prose(78, 500).split()
+    rows = [(1, " ".join(w)), (2, " ".join(spread)), (3, " ".join(moved)), (4, " ".join(half))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dups.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_blocks_find_what_the_hubs_miss():
+    """Members of one bucket in two families and alone: the pairs that join them, by shared words, none twice."""
+    texts = [prose(s, 300).split() for s in (1, 2, 3)]
+    lists = [texts[0], [*texts[0][:290], "end"], texts[1], ["start", *texts[1][5:]], texts[2], texts[0][:100]]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(6)]), pa.array([" ".join(x) for x in lists])], names=["key", "text"])
+    (sampled,) = near_dups._sample_batches([batch])
+    rows = [{**r, "comp": r["key"], "asks": None, "rest": True, "refused": None} for r in sampled.to_pylist()]
+    pairs = near_dups._joining_pairs(rows)
+    assert sorted(tuple(sorted(p)) for p in pairs) == [(b"\x00", b"\x01"), (b"\x02", b"\x03")]
+
+
 def test_dedup_keeps_one_row_of_each_class(spark):
     docs = awkward_docs(spark, _family(31))
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
@@ -133,7 +175,7 @@ def _normal(text):
 
 def test_leaks_equal_brute_force(spark):
     items = [(i, " ".join(words(500 + i, n))) for i, n in enumerate((5, 6, 9, 14, 30, 55, 56, 200))]
-    items += [(20, None), (21, ""), (22, "only four words here"), (23, items[3][1])]
+    items += [(20, None), (21, ""), (22, "Only four words, here"), (23, items[3][1]), (24, "two plus two"), (25, "one TWO"), (26, "zyx!"), (27, "not there at all")]
     rng = random.Random(1)
     extra = []
     for k in range(40):
@@ -142,16 +184,18 @@ def test_leaks_equal_brute_force(spark):
         _, text = items[k % 8]
         part = text.split()
         part[rng.randrange(len(part))] = "other" if k % 3 else part[0]
+        if k % 5 == 0:
+            part += [["only", "four", "words", "here"], ["two", "plus", "two", "and"], ["zyx"]][k // 5 % 3]
         extra.append((2000 + k, " ".join([*w[:cut], *(", ".join(part).upper() if k % 2 else " ".join(part)).split(), *w[cut:]]), "en", "x"))
     docs = awkward_docs(spark, extra)
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = set()
     for r in docs.collect():
         w = _normal(r["text"])
-        held = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+        held = {tuple(w[i:i + k]) for k in range(1, 6) for i in range(len(w) - k + 1)}
         for i, t in items:
             v = _normal(t)
-            s = {tuple(v[j:j + 5]) for j in range(len(v) - 4)}
+            s = {tuple(v[j:j + 5]) for j in range(len(v) - 4)} or ({tuple(v)} if v else set())
             if s and len(s & held) >= 0.8 * len(s) - 1e-9:
                 want.add((r["doc_id"], i, len(s), len(s & held)))
     got = {(r["doc_id"], r["item_id"], r["n_shingles"], r["n_shared"]) for r in decontaminate.leaks(docs, bench).collect()}
