@@ -7,16 +7,16 @@ variable fields.  Lines left over are grouped by the token they most share and m
 group's shape, until no group has two documents.  Other lines are templates of their own (masked text).  A template that occurs
 in two documents or more is recurring: its lines stay in the first document that holds it
 (least doc_id) and are dropped from all others.  Lines of under ``MIN_TOKENS`` tokens are
-compared by masked text only and take ``SHORT_DOCS`` documents to recur.
+compared by masked text only.
 
 Defined results: null text stays null with no lines; blank lines are never dropped; repeats of
 a line inside its first document stay; equal rows (doc_id and text) are one document here, so
 each keeps or loses the same lines; null doc_ids rank last; an empty table gives an empty
 result.  Input columns named like the outputs are replaced, other columns are ignored.
 
-Scale: line digests (hashes, no text) move through partial aggregates; only lines of leaves
-that hold different lines of different documents are read again for their tokens; the text
-moves once, to be joined with its dropped positions.  A line that a third of all documents
+Scale: texts are parsed once, to line digests (hashes, no text; 4 bytes a token), which move through partial
+aggregates; only lines of leaves that hold different lines of different documents move with their token
+hashes, one of each; the text moves once, to be joined with its dropped positions.  A line that a third of all documents
 hold is one row after partial aggregation, and its digests meet it in a join that AQE splits.
 """
 
@@ -30,7 +30,6 @@ from .common import WHITE, bound, small, stage
 LEADING = 3
 SIMILARITY = 0.8
 MIN_TOKENS = 5
-SHORT_DOCS = 10
 BROADCAST_ROWS = 500_000  # leaf hashes (8 bytes a row)
 FIELD = "<*>"
 # a token that holds a digit, from its first character on (possessive: linear in the line)
@@ -43,11 +42,12 @@ def masked_tokens(line: Column) -> Column:
 
 
 def _digest(line: Column) -> Column:
-    """Token count, leaf and masked-text hash of a line."""
+    """Token count, leaf, masked-text hash and (from MIN_TOKENS on) token hashes of a line."""
     return bound(masked_tokens(line), lambda t: F.struct(
         F.size(t).alias("n"),
         F.xxhash64(F.size(t), *[F.coalesce(F.get(t, F.lit(i)), F.lit("")) for i in range(LEADING)]).alias("leaf"),
-        F.xxhash64(t).alias("mask")))
+        F.xxhash64(t).alias("mask"),
+        F.when(F.size(t) >= MIN_TOKENS, F.transform(t, lambda x: F.hash(x))).alias("tokens")))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -94,10 +94,8 @@ def templates(docs: DataFrame) -> DataFrame:
     mixed = stage(by_mask.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
                   .filter("m > 1 and lo <> hi").select(F.col("leaf").alias("mixed")), "mixed-leaves")
     mixed = F.broadcast(mixed) if small(mixed, BROADCAST_ROWS) else mixed
-    again = (_lines(docs).select("line", _digest(F.col("line")).alias("d")).select("line", "d.*")
-             .join(mixed, F.col("leaf") == F.col("mixed"), "left_semi")
-             .select("leaf", "mask", "n", F.transform(masked_tokens(F.col("line")), lambda t: F.xxhash64(t)).alias("tokens"))
-             .dropDuplicates(["leaf", "mask"]))
+    again = (digests.filter(F.col("n") >= MIN_TOKENS).join(mixed, F.col("leaf") == F.col("mixed"), "left_semi")
+             .select("leaf", "mask", "n", "tokens").dropDuplicates(["leaf", "mask"]))
     merged = _merged(stage(again.join(by_mask, ["leaf", "mask"]).withColumn("group", F.col("leaf")), "mixed-lines"))
     return digests.join(merged, (F.col("leaf") == F.col("l")) & (F.col("mask") == F.col("m")), "left").select(
         "doc_id", "key", "pos", "n", F.coalesce("shared", F.xxhash64("leaf", "mask")).alias("template"))
@@ -109,7 +107,7 @@ def dropped_positions(docs: DataFrame) -> DataFrame:
     document = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
     per_doc = lines.groupBy("template", "n", "doc_id", "key").agg(F.lit(1).alias("one"))
     recurring = (per_doc.groupBy("template", "n").agg(F.count(F.lit(1)).alias("docs"), F.min(document).alias("first"))
-                 .filter((F.col("docs") >= 2) & ((F.col("n") >= MIN_TOKENS) | (F.col("docs") >= SHORT_DOCS)))
+                 .filter("docs >= 2")
                  .select(F.col("template").alias("t"), "first.id", F.col("first.key").alias("first_key")))
     lost = lines.join(recurring, F.col("template") == F.col("t")).filter(~(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("first_key"))))
     return lost.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("drops"))
