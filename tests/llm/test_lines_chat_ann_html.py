@@ -47,7 +47,7 @@ def _brute_lines(rows):
         for line in (t or "").split("\n"):
             m = _masked(line)
             docs = holders[name[m]] if m else set()
-            if m and len(docs) >= (2 if len(m) >= 5 else 10) and least(docs) != (d, t):
+            if m and len(docs) >= 2 and least(docs) != (d, t):
                 dropped += 1
             else:
                 kept.append(line)
@@ -229,6 +229,57 @@ def test_marked_pages_give_the_article_alone(spark):
     assert _text(spark) == {}
 
 
+def test_names_mark_as_a_whole_and_all_marked_text_stays(spark):
+    got = _text(spark, ("a", "<article><p>one</p><section class='share-price'><p>two</p></section><div class='share-buttons'>s</div><div class='x site-footer'>f</div></article>"),
+                ("b", "<main><p>intro</p><article>teaser</article><p>rest</p><div id='ad-slot-2'>buy</div></main><p>outside</p>"),
+                ("c", "<div class='content'><div class='banner-history'>kept</div><div class=\"cookie-banner\">gone</div></div>"))
+    assert [got[i]["text"] for i in range(3)] == ["one\ntwo", "intro\nteaser\nrest", "kept"]
+
+
+def _covered(streams, depth):
+    """Per stream its tokens inside longest substrings of at least ``depth`` tokens that another page holds too."""
+    out = []
+    for i, s in enumerate(streams):
+        inside = set()
+        for at in range(len(s)):
+            best = 0
+            for j, t in enumerate(streams):
+                for b in range(len(t) if j != i else 0):
+                    n = 0
+                    while at + n < len(s) and b + n < len(t) and s[at + n] == t[b + n]:
+                        n += 1
+                    best = max(best, n)
+            if best >= depth:
+                inside |= set(range(at, at + best))
+        out.append(inside)
+    return out
+
+
+def test_repeats_cover_what_longest_repeats_cover(spark, monkeypatch):
+    r = random.Random(12)
+    runs = [words(600 + i, n) for i, n in enumerate((5, 8, 9, 20, 33))]
+    streams = []
+    for i in range(7):
+        parts = [r.choice(runs)[r.randrange(3):] if r.random() < 0.6 else words(900 + 10 * i + k, r.randrange(1, 9)) for k in range(6)]
+        streams.append([w for part in parts for w in part])
+    streams[6] = streams[5]
+    pages = spark.createDataFrame([(i, f"http://h{i // 7}/", f"<p>{' '.join(s)}</p>", i) for i, s in enumerate([*streams, streams[0]])],
+                                  "page_id long, url string, html string, key long")
+    host = html.F.regexp_extract("url", "//([^/]*)", 1)
+    got = {x["key"]: {p + k for p in x["starts"] for k in range(html.DEPTH)} for x in html.repeats(pages.select("key", host.alias("host"), "html")).collect()}
+    assert [got.get(i, set()) for i in range(7)] == _covered(streams, html.DEPTH) and 7 not in got
+    assert any(got.values())
+
+
+def test_long_equal_and_unnamed_pages(spark):
+    """A very long page, equal rows, null ids and urls, clashing extra columns."""
+    long = " ".join(words(5, 40_000))
+    frame = spark.createDataFrame([(1, "http://h/1", f"<article><p>{long}</p></article>", "x", 1), (2, "http://h/2", "<p>a b</p>", "y", 2), (2, "http://h/2", "<p>a b</p>", "y", 2),
+                                   (None, None, "<p>c</p>", None, None)], "page_id long, url string, html string, host string, n_repeated long")
+    got = sorted((str(r["page_id"]), r["text"]) for r in html.extract(frame).collect())
+    assert got == [("1", long), ("2", "a b"), ("2", "a b"), ("None", "c")]
+
+
 def test_unmarked_pages_lose_what_repeats_on_their_host(spark):
     menu = "".join(f"<div><a href='/{i}'>entry number {i}</a></div>" for i in range(5))
     note = "<div>Everything on this site is provided as it is without any promise of use</div>"
