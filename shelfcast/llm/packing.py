@@ -70,8 +70,8 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         """Puts the words into the memo; past its bound only these stay."""
         if len(self.memo) > MEMO_WORDS:
-            self.memo = {w: self.memo[w] for w in words if w in self.memo}
-        fresh = [w for w in words if w not in self.memo]
+            self.memo = {w: self.memo[w] for w in words.intersection(self.memo)}
+        fresh = list(words.difference(self.memo))
         for a in range(0, len(fresh), ENCODED):
             part = fresh[a:a + ENCODED]
             got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
@@ -80,12 +80,11 @@ class Encoder:
     def together(self, texts: list[str]) -> list[bytes]:
         """Ids of some short texts, whose words are learned at once."""
         words = [WORD.findall(t) for t in texts]
-        known = {w for some in words for w in some}
+        known = set().union(*words)
         self._learn(known)
         out = [b"".join(map(self.memo.__getitem__, some)) for some in words]
-        for w in known:
-            if len(w) > MEMO_CHARS:
-                del self.memo[w]
+        for w in [w for w in known if len(w) > MEMO_CHARS]:
+            del self.memo[w]
         return out
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
