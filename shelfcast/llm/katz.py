@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import work_root
-from .common import stage
+from .common import id_kind, stage
 from .wordhash import U, byte_slices, mix, word_hashes
 
 BLOCK_TOKENS = 400_000
@@ -113,7 +113,7 @@ def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             tokens = np.insert(words[bounds[a]:bounds[b]], bounds[a + 1:b + 1] - bounds[a], END)
             vocabulary, ids = np.unique(tokens, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([serial]), pa.array([batch.column("doc_id").slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                [pa.array([serial]), pa.array([batch.column("doc_id").slice(a, b - a).to_pylist()], pa.list_(batch.schema.field("doc_id").type)),
                  pa.array([batch.column("held").slice(a, b - a).to_pylist()], pa.list_(pa.bool_())),
                  pa.array([sizes.tolist()], pa.list_(pa.int32())),
                  pa.array([pack(vocabulary, np.uint64)], pa.binary()), pa.array([pack(ids, np.uint32)], pa.binary())],
@@ -146,8 +146,8 @@ def block_table(docs: DataFrame) -> tuple[str, int, int]:
     """Name of the bucketed block table, its buckets, and the number of tokens."""
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held")).mapInArrow(
-        _block_batches, "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, ids binary")
+    rows = docs.select(F.col("doc_id").cast(id_kind(docs)).alias("doc_id"), "text", held.alias("held")).mapInArrow(
+        _block_batches, f"block long, doc_ids array<{id_kind(docs)}>, held array<boolean>, sizes array<int>, vocabulary binary, ids binary")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = int(max(1, -(-size // (6 * BLOCK_TOKENS * TABLE_BLOCKS))))
     name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
@@ -331,7 +331,7 @@ ANSWER_SCHEMA = "block long, bucket long, totals binary, masses binary, stats ar
 
 # ------------------------------------------------------------------ scores
 
-def _score(unigrams: Unigrams, d: np.ndarray, names: Types, types: int, starts: int, tokens: int, bits: int, hot_table: dict) -> Callable:
+def _score(unigrams: Unigrams, d: np.ndarray, names: Types, types: int, starts: int, tokens: int, bits: int, hot_table: dict, kind: str) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -365,7 +365,7 @@ def _score(unigrams: Unigrams, d: np.ndarray, names: Types, types: int, starts:
                 ends = np.concatenate([[0], np.cumsum(block.sizes)[:-1]])
                 n = len(block.sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.doc_ids, pa.int64()), pa.array(block.held), pa.array(block.sizes.astype(np.int64)),
+                    [pa.array(block.doc_ids, pa.int64() if kind == "long" else pa.string()), pa.array(block.held), pa.array(block.sizes.astype(np.int64)),
                      pa.array(np.add.reduceat((word_totals > 0)[block.ids].astype(np.int64), ends)), pa.array([tokens] * n, pa.int64()),
                      pa.array(np.add.reduceat(base, ends)), pa.array(np.add.reduceat(each, ends))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -404,7 +404,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
            .groupBy("h").agg(*[F.sum(F.get("hot_masses", F.col("i") * MASS + j)).alias(f"m{j}") for j in range(MASS)]).collect())
     hot_table = {int(r[0]) & 0xFFFFFFFFFFFFFFFF: np.array(r[1:], dtype=float) for r in hot}
     both = _with_answers(blocks, width, word_answers, bigrams.filter("block >= 0").select("block", "bucket", "totals", "masses"))
-    out = stage(both.mapInArrow(_score(unigrams, d, names, types, starts, tokens, bits, hot_table),
-                                "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
+    out = stage(both.mapInArrow(_score(unigrams, d, names, types, starts, tokens, bits, hot_table, id_kind(docs)),
+                                f"doc_id {id_kind(docs)}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
     spark.sql(f"DROP TABLE IF EXISTS {blocks}")
     return out

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage
+from .common import id_kind, stage
 from .wordhash import U, byte_slices, mix, span_hashes, text_bytes
 
 SAMPLE_ROWS = 50_000   # bound of the rows that cues and scorer are fitted on
@@ -245,7 +245,7 @@ def _fit(docs: DataFrame, rows: DataFrame, name: str) -> dict[str, tuple[np.ndar
 
     The sample holds one text of each doc_id: that of hash ``key``, any (the least) if it is null.
     """
-    met = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("own"), "text").join(F.broadcast(rows), "doc_id")
+    met = (docs.select(F.col("doc_id").cast(id_kind(docs)).alias("doc_id"), _key().alias("own"), "text").join(F.broadcast(rows), "doc_id")
            .filter("key is null or key = own"))
     sample = stage(met.groupBy("doc_id").agg(F.min("text").alias("text"), *[F.max(t).alias(t) for t in TASKS]).select("text", *TASKS), f"{name}-sample")
     counts = stage(sample.mapInArrow(_count_batches, "feature long, docs double, junk double, toxic double")
@@ -340,12 +340,12 @@ def _bounded(rows: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
     """The scorer: per task sorted feature hashes, weights, bias."""
-    gold = stage(labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+    gold = stage(labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast(id_kind(docs)).alias("doc_id")).agg(
         (1 - F.min("quality")).cast("int").alias("junk_label"), F.max("toxic").cast("int").alias("toxic_label")), "gold")
     both = gold.filter("junk_label in (0, 1) and toxic_label in (0, 1)")
     cues = _fit(docs, _bounded(both.select("doc_id", F.lit(None).cast("long").alias("key"), F.col("junk_label").cast("double").alias("junk"), F.col("toxic_label").cast("double").alias("toxic"))), "cues")
-    votes = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), "text")
-                  .mapInArrow(_vote_batches(cues), "doc_id long, key long, junk_votes int, toxic_votes int"), "votes")
+    votes = stage(docs.select(F.col("doc_id").cast(id_kind(docs)).alias("doc_id"), _key().alias("key"), "text")
+                  .mapInArrow(_vote_batches(cues), f"doc_id {id_kind(docs)}, key long, junk_votes int, toxic_votes int"), "votes")
     known = votes.join(both, "doc_id", "left")
     weak = known
     for task, heuristics in (("junk", len(STYLE) + 1), ("toxic", 3)):

@@ -182,3 +182,19 @@ def test_gradients_in_blocks_give_the_same_weights(monkeypatch):
     monkeypatch.setattr(quality, "BLOCK_HITS", 64)
     parts = quality.logistic(starts, col, target, 60)
     assert np.allclose(whole[0], parts[0], atol=1e-6) and abs(whole[1] - parts[1]) < 1e-6
+
+
+def test_text_ids(spark):
+    """Ids that are no numbers: the same scores, classes and decisions as with numbers."""
+    from shelfcast.llm import near_dups
+
+    from .helpers import changed, prose
+
+    texts = [prose(i, 60) for i in range(5)] + [changed(prose(0, 60), 30)]
+    named = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)] + [(None, "x y")], "doc_id string, text string")
+    got = {r["doc_id"]: r for r in katz.score_documents(named).collect()}
+    assert set(got) == {*(f"d{i}" for i in range(6)), None} and all(r["score"] < 0 for r in got.values())
+    classes = {r["doc_id"]: r["class_id"] for r in near_dups.classes(named).collect()}
+    assert classes == {**{f"d{i}": f"d{i}" for i in range(5)}, "d5": "d0", None: None}
+    labels = spark.createDataFrame([("d0", 1, 0), ("d1", 0, 1)], "doc_id string, quality int, toxic int")
+    assert {r["doc_id"] for r in quality.scores(named, labels).collect()} == set(got)
