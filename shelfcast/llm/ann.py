@@ -10,7 +10,8 @@
    centroid is nearer to the new one than the node is).
 4. A query reads its nearest lists until they hold k + 1 nodes for sure (a node is in
    ``REPLICAS`` lists at most), and on to ``PROBE_RATIO`` times the distance of the last of
-   those, to ``PROBES`` lists.  Queries that still find fewer than k rows read all lists.
+   those, to ``probes`` lists: their number grows with the square root of the lists, so the share
+   of the table that a query reads falls as it grows.  Queries that still find fewer than k rows read all lists.
    Lists over ``LIST_MAX`` nodes are split by hash, and each part meets the queries on its own.
 5. Scores are cosines in double precision on the original vectors; ties go to the least id.
 
@@ -40,7 +41,7 @@ LIST_MAX = 4096            # nodes of a list that one task holds
 MAX_CENTROIDS = 8192
 REPLICAS = 4
 BOUNDARY = 1.10            # distance ratio within which a node is replicated
-PROBES = 48
+PROBES, PROBE_ROOT = 48, 3.2  # lists that a query reads: at least, and for each root of the number of lists
 PROBE_RATIO = 1.5          # distance ratio within which a query reads a list
 DEGREE = 16
 BEAM = 64
@@ -49,7 +50,18 @@ SEED = 41
 
 # ------------------------------------------------------------------ index (driver, bounded sample)
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that the largest component is near one: squares neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))
+    return np.ldexp(x, -exponent)
+
+
+def probes(lists: int) -> int:
+    return max(PROBES, int(np.ceil(PROBE_ROOT * np.sqrt(lists))))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
@@ -138,14 +150,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _assign(centroids: np.ndarray, graph: np.ndarray, most: int, ratio: float, spread: bool,
-            sizes: np.ndarray | None = None, least_nodes: int = 0) -> Callable:
+            sizes: np.ndarray | None = None, least_nodes: int = 0, beam: int = BEAM) -> Callable:
     """Batches (key, vec, ...) to one row per chosen list; the ratio counts from the list with which ``least_nodes`` (by ``sizes``) are met."""
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
                 x = _unit(_matrix(part.column("vec"))).astype(np.float32)
-                ids, sims = graph_search(x, centroids, graph)
+                ids, sims = graph_search(x, centroids, graph, beam)
                 distance = np.sqrt(np.maximum(2 - 2 * sims, 0))
                 needed = np.zeros(ids.shape, dtype=bool)
                 needed[:, 0] = True
@@ -193,7 +205,7 @@ def _lists(k: int) -> Callable:
                     continue
                 if block is None:
                     keys = pa.concat_arrays([r.column("key") for r in held])
-                    vectors = np.concatenate([_matrix(r.column("vec")) for r in held])
+                    vectors = _scaled(np.concatenate([_matrix(r.column("vec")) for r in held]))
                     block = keys, np.concatenate([r.column("least").to_numpy() for r in held]), vectors, np.linalg.norm(vectors, axis=1)
                 yield from _best(rows, *block, k + 1)
 
@@ -203,7 +215,7 @@ def _lists(k: int) -> Callable:
 def _best(rows: pa.RecordBatch, keys: pa.Array, least: np.ndarray, vectors: np.ndarray, norms: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
     for a in range(0, rows.num_rows, 256):
         part = rows.slice(a, 256)
-        q = _matrix(part.column("vec"))
+        q = _scaled(_matrix(part.column("vec")))
         own = np.linalg.norm(q, axis=1)
         rough = (q @ vectors.T) / own[:, None] / norms[None, :]
         kth = np.partition(rough, -min(most, rough.shape[1]), axis=1)[:, -min(most, rough.shape[1])]
@@ -221,9 +233,8 @@ def _best(rows: pa.RecordBatch, keys: pa.Array, least: np.ndarray, vectors: np.n
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, vec (array<double>), key of the rows that take part."""
     bad = F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-    norm = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v)
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
-            .filter("vec_id is not null and vec is not null").filter(~bad).filter(norm > 0).withColumn("dim", F.size("vec")))
+            .filter("vec_id is not null and vec is not null").filter(~bad).filter(F.exists("vec", lambda v: v != 0)).withColumn("dim", F.size("vec")))
     dims = rows.groupBy("dim").count().orderBy(F.col("count").desc(), "dim").limit(1).select("dim")
     key = F.concat(F.hex(F.xxhash64("vec")), F.lit("-"), F.hex(F.xxhash64("vec", F.lit(SEED))))
     return rows.join(F.broadcast(dims), "dim").select("vec_id", "vec", key.alias("key"), "dim")
@@ -279,7 +290,7 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
                 .select("query_id", "rank", "vec_id", "score"))
 
     queries = nodes.join(wanted.select("key").distinct(), "key", "left_semi").select("key", "vec", "least")
-    asked = queries.mapInArrow(_assign(centroids, graph, PROBES, PROBE_RATIO, False, sizes, REPLICAS * (k + 1)),
+    asked = queries.mapInArrow(_assign(centroids, graph, probes(len(centroids)), PROBE_RATIO, False, sizes, REPLICAS * (k + 1), max(BEAM, probes(len(centroids)) * 3 // 2)),
                                "key string, vec array<double>, least long, list int").join(parts, "list")
     found = stage(search(asked), "found")
     first = stage(answers(found), "answers")

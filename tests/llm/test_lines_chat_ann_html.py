@@ -198,6 +198,23 @@ def test_outliers_and_tiny_clusters_get_all_neighbours(spark, monkeypatch):
     assert len(again) == 40 and {r["count"] for r in again} == {5}
 
 
+def test_huge_and_tiny_components(spark):
+    """Norms neither overflow nor vanish: parallel vectors have cosine one at any length."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(6, 8))
+    rows = [(i, (base[i % 6] * scale).tolist()) for i, scale in enumerate([1.0] * 6 + [1e200] * 6 + [1e-200] * 6)]
+    frame = spark.createDataFrame([(*r, None, "k", 1) for r in rows], VECTORS.replace("array<float>", "array<double>"))
+    got = defaultdict(list)
+    for r in ann.nearest(frame, F.col("vec_id") < 18, 2).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], round(r["score"], 12)))
+    assert all({v for v, _ in got[i]} == {(i + 6) % 18, (i + 12) % 18} and [s for _, s in got[i]] == [1.0, 1.0] for i in range(18))
+
+
+def test_queries_read_a_falling_share_of_the_lists():
+    shares = [ann.probes(n) / n for n in (240, 1000, 4000)]
+    assert ann.probes(10) == ann.PROBES and shares == sorted(shares, reverse=True)
+
+
 def test_graph_search_finds_the_nearest_centroids():
     rng = np.random.default_rng(5)
     c = ann._unit(rng.normal(size=(700, 24))).astype(np.float32)
