@@ -5,9 +5,9 @@ cut (``CUTS``).
 
 1. Heuristic labellers vote on every document (fire / don't fire): letter case, symbol tails,
    repeated words, separator tokens; an insult list, a linear cue model learned from a
-   bounded sample of ``labels`` (``SAMPLE_ROWS``); and the label itself where there is one.
+   bounded sample of ``labels`` (``SAMPLE_ROWS``; one vote of three levels); and the label itself where there is one.
 2. Expectation-maximisation (Dawid and Skene) over the counts of vote patterns of all
-   documents estimates each labeller's firing rate per class and each pattern's posterior.
+   documents estimates the rates of each labeller's votes per class and each pattern's posterior.
    Patterns are few (at most 3 to the number of labellers), whatever the number of documents.
 3. Posterior labels of a bounded seeded sample (``SAMPLE_ROWS``) train the scorer: a logistic
    regression over hashed features (words, word stems, style bins) that are significant.
@@ -47,6 +47,7 @@ STEMS = (4, 5)         # bytes of the word stems
 MIN_DOCS, MIN_Z = 5, 6.0  # when a feature may carry weight
 L2, TRAIN_STEPS = 0.1, 400
 EM_STEPS = 50
+CUE_LEVELS = (0.0, 2.0)  # log odds from which the cue model votes 1, and 2
 SEED = 31
 TASKS = ("junk", "toxic")
 CUTS = {"junk": -1.0, "toxic": -2.0}  # log odds from which a document is rejected: a miss costs more than a false alarm
@@ -284,7 +285,7 @@ def _vote_batches(cues: dict) -> Callable:
                     junk |= (share[:, i] >= points[i]).astype(np.int64) << i
                 listed = np.bincount(owner[_hits(insults, features)], minlength=n)
                 cued = _margins(cues["toxic"], features, owner, share)
-                toxic = (listed > 0).astype(np.int64) | (cued >= 0).astype(np.int64) << 1 | (cued >= 2).astype(np.int64) << 2
+                toxic = (listed > 0).astype(np.int64) | np.searchsorted(CUE_LEVELS, cued, side="right") << 1
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, n), batch.column("key").slice(a, n), pa.array(junk.astype(np.int32)), pa.array(toxic.astype(np.int32))],
                                                  names=["doc_id", "key", "junk_votes", "toxic_votes"])
 
@@ -298,32 +299,35 @@ def _margins(model: tuple, features: np.ndarray, owner: np.ndarray, share: np.nd
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, steps: int = EM_STEPS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Posterior of class 1 per pattern, firing rates (2 x labellers) and the class share.
+    """Posterior of class 1 per pattern, rates of each labeller's votes (2 x all their levels) and the class share.
 
-    ``patterns``: rows of votes, 1 fires, 0 doesn't, -1 abstains; ``counts``: documents per pattern.
-    Starts from "any labeller fires"; rates are smoothed by one document per outcome.
+    ``patterns``: a column per labeller, its vote 0, 1, ... or -1 for none; ``counts``: documents per pattern.
+    Starts from "any labeller votes over 0"; rates are smoothed by half a document per vote.
     """
-    fires, voted = (patterns == 1).astype(float), (patterns >= 0).astype(float)
-    posterior = np.where(fires.any(axis=1), 0.9, 0.05)
+    levels = [max(2, int(patterns[:, j].max(initial=0)) + 1) for j in range(patterns.shape[1])]
+    cast = np.concatenate([patterns[:, j:j + 1] == np.arange(n) for j, n in enumerate(levels)], axis=1).astype(float)
+    voted = np.repeat(patterns >= 0, levels, axis=1).astype(float)
+    room = 0.5 * np.repeat(levels, levels)
+    posterior = np.where((patterns >= 1).any(axis=1), 0.9, 0.05)
     last = patterns[:, -1]  # the label, where there is one
     posterior = np.where(last == 1, 0.99, np.where(last == 0, 0.01, posterior))
-    rates, share = np.full((2, patterns.shape[1]), 0.5), 0.5
+    rates, share = np.full((2, cast.shape[1]), 0.5), 0.5
     for _ in range(steps):
         for c, mass in enumerate((counts * (1 - posterior), counts * posterior)):
-            rates[c] = (mass @ fires + 0.5) / (mass @ voted + 1.0)
+            rates[c] = (mass @ cast + 0.5) / (mass @ voted + room)
         share = (counts @ posterior + 1.0) / (counts.sum() + 2.0)
-        logs = [np.log(p) + fires @ np.log(rates[c]) + (voted - fires) @ np.log1p(-rates[c]) for c, p in ((0, 1 - share), (1, share))]
+        logs = [np.log(p) + cast @ np.log(rates[c]) for c, p in ((0, 1 - share), (1, share))]
         posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
     return posterior, rates, share
 
 
-def _posteriors(votes: DataFrame, task: str, heuristics: int) -> DataFrame:
-    """(votes, label, posterior) of every pattern that occurs."""
+def _posteriors(votes: DataFrame, task: str, places: tuple[tuple[int, int], ...]) -> DataFrame:
+    """(votes, label, posterior) of every pattern that occurs; ``places``: each labeller's first bit and largest vote."""
     column = f"{task}_votes"
     found = votes.groupBy(column, f"{task}_label").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pattern
     if not found:
         return votes.sparkSession.createDataFrame([], f"{column} int, {task}_label int, {task} double")
-    patterns = np.array([[r[0] >> i & 1 for i in range(heuristics)] + [-1 if r[1] is None else r[1]] for r in found])
+    patterns = np.array([[r[0] >> first & most for first, most in places] + [-1 if r[1] is None else r[1]] for r in found])
     posterior, _, _ = expectation_maximisation(patterns, np.array([float(r[2]) for r in found]))
     return votes.sparkSession.createDataFrame([(r[0], r[1], float(p)) for r, p in zip(found, posterior, strict=True)],
                                               f"{column} int, {task}_label int, {task} double")
@@ -348,8 +352,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[np.ndarray, np.
                   .mapInArrow(_vote_batches(cues), f"doc_id {id_kind(docs)}, key long, junk_votes int, toxic_votes int"), "votes")
     known = votes.join(both, "doc_id", "left")
     weak = known
-    for task, heuristics in (("junk", len(STYLE) + 1), ("toxic", 3)):
-        p = _posteriors(known, task, heuristics)
+    for task, places in (("junk", tuple((i, 1) for i in range(len(STYLE) + 1))), ("toxic", ((0, 1), (1, 3)))):
+        p = _posteriors(known, task, places)
         weak = weak.join(F.broadcast(p.withColumnsRenamed({f"{task}_votes": f"{task}_v", f"{task}_label": f"{task}_l"})),
                          (F.col(f"{task}_votes") == F.col(f"{task}_v")) & F.col(f"{task}_label").eqNullSafe(F.col(f"{task}_l"))).drop(f"{task}_v", f"{task}_l")
     worst = F.max(F.struct(F.greatest(*TASKS).alias("most"), *TASKS, "key"))  # of the texts of a doc_id: the worst, with its own posteriors

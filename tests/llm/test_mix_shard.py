@@ -103,3 +103,32 @@ def test_shards_repeat_and_spread(spark):
 def test_empty_tables(spark):
     assert mixing.mix(no_docs(spark)).count() == 0
     assert sharding.digest(sharding.external_shuffle(no_docs(spark))).count() == 0
+
+
+def _xx(*values):
+    """Spark's xxhash64 of longs and ints, each hash the seed of the next."""
+    import struct
+
+    import xxhash
+
+    h = 42
+    for v, form in values:
+        if v is not None:  # null leaves the hash as it is
+            h = xxhash.xxh64_intdigest(struct.pack(form, v), seed=h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_placement_equals_a_sequential_rendezvous(spark):
+    """Shards with and without one more by a plain rendezvous walk; slots gapless; null ids, ties and repeated rows."""
+    docs = awkward_docs(spark, [(500 + i, f"text {i % 7}", "en", "s") for i in range(150)])
+    rows = sharding.external_shuffle(docs, shards=7, bucket_bytes=500).collect()
+    assert len(rows) == docs.count()
+    slots = {}
+    for r in rows:
+        hashes = [_xx((r["doc_id"], "<q"), (s, "<i"), (sharding.SEED, "<i")) for s in range(8)]
+        shard = max(range(7), key=lambda s: hashes[s])
+        assert r["shard"] == shard and r["grown_shard"] == (7 if hashes[7] > hashes[shard] else shard)
+        slots.setdefault(shard, []).append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    order = {s: [r["doc_id"] for r in sorted((r for r in rows if r["shard"] == s), key=lambda r: r["slot"])] for s in slots}
+    assert any(ids != sorted(ids, key=lambda x: (x is None, x or 0)) for ids in order.values())  # shuffled
