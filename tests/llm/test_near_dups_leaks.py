@@ -82,12 +82,12 @@ def test_links_are_decided_by_the_alignment(spark):
 def test_blocks_find_what_the_hubs_miss():
     """Members of one bucket in two families and alone: the pairs that join them, by shared words, none twice."""
     texts = [prose(s, 300).split() for s in (1, 2, 3)]
-    lists = [texts[0], [*texts[0][:290], "end"], texts[1], ["start", *texts[1][5:]], texts[2], texts[0][:100]]
+    lists = [texts[0], [*texts[0][:290], "end"], texts[1], ["start", *texts[1][5:]], texts[2], texts[2][150:] + texts[2][:150]]
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(6)]), pa.array([" ".join(x) for x in lists])], names=["key", "text"])
     (sampled,) = near_dups._sample_batches([batch])
-    rows = [{**r, "comp": r["key"], "asks": None, "rest": True, "refused": None} for r in sampled.to_pylist()]
+    rows = [{**r, "sample": np.array(r["sample"], np.int32), "comp": r["key"], "asks": None, "rest": True, "refused": None} for r in sampled.to_pylist()]
     pairs = near_dups._joining_pairs(rows)
     assert sorted(tuple(sorted(p)) for p in pairs) == [(b"\x00", b"\x01"), (b"\x02", b"\x03")]
 
