@@ -80,7 +80,7 @@ def test_links_are_decided_by_the_alignment(spark):
 
 
 def test_blocks_find_what_the_hubs_miss():
-    """Members of one bucket in two families and alone: the pairs that join them, by shared words, none twice."""
+    """Members of one bucket in two families and alone: the pairs that join them, by shared shingles and alignment, none twice."""
     texts = [prose(s, 300).split() for s in (1, 2, 3)]
     lists = [texts[0], [*texts[0][:290], "end"], texts[1], ["start", *texts[1][5:]], texts[2], texts[2][150:] + texts[2][:150]]
     import pyarrow as pa
