@@ -11,16 +11,18 @@ or more; classes are the connected components, and equal texts are always of one
 2. Every bucket is a star: its hub (the member with most bucket mates) is paired with the other
    members, so a bucket of n texts gives n - 1 pairs.  Verified links give components.
 3. What the hubs missed: buckets that still hold several components are compared in blocks of
-   ``BLOCK`` members, those outside the bucket's main component against all; pairs whose 5-word shingles
-   have a Jaccard similarity of ``BLOCK_JACCARD`` or more are found, by counting shared shingles in a
-   task (exact up to ``SAMPLE`` words a text, else bottom-k samples with a four-sigma margin), and
-   aligned there if both have up to ``SAMPLE`` words.  A task only returns pairs that join components,
-   so a family of n copies gives in the order of n pairs; buckets of refused pairs are compared again.
+   ``BLOCK`` members, those outside the bucket's main component against all, by counting shared
+   occurrence-labelled runs of ``RUN`` words in a task: an edit takes at most ``RUN`` of them, so every
+   link has at least n - RUN + 1 - RUN * edits (exact up to ``SAMPLE`` words a text, else bottom-k
+   samples with a six-sigma margin).  Texts of up to ``SAMPLE`` words are aligned there too.  A task only
+   returns pairs that join components, so a family of n copies gives in the order of n pairs; buckets of
+   refused pairs are compared again.
 
 Verification: texts of candidate nodes only; members meet their hub in groups of about
 ``GROUP_WORDS`` words (a hot hub is many groups), words are hashed per Arrow batch, pairs below the
 shared-word bound go, and the alignment is a furthest-reaching search over a band of diagonals that
-grows with the edits; its memory is linear in the texts.
+grows with the edits; its memory is linear in the texts.  Blocks align texts of up to ``SAMPLE`` words
+bit-parallel, with a text's bit masks made once for all its candidates.
 
 Defined results: null text counts as empty; texts without words equal only their like; texts
 under five words are one shingle; null doc_ids are classed by text, with the least doc_id of
@@ -44,8 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8       # edit similarity
 SKETCHES = 32
 PICKS = 2
-SAMPLE = 4096         # words, or shingles of a longer text, that represent it in block comparisons
-BLOCK_JACCARD = 0.8   # of shingles, from which block comparisons find a pair that no hub did
+RUN = 3               # words of a run that block comparisons count
+SAMPLE = 4096         # words, or runs of a longer text, that represent it in block comparisons
 BLOCK = 1024          # members compared with as many others in one task
 GROUP_WORDS = 200_000
 SLICE_BYTES = 4 << 20   # text hashed at once (bounds the temporary arrays)
@@ -193,6 +195,37 @@ def _banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return limit + 1
 
 
+def _bit_masks(a: np.ndarray) -> dict[int, int]:
+    """For each word of ``a`` the places where it stands, as the bits of a number."""
+    masks: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        masks[w] = masks.get(w, 0) | 1 << i
+    return masks
+
+
+def _bit_distance(masks: dict[int, int], n: int, b: list[int], limit: int) -> int:
+    """Edit distance of the ``n`` words of ``masks`` and ``b`` (Myers' bit vectors), or limit + 1."""
+    if not n or not b:
+        return min(max(n, len(b)), limit + 1)
+    every, last, d, left = (1 << n) - 1, 1 << (n - 1), n, len(b)
+    up, down, none = every, 0, masks.get
+    for w in b:
+        eq = none(w, 0)
+        x = eq | down
+        eq |= ((eq & up) + up) ^ up
+        more, less = down | (every & ~(eq | up)), up & eq
+        if more & last:
+            d += 1
+        elif less & last:
+            d -= 1
+        left -= 1
+        if d - left > limit:  # no later word can bring it down enough
+            return limit + 1
+        more = more << 1 | 1
+        up, down = (less << 1 | ~(x | more)) & every, more & x & every
+    return d
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (centre, part, member first null): the centre's text, then its members'."""
     centre = None
@@ -251,6 +284,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` after further links: steps are made over the components that these join, not over all links."""
+    ends = found.select("a", "b")
+    for c in ("a", "b"):
+        ends = ends.join(labels.select(F.col("node").alias(c), "label"), c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
+    moved = components(stage(ends.filter("a <> b").distinct(), "joined")).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    fresh = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    known = labels.unionByName(fresh.withColumn("label", F.col("node")))
+    return stage(known.join(moved, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels")
+
+
 def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """nodes plus ``comp``: their component, themselves when unlinked."""
     return nodes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("label", "key")).drop("label")
@@ -265,33 +309,29 @@ def _star_pairs(members: DataFrame) -> DataFrame:
 
 
 def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of words of each text, and its words in order (31 bits each), or its least ``SAMPLE`` shingles if there are more."""
+    """Number of words of each text, and its words in order (31 bits each), or its least ``SAMPLE`` runs (two halves each) if there are more."""
     for batch in (part for whole in batches for part in byte_slices(whole, SLICE_BYTES)):
         words, bounds = word_hashes(batch.column("text"))
         codes = (words >> U(33)).astype(np.int32)
-        sent = [codes[a:b] if b - a <= SAMPLE else _shingle_set(codes[a:b])[:SAMPLE] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        sent = [codes[a:b] if b - a <= SAMPLE else _run_sets([codes[a:b]])[0][:SAMPLE].view(np.int32) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(sent, pa.list_(pa.int32()))],
                                          names=["key", "n", "sample"])
 
 
-def _shingle_set(codes: np.ndarray) -> np.ndarray:
-    """Sorted hashes (31 bits) of a text's distinct shingles."""
-    return np.unique((shingle_hashes(codes.astype(U), np.array([0, len(codes)]), SHINGLE)[0] >> U(33)).astype(np.int32))
+def _run_sets(lists: list[np.ndarray], run: int = RUN) -> list[np.ndarray]:
+    """Sorted hashes (63 bits) of each text's occurrence-labelled runs of ``run`` words."""
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    runs, at = shingle_hashes(np.concatenate(lists).astype(U), bounds, run)
+    labelled = (_labelled_hashes(runs, np.repeat(np.arange(len(lists)), np.diff(at))) >> U(1)).astype(np.int64)
+    return [np.sort(labelled[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def _joining_pairs(rows: list[dict]) -> list[tuple[bytes, bytes]]:
-    """Pairs (u, v) of a block that share enough shingles, and that join components."""
-    u = [r for r in rows if r["asks"] or (r["asks"] is None and r["rest"])]
-    v = [r for r in rows if not r["asks"]]
-    if not u or not v:
-        return []
-    # a row stands on one side, or on both
-    sets = {id(r): _shingle_set(r["sample"]) if r["n"] <= SAMPLE else r["sample"] for r in rows}
-    samples = [sets[id(r)] for r in (*u, *v)]
-    ids, at = np.unique(np.concatenate(samples), return_inverse=True)
+def _shared(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """How many members each set of ``u`` shares with each of ``v`` (places in ``sets``)."""
+    ids, at = np.unique(np.concatenate(sets), return_inverse=True)
     shared_ids = np.bincount(at, minlength=len(ids)) > 1
     column = np.where(shared_ids, np.cumsum(shared_ids) - 1, -1)[at]
-    owner = np.repeat(np.arange(len(samples)), [len(x) for x in samples])
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     keep = column >= 0
     column, owner = column[keep], owner[keep]
     order = np.argsort(column, kind="stable")
@@ -299,15 +339,53 @@ def _joining_pairs(rows: list[dict]) -> list[tuple[bytes, bytes]]:
     common, width = np.zeros((len(u), len(v)), dtype=np.float32), 4096
     for c in range(0, int(shared_ids.sum()), width):
         a, b = np.searchsorted(column, [c, c + width])
-        dense = np.zeros((len(samples), width), dtype=np.float32)
+        dense = np.zeros((len(sets), width), dtype=np.float32)
         dense[owner[a:b], column[a:b] - c] = 1
-        common += dense[:len(u)] @ dense[len(u):].T
-    sizes = np.array([r["n"] for r in (*u, *v)])
-    whole = sizes <= SAMPLE
-    tops = np.array([x[-1] if len(x) and not w else np.iinfo(np.int64).max for x, w in zip(samples, whole, strict=True)])
-    comps = [r["comp"] for r in (*u, *v)]
-    keys = [r["key"] for r in v]
-    parent = {c: c for c in comps}
+        common += dense[u] @ dense[v].T
+    return common
+
+
+def _likely(rows: list[dict], u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shared runs of each pair, and whether they (and the shared words) are as many as a link has."""
+    short = [r["n"] <= SAMPLE for r in rows]
+    made = iter(_run_sets([np.zeros(0, np.int32), *(r["sample"] for r, s in zip(rows, short, strict=True) if s)])[1:])
+    sets = [next(made) if s else r["sample"].view(np.int64) for r, s in zip(rows, short, strict=True)]
+    common, near = _shared(sets, u, v), np.zeros((len(u), len(v)), dtype=bool)
+    whole, sizes = np.array(short), np.array([r["n"] for r in rows])
+
+    def bounds(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        longest = np.maximum(sizes[i], sizes[v])
+        return longest, np.minimum(sizes[i], sizes[v]), np.floor(longest * (1 - THRESHOLD) + 1e-9)
+
+    for x, i in enumerate(u):
+        longest, shortest, edits = bounds(i)
+        needed, exact = longest - RUN + 1 - RUN * edits, whole[v] & whole[i]
+        near[x] = (shortest >= THRESHOLD * longest - 1e-9) & (~exact | (common[x] >= needed))
+        for y in np.flatnonzero(near[x] & ~exact):  # only up to the smaller of the two largest sampled hashes
+            pair = sets[i], sets[v[y]]
+            top = min(p[-1] for p, k in zip(pair, (i, v[y]), strict=True) if not whole[k])
+            union = max(sum(int(np.searchsorted(p, top, "right")) for p in pair) - common[x, y], 1)
+            least = needed[y] / (longest[y] + shortest[y] - 2 * (RUN - 1) - needed[y])
+            near[x, y] = common[x, y] / union >= least - 6 * np.sqrt(least * (1 - least) / union)
+    # what is left, by single words: an edit takes one
+    us, vs = np.flatnonzero((near & whole[v]).any(axis=1) & whole[u]), np.flatnonzero((near & whole[u][:, None]).any(axis=0) & whole[v])
+    if len(us) and len(vs):
+        some = np.unique(np.concatenate([u[us], v[vs]]))
+        words = _shared(_run_sets([rows[k]["sample"] for k in some], 1), np.searchsorted(some, u[us]), np.searchsorted(some, v[vs]))
+        for x, got in zip(us, words, strict=True):
+            longest, _, edits = bounds(u[x])
+            near[x, vs] &= got >= (longest - edits)[vs]
+    return common, near
+
+
+def _joining_pairs(rows: list[dict]) -> list[tuple[bytes, bytes]]:
+    """Pairs (u, v) of a block that share the runs that a link needs, and that join components."""
+    u = np.array([i for i, r in enumerate(rows) if r["asks"] or (r["asks"] is None and r["rest"])], dtype=np.int64)
+    v = np.array([i for i, r in enumerate(rows) if not r["asks"]], dtype=np.int64)  # a row stands on one side, or on both
+    if not len(u) or not len(v):
+        return []
+    common, near = _likely(rows, u, v)
+    parent = {r["comp"]: r["comp"] for r in rows}
 
     def root(c: bytes) -> bytes:
         while parent[c] != c:
@@ -316,27 +394,22 @@ def _joining_pairs(rows: list[dict]) -> list[tuple[bytes, bytes]]:
         return c
 
     out = []
-    nv = np.array([len(x) for x in samples[len(u):]])
-    for i, a in enumerate(u):  # row by row: what is held at once is linear in the block
-        nu, of_v, same = np.full(len(v), len(samples[i])), nv.copy(), common[i]
-        exact = whole[i] & whole[len(u):]
-        for j in np.flatnonzero(~exact & (same > 0)):  # only up to the smaller of the two largest sampled hashes
-            top = min(tops[i], tops[len(u) + j])
-            nu[j], of_v[j] = np.searchsorted(samples[i], top, "right"), np.searchsorted(samples[len(u) + j], top, "right")
-        union = np.maximum(nu + of_v - same, 1)
-        estimate = same / union
-        margin = np.where(exact, 1e-9, 4 * np.sqrt(BLOCK_JACCARD * (1 - BLOCK_JACCARD) / union))
-        near = np.flatnonzero((same > 0) & (estimate >= BLOCK_JACCARD - margin))
-        refused = a["refused"] or ()
-        for j in near[np.argsort(-estimate[near], kind="stable")].tolist():
-            ra, rb = root(a["comp"]), root(comps[len(u) + j])
-            if ra == rb or keys[j] in refused or (v[j]["rest"] and a["key"] > keys[j]):
-                continue
-            if exact[j] and edit_similarity(a["sample"], v[j]["sample"], THRESHOLD) < THRESHOLD - 1e-9:
+    for x, i in enumerate(u):
+        a, masks = rows[i], None
+        refused, found = a["refused"] or (), np.flatnonzero(near[x])
+        for y in found[np.argsort(-common[x, found], kind="stable")].tolist():
+            b = rows[v[y]]
+            ra, rb = root(a["comp"]), root(b["comp"])
+            if ra == rb or b["key"] in refused or (b["rest"] and a["key"] > b["key"]):
                 continue
-            out.append((a["key"], keys[j]))
-            if exact[j]:
+            exact = a["n"] <= SAMPLE and b["n"] <= SAMPLE
+            if exact:
+                masks = masks or _bit_masks(a["sample"])
+                limit = int(max(a["n"], b["n"]) * (1 - THRESHOLD) + 1e-9)
+                if _bit_distance(masks, a["n"], b["sample"].tolist(), limit) > limit:
+                    continue
                 parent[ra] = rb
+            out.append((a["key"], b["key"]))
     return out
 
 
@@ -408,7 +481,7 @@ def links_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             break
         found = stage(verified(pairs, nodes, texts), "links")
         links = links.unionByName(found)
-        labels = components(links)
+        labels = _joined(labels, found)
         # a pair that a task took for a link may have hidden others of its bucket: those buckets are compared again without it
         wrong = stage(pairs.join(found, (F.col("centre") == F.col("a")) & (F.col("member") == F.col("b")), "left_anti"), "refused")
         if wrong.limit(1).count() == 0:

@@ -92,6 +92,52 @@ def test_blocks_find_what_the_hubs_miss():
     assert sorted(tuple(sorted(p)) for p in pairs) == [(b"\x00", b"\x01"), (b"\x02", b"\x03")]
 
 
+def test_blocks_find_links_that_share_few_shingles():
+    """Every pair of a bucket with an edit similarity of 0.8 or more is joined, short and long texts, however the changes are spread."""
+    import pyarrow as pa
+
+    lists = []
+    for seed, n in ((41, 300), (42, 12), (43, near_dups.SAMPLE + 500)):
+        w = prose(seed, n).split()
+        lists += [w, [f"x{i}" if i % 7 == 3 else x for i, x in enumerate(w)], [f"y{i}" if i % 4 == 3 else x for i, x in enumerate(w)], [f"z{i}" if i < 0.3 * n else x for i, x in enumerate(w)]]
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(len(lists))]), pa.array([" ".join(x) for x in lists])], names=["key", "text"])
+    (sampled,) = near_dups._sample_batches([batch])
+    rows = [{**r, "sample": np.array(r["sample"], np.int32), "comp": r["key"], "asks": None, "rest": True, "refused": None} for r in sampled.to_pylist()]
+    pairs = {tuple(sorted((a[0], b[0]))) for a, b in near_dups._joining_pairs(rows)}
+    links = {(i, j) for j in range(len(lists)) for i in range(j) if _similar(lists[i], lists[j])}
+    assert links == {(0, 1), (4, 5), (8, 9)}
+    assert links <= pairs and not any(j < 8 for _, j in pairs - links)  # long ones are aligned later
+
+
+def test_links_beside_the_hub_are_found(spark):
+    """Two texts of 86 % edit similarity share buckets with a text that is like neither: it is the hub, their link stays."""
+    w = prose(51, 200).split()
+    spread = [f"x{i}" if i % 7 == 3 else x for i, x in enumerate(w)]
+    hub = w + prose(52, 70).split()
+    rows = [(1, " ".join(w)), (2, " ".join(spread)), *((3 + k, " ".join(hub + [f"h{k}"] * 20)) for k in range(6))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dups.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, **{3 + k: 3 for k in range(6)}}
+
+
+def test_labels_after_further_links_equal_those_of_all(spark):
+    rng = random.Random(6)
+    links = [tuple(bytes([x]) for x in rng.sample(range(60), 2)) for _ in range(36)]
+    some, more = (spark.createDataFrame(x, "a binary, b binary") for x in (links[:24], links[24:]))
+    want = near_dups.components(some.unionByName(more)).collect()
+    got = near_dups._joined(near_dups.components(some), more).collect()
+    assert sorted((bytes(r["node"]), bytes(r["label"])) for r in got) == sorted((bytes(r["node"]), bytes(r["label"])) for r in want)
+
+
+def test_bit_parallel_distance_equals_full_edit_distance():
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(40))] for _ in range(2))
+        want = _distance(a, b) if a and b else max(len(a), len(b))
+        for limit in (want - 1, want, 100):
+            got = near_dups._bit_distance(near_dups._bit_masks(np.array(a, np.int64)), len(a), b, limit)
+            assert got == want if want <= limit else got > limit
+
+
 def test_dedup_keeps_one_row_of_each_class(spark):
     docs = awkward_docs(spark, _family(31))
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
