@@ -11,8 +11,10 @@
 
 So each emitted sequence lacks fewer than ``MIN_PIECE`` ids of ``WINDOW``.
 
-Token ids: the tokenizer's words never span ASCII white space, so texts are encoded word by word,
-each distinct word of a slice once (a memo of about ``MEMO_WORDS`` words per task).
+Token ids: the tokenizer's words never span ASCII white space, so texts are encoded word by word.
+Plain words (``PLAIN``) are cut into runs of letters, single digits and runs of other signs, as the
+tokenizer cuts them, and each distinct lower-case piece of a slice is encoded once by its model; other
+words go whole through the whole tokenizer, once each (a memo of about ``MEMO_WORDS`` entries per task).
 
 Defined results: a null or empty text is its end id alone; repeated rows are packed each; a null
 doc_id is kept; an empty table gives an empty result; any id type; extra columns are ignored.
@@ -24,6 +26,8 @@ memo.  The leftovers are one window per task.
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
 import struct
 from bisect import bisect_left, insort
@@ -31,6 +35,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import one_thread, stage
-from .wordhash import byte_slices
+from .wordhash import byte_slices, text_bytes, word_spans
 
 WINDOW = 2048
 OPEN = 64               # windows that a task keeps open
@@ -46,17 +51,75 @@ MIN_PIECE = 16          # a window is not filled up by a cut that leaves a piece
 MERGED = 1000           # leftover windows merged by one task
 END_ID = 1              # fixed value: the id after each document
 ID_BYTES = 4            # ids are little-endian unsigned 32-bit
-MEMO_WORDS, MEMO_CHARS = 300_000, 64  # bounds of the word memo: words, and characters of a word
+MEMO_WORDS, MEMO_CHARS = 300_000, 64  # bounds of the memo: pieces and words, and characters of one
 SLICE_BYTES = 4 << 20   # text handled at once
 PART_CHARS, ENCODED = 1 << 20, 20_000  # characters of a long text, and words, encoded at once
 ROWS_OUT, BYTES_OUT = 4096, 8 << 20   # bounds of an emitted batch
 PAD_ID = 0
 # fixed value: ASCII white space, which this tokenizer drops
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+# fixed value: how this tokenizer splits lower-cased words into pieces
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# plain words: printable ASCII and Latin-1 letters, without "<" (no added token) and "'" (no contraction)
+PLAIN = re.compile(r"[!-&(-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 # ------------------------------------------------------------------ token ids
 
+def _bare(tokenizer):
+    """The tokenizer's model and byte alphabet alone, for pieces of plain words; None if it does not cut and fold as `_pieces` does."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    state = json.loads(tokenizer.to_str())
+    steps = (state["normalizer"] or {}).get("normalizers", []), (state["pre_tokenizer"] or {}).get("pretokenizers", [])
+    same = (tuple(x["type"] for x in steps[0]) == ("NFC", "Replace", "Lowercase") and tuple(x["type"] for x in steps[1]) == ("Split", "ByteLevel")
+            and steps[0][1]["pattern"] == {"Regex": r"\s+"} and steps[1][0]["pattern"] == {"Regex": SPLIT} and state["post_processor"] is None
+            and all("<" in x["content"] for x in state["added_tokens"]))
+    if not same:
+        return None
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return bare
+
+
+def _ids(tokenizer, items: list[str]) -> Iterator[bytes]:
+    for a in range(0, len(items), ENCODED):
+        for e in tokenizer.encode_batch_fast(items[a:a + ENCODED], add_special_tokens=False):
+            own = e.ids
+            yield struct.pack(f"<{len(own)}I", *own)
+
+
+def _pieces(data: np.ndarray, rows: np.ndarray, plain: bool) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """What is encoded on its own, in order, and each row's bounds: pieces of plain words (lower-cased), other words whole."""
+    starts, ends, _ = word_spans(data, rows)
+    white = (data == 32) | ((data >= 9) & (data <= 13))
+    first = np.zeros(len(data), dtype=bool)
+    if plain and len(starts):
+        after = np.zeros(len(data), dtype=bool)  # second byte of a Latin-1 letter
+        after[1:] = data[:-1] == 0xC3
+        cross = after & ((data == 0x97) | (data == 0xB7))
+        wide = (after & ~cross) | (data == 0xC3)
+        bad = np.flatnonzero(~white & ~wide & ((data <= 32) | (data >= 127) | (data == 0x27) | (data == 0x3C)))
+        odd = np.zeros(len(starts), dtype=bool)
+        odd[np.searchsorted(starts, bad, side="right") - 1] = True
+        step = np.zeros(len(data) + 1, dtype=np.int8)
+        step[starts[odd]] = 1
+        step[ends[odd]] -= 1
+        kept = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+        upper = ~kept & (((data >= 65) & (data <= 90)) | (after & (data <= 0x9E)))
+        data = data + (upper.view(np.uint8) << 5)
+        digit = (data >= 48) & (data <= 57)
+        letter = ((data >= 97) & (data <= 122)) | (data >= 128)
+        first[1:] = digit[1:] | digit[:-1] | (letter[1:] != letter[:-1])
+        first &= ~(white | kept)
+    first[starts] = True
+    begins = np.flatnonzero(first)
+    inside = ~white
+    offsets = np.append(np.cumsum(inside)[begins] - 1, inside.sum()).astype(np.int64)
+    spelled = pa.py_buffer(data[inside].tobytes())
+    return pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), spelled), np.searchsorted(begins, rows)
+
+
 class Encoder:
     """Token ids (packed bytes) of texts by a tokenizer whose tokens never span ASCII white space."""
 
@@ -65,27 +128,34 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = _bare(self.tokenizer)
         self.memo: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
-        """Puts the words into the memo; past its bound only these stay."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Puts the pieces into the memo; past its bound only these stay."""
         if len(self.memo) > MEMO_WORDS:
-            self.memo = {w: self.memo[w] for w in words.intersection(self.memo)}
-        fresh = list(words.difference(self.memo))
-        for a in range(0, len(fresh), ENCODED):
-            part = fresh[a:a + ENCODED]
-            got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.memo.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(part, got, strict=True))
+            self.memo = {x: self.memo[x] for x in pieces if x in self.memo}
+        fresh = [x for x in pieces if x not in self.memo]
+        plain = [x for x in fresh if PLAIN.fullmatch(x)] if self.bare else []
+        self.memo.update(zip(plain, _ids(self.bare, plain), strict=True))
+        odd = [x for x in fresh if x not in self.memo]
+        self.memo.update(zip(odd, _ids(self.tokenizer, odd), strict=True))
 
     def together(self, texts: list[str]) -> list[bytes]:
-        """Ids of some short texts, whose words are learned at once."""
-        words = [WORD.findall(t) for t in texts]
-        known = set().union(*words)
-        self._learn(known)
-        out = [b"".join(map(self.memo.__getitem__, some)) for some in words]
-        for w in [w for w in known if len(w) > MEMO_CHARS]:
-            del self.memo[w]
-        return out
+        """Ids of some short texts, whose pieces are learned at once."""
+        every, bounds = _pieces(*text_bytes(pa.array(texts, pa.large_string()), lower=False), self.bare is not None)
+        every = every.dictionary_encode()
+        pieces, code = every.dictionary.to_numpy(zero_copy_only=False).tolist(), every.indices.to_numpy()
+        self._learn(pieces)
+        ids = [self.memo[x] for x in pieces]
+        for x in [x for x in pieces if len(x) > MEMO_CHARS]:
+            del self.memo[x]
+        sizes, known = np.array([len(x) // ID_BYTES for x in ids], dtype=np.int64), np.frombuffer(b"".join(ids), dtype="<u4")
+        lengths = sizes[code]
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        begin = np.concatenate([[0], np.cumsum(sizes)])[code]
+        out = known[np.repeat(begin - at[:-1], lengths) + np.arange(at[-1])]
+        return [out[a:b].tobytes() for a, b in itertools.pairwise(at[bounds].tolist())]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of texts of about a slice; a text over PART_CHARS goes alone, in parts that end where a word does."""

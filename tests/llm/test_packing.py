@@ -125,6 +125,29 @@ def test_words_of_awkward_scripts(tokenizer, monkeypatch):
     assert all(len(w) <= packing.MEMO_CHARS for w in encoder.memo)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abZÀéÉßÞþÿ×÷µ019.,!~-'<|>_\x7f\x85\x1c\u0301İΣ \t\n", max_size=40), max_size=5))
+def test_pieces_give_the_ids_of_whole_texts(texts):
+    if "e" not in _ENCODERS:
+        _ENCODERS["e"] = packing.Encoder(PATH)
+    encoder = _ENCODERS["e"]
+    assert encoder.bare is not None
+    assert list(encoder(texts)) == [struct.pack(f"<{len(i)}I", *i) for i in (encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts)]
+
+
+def test_a_piece_is_encoded_once_whatever_stands_beside_it(tokenizer):
+    ends = ["", ".", ",", "!", "...", "?!", "7", "%%%"]
+    stems = ["zauber", "Zauber", "ZAUBER", "été", "Été"]
+    texts = [" ".join(s + e for s in stems for e in ends), " ".join(e + s for s in stems for e in ends), "don't <|endoftext|> 日本"]
+    encoder = packing.Encoder(PATH)
+    assert list(encoder(texts)) == [struct.pack(f"<{len(i)}I", *i) for i in (tokenizer.encode(t, add_special_tokens=False).ids for t in texts)]
+    assert set(encoder.memo) == {"zauber", "été", *ends[1:], "don't", "<|endoftext|>", "日本"}
+    encoder.bare = None  # a tokenizer of another make: every word goes through it whole
+    encoder.memo.clear()
+    assert list(encoder(texts)) == [struct.pack(f"<{len(i)}I", *i) for i in (tokenizer.encode(t, add_special_tokens=False).ids for t in texts)]
+    assert "Zauber?!" in encoder.memo
+
+
 def _plain(sizes, window, limit, least):
     """The same rules over a plain list of windows: the emitted fills, before merging, and the open ones."""
     open_, done, made = [], [], 0
