@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, id_kind, stage
+from .common import bound_batches, carried, id_kind, stage
 from .wordhash import U, byte_slices, mix, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -49,6 +49,7 @@ PICKS = 2
 RUN = 3               # words of a run that block comparisons count
 SAMPLE = 4096         # words, or runs of a longer text, that represent it in block comparisons
 BLOCK = 1024          # members compared with as many others in one task
+SHARED_IDS = 1024     # shared runs of a block counted at once (bounds the dense matrices)
 GROUP_WORDS = 200_000
 SLICE_BYTES = 4 << 20   # text hashed at once (bounds the temporary arrays)
 RUN_CELLS = 1 << 16    # words compared at once in an alignment
@@ -130,6 +131,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def sketches(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, key, n_words, buckets."""
+    bound_batches(docs)
     kind = id_kind(docs)
     keyed = docs.select(F.col("doc_id").cast(kind), text_key().alias("key"), "text")
     return keyed.mapInArrow(_sketch_batches, f"doc_id {kind}, key binary, n_words long, buckets array<long>")
@@ -336,7 +338,7 @@ def _shared(sets: list[np.ndarray], u: np.ndarray, v: np.ndarray) -> np.ndarray:
     column, owner = column[keep], owner[keep]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    common, width = np.zeros((len(u), len(v)), dtype=np.float32), 4096
+    common, width = np.zeros((len(u), len(v)), dtype=np.float32), SHARED_IDS
     for c in range(0, int(shared_ids.sum()), width):
         a, b = np.searchsorted(column, [c, c + width])
         dense = np.zeros((len(sets), width), dtype=np.float32)

@@ -22,7 +22,7 @@ empty result.  Extra columns are kept by ``reject`` and ignored otherwise.
 Scale: text is read four times; only the texts and feature counts of the bounded samples (after
 partial aggregation to one text a doc_id), and (doc_id, votes) rows joined with labels, move.  The broadcasts are the samples (two
 numbers a row, at most ``SAMPLE_ROWS``) and the weights: every significant feature of a sample
-has one.  The driver holds 4 bytes a feature hit of a sample; gradients go in blocks.
+has one.  Arrow batches are bounded in bytes.  The driver holds 4 bytes a feature hit of a sample; gradients go in blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_kind, stage
+from .common import bound_batches, id_kind, stage
 from .wordhash import U, byte_slices, mix, span_hashes, text_bytes
 
 SAMPLE_ROWS = 50_000   # bound of the rows that cues and scorer are fitted on
@@ -378,6 +378,7 @@ def _score_batches(model: dict) -> Callable:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All columns of ``docs`` plus __junk and __toxic (log odds; ``CUTS`` decide)."""
+    bound_batches(docs)
     schema = T.StructType([*docs.schema.fields, T.StructField("__junk", T.DoubleType()), T.StructField("__toxic", T.DoubleType())])
     return docs.mapInArrow(_score_batches(train(docs, labels)), schema)
 

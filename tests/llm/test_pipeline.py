@@ -94,3 +94,29 @@ def test_every_stage_on_its_own_input(spark, tables):
 def test_run_on_empty_documents(spark):
     path = _tables(spark, no_docs(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"))
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("use", ["quality", "near_dups"])
+def test_arrow_batches_of_long_rows_are_bounded(spark, use):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from shelfcast.llm import common, near_dups, quality
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(conf)
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 20_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    try:
+        if use == "quality":
+            quality.scored(docs.limit(2), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+        else:
+            near_dups.sketches(docs)
+        got = [r[0] for r in docs.mapInArrow(sizes, "bytes long").collect()]
+    finally:
+        spark.conf.unset(conf)
+    assert sum(got) > 12_000_000 and max(got) < common.BATCH_BYTES + 1_000_000
